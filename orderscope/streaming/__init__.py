@@ -1,0 +1,9 @@
+"""Streaming.
+
+The analytics this package reproduces are batch jobs only: every read is a
+batch read and there is no watermark, window over event time, state or
+late-data handling to carry over. Nothing is built here on purpose; the
+report functions in ``orderscope.operators.reports`` take any DataFrame, so
+a caller with a stream can apply them per micro-batch inside
+``foreachBatch``.
+"""
