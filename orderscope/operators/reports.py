@@ -7,15 +7,16 @@ cleaning step is folded into that aggregate instead of being a second pass:
 * per group we sum the non-null ratings and count the missing ones among
   the valid rows, and separately sum / count the ratings of *all* rows;
 * the fill value (the mean over all raw rows, invalid ones included) is the
-  ratio of the all-rows sums over the group rows — a one-row scalar
-  subquery over the already aggregated data, whose shuffle Spark reuses;
+  ratio of the all-rows sums over the group rows — one row computed from
+  the already aggregated data and broadcast back to it (Spark reuses the
+  aggregate's shuffle, so the fact data is still read once);
 * the group's mean rating after the fill is then
   (sum of known ratings + missing × fill) / valid rows.
 
 So a report over the test tables costs one scan and one join of the fact
 data rather than two. Grouping is partial (map side) + final, so a key that
 holds a third of all rows is reduced inside every map task before the
-shuffle. Money is summed exactly in decimals (``functions.money``).
+shuffle. Money is summed exactly (``functions.money``).
 
 ``report_tables`` computes all five from one scan with grouping sets; the
 batch job uses it.
@@ -26,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderscope.functions.money import ratio, revenue_decimal, round_money
+from orderscope.functions.money import combine, ratio, remainder_part, revenue_micro, round_money, whole_part
 from orderscope.operators.clean import conform, is_valid
 
 # Grouping keys of each report, as column expressions over raw orders.
@@ -50,12 +51,13 @@ def _measure_columns() -> list[Column]:
     valid = is_valid()
     rating = F.col("calificacion")
     discount = F.coalesce(F.col("descuento_pct"), F.lit(0.0))
-    revenue = revenue_decimal(F.col("precio_unitario"), F.col("cantidad"), discount)
+    micro = revenue_micro(F.col("precio_unitario"), F.col("cantidad"), discount)
     return [
         F.count_if(valid).alias("_n_valid"),
         F.count(F.when(valid, F.col("orden_id"))).alias("_n_ids"),
         F.sum(F.when(valid, F.col("cantidad"))).alias("_units"),
-        F.sum(F.when(valid, revenue)).alias("_revenue"),
+        F.sum(F.when(valid, whole_part(micro))).alias("_rev_whole"),
+        F.sum(F.when(valid, remainder_part(micro))).alias("_rev_frac"),
         F.count_if(valid & (discount > 0)).alias("_n_discount"),
         F.sum(F.when(valid, rating)).alias("_rating_sum"),
         F.count_if(valid & rating.isNull()).alias("_rating_missing"),
@@ -64,33 +66,36 @@ def _measure_columns() -> list[Column]:
     ]
 
 
-def _fill_value(grouped: DataFrame) -> Column:
-    """Scalar subquery: mean rating over all raw rows, from the group rows."""
-    mean = grouped.agg(ratio(F.sum("_rating_sum_all"), F.sum("_rating_n_all")).alias("_fill"))
-    return mean.scalar()
+def _totals(grouped: DataFrame) -> DataFrame:
+    """One row over the group rows: the fill value and the clean-row total.
 
-
-def _total_rows(grouped: DataFrame) -> Column:
-    """Scalar subquery: number of clean rows, from the group rows."""
-    return grouped.agg(F.sum("_n_valid").alias("_total")).scalar()
+    The fill is the mean rating over all raw rows (invalid rows included);
+    the total counts clean rows. Both come from the already aggregated
+    groups, so the query keeps one scan: the cross join below broadcasts
+    exactly one row and Spark reuses the aggregate's shuffle for it.
+    """
+    return grouped.agg(
+        ratio(F.sum("_rating_sum_all"), F.sum("_rating_n_all")).alias("_fill"),
+        F.sum("_n_valid").alias("_total_rows"),
+    )
 
 
-def _rating_avg(fill: Column) -> Column:
+def _rating_avg() -> Column:
     known = F.coalesce(F.col("_rating_sum"), F.lit(0.0))
-    return ratio(known + F.col("_rating_missing") * fill, F.col("_n_valid"))
+    return ratio(known + F.col("_rating_missing") * F.col("_fill"), F.col("_n_valid"))
 
 
 def measures(orders: DataFrame, keys: list[str]) -> DataFrame:
-    """Per-group partial measures with the fill folded in (one aggregate)."""
+    """Per-group measures with the fill folded in (one aggregate)."""
     grouped = _with_keys(orders).groupBy(*keys).agg(*_measure_columns())
-    return _finish_measures(grouped)
+    return _finish(grouped, _totals(grouped))
 
 
-def _finish_measures(grouped: DataFrame) -> DataFrame:
-    fill = _fill_value(grouped)
-    total = _total_rows(grouped)
-    return (grouped.filter(F.col("_n_valid") > 0)
-            .withColumns({"_rating_avg": _rating_avg(fill), "_total_rows": total}))
+def _finish(groups: DataFrame, totals: DataFrame) -> DataFrame:
+    return (groups.filter(F.col("_n_valid") > 0)
+            .crossJoin(F.broadcast(totals))
+            .withColumns({"_rating_avg": _rating_avg(),
+                          "_revenue": combine(F.col("_rev_whole"), F.col("_rev_frac"))}))
 
 
 def _common(m: DataFrame) -> dict[str, Column]:
@@ -200,14 +205,8 @@ def report_tables(orders: DataFrame, min_city_orders: int = DEFAULT_MIN_CITY_ORD
         part = grouped.filter(F.col("_gid") == F.lit(gid))
         out[name] = part
     # The fill value and the row total come from one key set (every row is in each set).
-    base = out["categorias"]
-    fill = _fill_value(base)
-    total = _total_rows(base)
-    finished = {
-        name: part.filter(F.col("_n_valid") > 0).withColumns(
-            {"_rating_avg": _rating_avg(fill), "_total_rows": total})
-        for name, part in out.items()
-    }
+    totals = _totals(out["categorias"])
+    finished = {name: _finish(part, totals) for name, part in out.items()}
     return {
         "categorias": _category(finished["categorias"]),
         "ciudades": _city(finished["ciudades"], min_city_orders),

@@ -7,16 +7,17 @@ table has a null, so two columns get nulls by a fixed rule (a discount on
 every 250th part key, a rating on every 125th order key) to exercise the
 null fill.
 
-Join plan, written for a large cluster:
-
-* ``orders ⋈ customer ⋈ nation ⋈ region`` first: this is orders-sized, and
-  nation / region are fixed 25- and 5-row dimensions that Spark's
-  size-checked auto-broadcast picks up;
-* then ``lineitem ⋈ that`` on the order key and ``⋈ part`` on the part key.
-  Both are equi joins that Spark plans as sort-merge joins when both sides
-  are large and turns into broadcast joins at run time (adaptive execution)
-  only when the measured side is under ``autoBroadcastJoinThreshold``. A hot
-  order or part key is split by adaptive skew-join handling.
+Join plan, written for a large cluster: the fact table meets the other
+large table first (``lineitem ⋈ orders`` on the order key), then the
+smaller dimensions (customer, nation ⋈ region, part). Spark's size
+estimate of a join without statistics is the product of its inputs, so
+this order also keeps the planner from ever choosing the fact side as a
+broadcast build side. Every join is an equi join that Spark plans as a
+sort-merge join when both sides are large and as a broadcast join only when
+the side's size is under ``autoBroadcastJoinThreshold`` (checked from file
+statistics, and again from measured shuffle sizes by adaptive execution).
+nation and region are fixed 25- and 5-row dimensions. A hot order or part
+key is split by adaptive skew-join handling.
 
 Only the columns the order schema needs are read, and Catalyst prunes them
 further for each query (``ReadSchema`` in the plans).
@@ -56,10 +57,10 @@ def ventas(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
 
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    cust = customer.join(geo, customer.c_nationkey == geo.n_nationkey)
-    order_side = orders.join(cust, orders.o_custkey == cust.c_custkey)
-    lines = lineitem.join(order_side, lineitem.l_orderkey == order_side.o_orderkey)
-    rows = lines.join(part, lines.l_partkey == part.p_partkey)
+    lines = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
+    with_customer = lines.join(customer, lines.o_custkey == customer.c_custkey)
+    with_geo = with_customer.join(geo, with_customer.c_nationkey == geo.n_nationkey)
+    rows = with_geo.join(part, with_geo.l_partkey == part.p_partkey)
 
     discount = F.when(F.col("l_partkey") % DISCOUNT_NULL_EVERY_PARTKEY == 0, F.lit(None)) \
         .otherwise(F.round(F.col("l_discount") * 100))
