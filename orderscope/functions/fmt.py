@@ -34,7 +34,12 @@ def money2(x: Column) -> Column:
 def fixed(x: Column, decimals: int) -> Column:
     """``f"{x:.Nf}"``: fixed decimals, no thousands separator."""
     pattern = "0" if decimals == 0 else "0." + "0" * decimals
-    return F.format_number(x.cast("double"), pattern)
+    return pattern_format(x, pattern)
+
+
+def pattern_format(x: Column, pattern: str) -> Column:
+    """``format_number`` with a decimal-format pattern (no grouping unless asked)."""
+    return F.call_function("format_number", x.cast("double"), F.lit(pattern))
 
 
 def signed_pct(x: Column) -> Column:

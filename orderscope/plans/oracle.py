@@ -144,3 +144,176 @@ def month_name(m: str) -> str:
 def signed_pct(x: str) -> str:
     return (f"CASE WHEN {x} IS NULL THEN NULL WHEN {x} < 0 THEN '-' || printf('%.1f', abs({x})) || '%' "
             f"ELSE '+' || printf('%.1f', abs({x})) || '%' END")
+
+
+NL = "chr(10)"
+
+
+def report_ctes(*names: str, min_city_orders: int = 500) -> str:
+    parts = {"category": R_CATEGORY, "city": R_CITY.format(min_orders=min_city_orders),
+             "payment": R_PAYMENT, "monthly": R_MONTHLY, "status": R_STATUS}
+    return ",\n".join(parts[n] for n in names)
+
+
+def plain_number(x: str, integral: bool) -> str:
+    return f"CAST(CAST({x} AS BIGINT) AS VARCHAR)" if integral else f"CAST(CAST({x} AS DOUBLE) AS VARCHAR)"
+
+
+Q_CATEGORY_LOOKUP = """
+SELECT categoria, total_ordenes, total_unidades, ingreso_total, ticket_promedio, calificacion_promedio,
+       pct_con_descuento,
+       categoria || ':' || {nl}
+       || '  Ordenes:            ' || {ord} || {nl}
+       || '  Unidades vendidas:  ' || {uni} || {nl}
+       || '  Ingreso total:      ' || {ing} || {nl}
+       || '  Ticket promedio:    ' || {tic} || {nl}
+       || '  Calificacion prom:  ' || {cal} || '/5' || {nl}
+       || '  Con descuento:      ' || {des} || '%' AS texto
+FROM report_category
+WHERE lower(categoria) = lower('{param}')
+ORDER BY ingreso_total DESC, categoria
+LIMIT 1"""
+
+
+def category_lookup_sql(param: str) -> str:
+    body = Q_CATEGORY_LOOKUP.format(
+        nl=NL, ord=thousands("total_ordenes"), uni=thousands("total_unidades"), ing=money0("ingreso_total"),
+        tic=money2("ticket_promedio"), cal=fixed("calificacion_promedio", 2), des=fixed("pct_con_descuento", 1),
+        param=param.replace("'", "''"))
+    return with_clean(body, report_ctes("category"))
+
+
+def category_ranking_sql(metric: str) -> str:
+    integral = metric == "total_ordenes"
+    body = f"""
+SELECT posicion, categoria, metrica, valor, valor_texto,
+       '  ' || CAST(posicion AS VARCHAR) || '. ' || categoria || ': ' || valor_texto AS linea
+FROM (
+  SELECT CAST(row_number() OVER (ORDER BY {metric} DESC, categoria) AS INTEGER) AS posicion,
+         categoria, '{metric}' AS metrica, CAST({metric} AS DOUBLE) AS valor,
+         {plain_number(metric, integral)} AS valor_texto
+  FROM report_category
+)"""
+    return with_clean(body, report_ctes("category"))
+
+
+def top_cities_sql(k: int) -> str:
+    body = f"""
+SELECT posicion, ciudad, departamento, ingreso_total, total_ordenes,
+       '  ' || CAST(posicion AS VARCHAR) || '. ' || ciudad || ' (' || departamento || '): '
+       || {money0('ingreso_total')} || ' | ' || {thousands('total_ordenes')} || ' ordenes' AS linea
+FROM (
+  SELECT CAST(row_number() OVER (ORDER BY ingreso_total DESC, ciudad, departamento) AS INTEGER) AS posicion, *
+  FROM report_city
+)
+WHERE posicion <= {k}"""
+    return with_clean(body, report_ctes("city"))
+
+
+def payment_lines_sql() -> str:
+    body = f"""
+SELECT metodo_pago, total_ordenes, ingreso_total,
+       '  ' || metodo_pago || ': ' || {thousands('total_ordenes')} || ' ordenes | ' || {money0('ingreso_total')} AS linea
+FROM report_payment"""
+    return with_clean(body, report_ctes("payment"))
+
+
+def monthly_for_year_sql(year: int) -> str:
+    where = f"WHERE anio = {int(year)}" if year else ""
+    var = f"coalesce({signed_pct('variacion_pct')}, 'base')"
+    body = f"""
+SELECT anio, mes, {month_name('mes')} AS mes_nombre, total_ordenes, ingreso_total, variacion_pct,
+       {var} AS variacion_texto,
+       '  ' || CAST(anio AS VARCHAR) || ' ' || {month_name('mes')} || ': ' || {thousands('total_ordenes')}
+       || ' ordenes | ' || {money0('ingreso_total')} || ' | var: ' || {var} AS linea
+FROM report_monthly
+{where}"""
+    return with_clean(body, report_ctes("monthly"))
+
+
+def status_lines_sql() -> str:
+    body = f"""
+SELECT estado_envio, total_ordenes, calificacion_promedio,
+       '  ' || estado_envio || ': ' || {thousands('total_ordenes')} || ' ordenes | calif: '
+       || {fixed('calificacion_promedio', 2)} || '/5' AS linea
+FROM report_status"""
+    return with_clean(body, report_ctes("status"))
+
+
+def executive_summary_sql() -> str:
+    body = f"""
+SELECT *,
+       'Resumen general:' || {NL}
+       || '  Total ordenes:       ' || {thousands('total_ordenes')} || {NL}
+       || '  Ingreso total:       ' || {money0('ingreso_total')} || {NL}
+       || '  Categoria top:       ' || categoria_top || {NL}
+       || '  Ciudad top:          ' || ciudad_top || {NL}
+       || '  Metodo de pago top:  ' || metodo_pago_top AS texto
+FROM (
+  SELECT (SELECT CAST(sum(total_ordenes) AS BIGINT) FROM report_category) AS total_ordenes,
+         (SELECT CAST(round(sum(CAST(ingreso_total AS DECIMAL(20,2))), 2) AS DOUBLE) FROM report_category) AS ingreso_total,
+         coalesce((SELECT categoria FROM report_category ORDER BY ingreso_total DESC, categoria LIMIT 1), 'N/A') AS categoria_top,
+         coalesce((SELECT ciudad FROM report_city ORDER BY ingreso_total DESC, ciudad LIMIT 1), 'N/A') AS ciudad_top,
+         coalesce((SELECT metodo_pago FROM report_payment ORDER BY total_ordenes DESC, metodo_pago LIMIT 1), 'N/A')
+           AS metodo_pago_top
+)"""
+    return with_clean(body, report_ctes("category", "city", "payment"))
+
+
+def kpis_sql() -> str:
+    body = f"""
+SELECT *,
+       round(ingreso_total / CAST(total_ordenes AS DOUBLE), 2) AS ticket_ponderado,
+       {thousands('total_ordenes')} AS ordenes_fmt,
+       {money0('ingreso_total')} AS ingreso_fmt,
+       {money2('ticket_promedio')} AS ticket_fmt,
+       {fixed('calificacion_promedio', 2)} || ' / 5' AS calificacion_fmt
+FROM (
+  SELECT CAST(sum(total_ordenes) AS BIGINT) AS total_ordenes,
+         CAST(round(sum(CAST(ingreso_total AS DECIMAL(20,2))), 2) AS DOUBLE) AS ingreso_total,
+         round(CAST(sum(CAST(ticket_promedio AS DECIMAL(20,2))) AS DOUBLE) / count(ticket_promedio), 2) AS ticket_promedio,
+         round(CAST(sum(CAST(calificacion_promedio AS DECIMAL(20,2))) AS DOUBLE) / count(calificacion_promedio), 2)
+           AS calificacion_promedio
+  FROM report_category
+)"""
+    return with_clean(body, report_ctes("category"))
+
+
+def category_bars_sql() -> str:
+    body = """
+SELECT CAST(row_number() OVER (ORDER BY ingreso_total, categoria) AS INTEGER) AS orden, categoria, ingreso_total
+FROM report_category"""
+    return with_clean(body, report_ctes("category"))
+
+
+def payment_share_sql() -> str:
+    body = """
+SELECT metodo_pago, total_ordenes,
+       round(CAST(total_ordenes AS DOUBLE) / CAST((SELECT sum(total_ordenes) FROM report_payment) AS DOUBLE) * 100, 2)
+         AS pct_ordenes
+FROM report_payment"""
+    return with_clean(body, report_ctes("payment"))
+
+
+def month_period_sql() -> str:
+    body = """
+SELECT anio, mes, CAST(anio AS VARCHAR) || '-' || lpad(CAST(mes AS VARCHAR), 2, '0') AS periodo, total_ordenes
+FROM report_monthly"""
+    return with_clean(body, report_ctes("monthly"))
+
+
+def city_table_sql() -> str:
+    body = f"""
+SELECT ciudad AS "Ciudad", departamento AS "Departamento", {thousands('total_ordenes')} AS "Órdenes",
+       {money0('ingreso_total')} AS "Ingreso ($)", {money2('ticket_promedio')} AS "Ticket prom ($)",
+       {fixed('calificacion_promedio', 2)} AS "Calificación"
+FROM report_city"""
+    return with_clean(body, report_ctes("city"))
+
+
+def status_table_sql() -> str:
+    body = f"""
+SELECT estado_envio AS "Estado", {thousands('total_ordenes')} AS "Órdenes",
+       {money0('ingreso_total')} AS "Ingreso ($)", {fixed('calificacion_promedio', 2)} AS "Calificación"
+FROM report_status"""
+    return with_clean(body, report_ctes("status"))

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderscope.operators import clean, reports
+from orderscope.operators import charts, clean, questions, reports
 from orderscope.plans import oracle as O
 from orderscope.session import prepare
 from orderscope.sources import tables
@@ -124,3 +124,98 @@ def q_report_monthly(spark, sf_dir):
 def q_report_status(spark, sf_dir):
     """R5."""
     return reports.report_status(_orders(spark, sf_dir))
+
+
+# --- questions ----------------------------------------------------------------
+
+LOOKUP_CATEGORY = "promo"          # lower case on purpose: the match ignores case
+RANKING_METRIC = "ticket_promedio"
+TOP_CITIES_N = 5
+MONTHLY_YEAR = 1996
+
+
+@register("category_lookup", O.category_lookup_sql(LOOKUP_CATEGORY))
+def q_category_lookup(spark, sf_dir):
+    """T1."""
+    return questions.category_lookup(reports.report_category(_orders(spark, sf_dir)), LOOKUP_CATEGORY)
+
+
+@register("category_ranking", O.category_ranking_sql(RANKING_METRIC))
+def q_category_ranking(spark, sf_dir):
+    """T2."""
+    return questions.category_ranking(reports.report_category(_orders(spark, sf_dir)), RANKING_METRIC)
+
+
+@register("category_ranking_orders", O.category_ranking_sql("total_ordenes"))
+def q_category_ranking_orders(spark, sf_dir):
+    """T2 on an integer metric."""
+    return questions.category_ranking(reports.report_category(_orders(spark, sf_dir)), "total_ordenes")
+
+
+@register("top_cities", O.top_cities_sql(TOP_CITIES_N))
+def q_top_cities(spark, sf_dir):
+    """T3 / O5."""
+    return questions.top_cities(reports.report_city(_orders(spark, sf_dir)), TOP_CITIES_N)
+
+
+@register("payment_lines", O.payment_lines_sql())
+def q_payment_lines(spark, sf_dir):
+    """T4."""
+    return questions.payment_lines(reports.report_payment(_orders(spark, sf_dir)))
+
+
+@register("monthly_for_year", O.monthly_for_year_sql(MONTHLY_YEAR))
+def q_monthly_for_year(spark, sf_dir):
+    """T5 (filter above the window: January keeps its change vs December)."""
+    return questions.monthly_for_year(reports.report_monthly(_orders(spark, sf_dir)), MONTHLY_YEAR)
+
+
+@register("status_lines", O.status_lines_sql())
+def q_status_lines(spark, sf_dir):
+    """T6."""
+    return questions.status_lines(reports.report_status(_orders(spark, sf_dir)))
+
+
+@register("executive_summary", O.executive_summary_sql())
+def q_executive_summary(spark, sf_dir):
+    """Three reports from one grouping-sets scan, then one row."""
+    r = reports.report_tables(_orders(spark, sf_dir))
+    return questions.executive_summary(r["categorias"], r["ciudades"], r["pagos"])
+
+
+# --- chart tables ---------------------------------------------------------------
+
+@register("kpis", O.kpis_sql())
+def q_kpis(spark, sf_dir):
+    """V1."""
+    return charts.kpis(reports.report_category(_orders(spark, sf_dir)))
+
+
+@register("category_bars", O.category_bars_sql())
+def q_category_bars(spark, sf_dir):
+    """V2."""
+    return charts.category_bars(reports.report_category(_orders(spark, sf_dir)))
+
+
+@register("payment_share", O.payment_share_sql())
+def q_payment_share(spark, sf_dir):
+    """V3."""
+    return charts.payment_share(reports.report_payment(_orders(spark, sf_dir)))
+
+
+@register("month_period", O.month_period_sql())
+def q_month_period(spark, sf_dir):
+    """V4."""
+    return charts.month_period(reports.report_monthly(_orders(spark, sf_dir)))
+
+
+@register("city_table", O.city_table_sql())
+def q_city_table(spark, sf_dir):
+    """V5."""
+    return charts.city_table(reports.report_city(_orders(spark, sf_dir)))
+
+
+@register("status_table", O.status_table_sql())
+def q_status_table(spark, sf_dir):
+    """V6."""
+    return charts.status_table(reports.report_status(_orders(spark, sf_dir)))
