@@ -187,30 +187,41 @@ def report_status(orders: DataFrame) -> DataFrame:
     return _status(measures(orders, KEYS["estados"]))
 
 
-def report_tables(orders: DataFrame, min_city_orders: int = DEFAULT_MIN_CITY_ORDERS) -> dict[str, DataFrame]:
-    """All five reports from **one** scan: grouping sets over the five key sets.
+ALL_KEYS = ["categoria", "ciudad", "departamento", "metodo_pago", "anio", "mes", "estado_envio"]
+
+
+def grouped_measures(orders: DataFrame) -> DataFrame:
+    """The measures of all five key sets from **one** scan (grouping sets).
 
-    The aggregated result holds one row per group of each set (a few dozen
-    rows), so callers may persist it; every report is a filter on it.
+    One row per group of each set (a few dozen rows), tagged by ``_gid``;
+    small enough to persist or checkpoint and derive every report from.
     """
-    all_keys = ["categoria", "ciudad", "departamento", "metodo_pago", "anio", "mes", "estado_envio"]
     sets = [[F.col(k) for k in KEYS[name]] for name in KEYS]
-    rows = _with_keys(orders)
-    grouped = rows.groupingSets(sets, *[F.col(k) for k in all_keys]) \
+    return _with_keys(orders).groupingSets(sets, *[F.col(k) for k in ALL_KEYS]) \
         .agg(*_measure_columns(), F.grouping_id().alias("_gid"))
-    out = {}
-    for name in KEYS:
-        # grouping_id has a 1-bit for each column NOT in the set (first column = highest bit)
-        gid = sum(1 << (len(all_keys) - 1 - i) for i, k in enumerate(all_keys) if k not in KEYS[name])
-        part = grouped.filter(F.col("_gid") == F.lit(gid))
-        out[name] = part
+
+
+def _gid(name: str) -> int:
+    # grouping_id sets a bit for every column NOT in the set (first column = highest bit)
+    return sum(1 << (len(ALL_KEYS) - 1 - i) for i, k in enumerate(ALL_KEYS) if k not in KEYS[name])
+
+
+def reports_from_grouped(grouped: DataFrame,
+                         min_city_orders: int = DEFAULT_MIN_CITY_ORDERS) -> dict[str, DataFrame]:
+    """The five reports from the output of ``grouped_measures``."""
+    parts = {name: grouped.filter(F.col("_gid") == F.lit(_gid(name))) for name in KEYS}
     # The fill value and the row total come from one key set (every row is in each set).
-    totals = _totals(out["categorias"])
-    finished = {name: _finish(part, totals) for name, part in out.items()}
+    totals = _totals(parts["categorias"])
+    done = {name: _finish(part, totals) for name, part in parts.items()}
     return {
-        "categorias": _category(finished["categorias"]),
-        "ciudades": _city(finished["ciudades"], min_city_orders),
-        "pagos": _payment(finished["pagos"]),
-        "mensual": _monthly(finished["mensual"]),
-        "estados": _status(finished["estados"]),
+        "categorias": _category(done["categorias"]),
+        "ciudades": _city(done["ciudades"], min_city_orders),
+        "pagos": _payment(done["pagos"]),
+        "mensual": _monthly(done["mensual"]),
+        "estados": _status(done["estados"]),
     }
+
+
+def report_tables(orders: DataFrame, min_city_orders: int = DEFAULT_MIN_CITY_ORDERS) -> dict[str, DataFrame]:
+    """All five reports over one grouping-sets aggregate of ``orders``."""
+    return reports_from_grouped(grouped_measures(orders), min_city_orders)

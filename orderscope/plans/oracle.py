@@ -317,3 +317,14 @@ SELECT estado_envio AS "Estado", {thousands('total_ordenes')} AS "Órdenes",
        {money0('ingreso_total')} AS "Ingreso ($)", {fixed('calificacion_promedio', 2)} AS "Calificación"
 FROM report_status"""
     return with_clean(body, report_ctes("status"))
+
+
+def reports_reload_sql() -> str:
+    body = """
+SELECT 'categorias' AS reporte, categoria AS clave, total_ordenes, ingreso_total FROM report_category
+UNION ALL SELECT 'ciudades', ciudad || '|' || departamento, total_ordenes, ingreso_total FROM report_city
+UNION ALL SELECT 'pagos', metodo_pago, total_ordenes, ingreso_total FROM report_payment
+UNION ALL SELECT 'mensual', CAST(anio AS VARCHAR) || '|' || CAST(mes AS VARCHAR), total_ordenes, ingreso_total
+          FROM report_monthly
+UNION ALL SELECT 'estados', estado_envio, total_ordenes, ingreso_total FROM report_status"""
+    return with_clean(body, report_ctes("category", "city", "payment", "monthly", "status"))

@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderscope.operators import charts, clean, questions, reports
+from orderscope.plans import batch
 from orderscope.plans import oracle as O
-from orderscope.session import prepare
-from orderscope.sources import tables
+from orderscope.session import fresh_path, prepare
+from orderscope.sources import files, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -219,3 +220,43 @@ def q_city_table(spark, sf_dir):
 def q_status_table(spark, sf_dir):
     """V6."""
     return charts.status_table(reports.report_status(_orders(spark, sf_dir)))
+
+
+# --- sources, sinks and round trips --------------------------------------------
+
+@register("parquet_roundtrip", O.with_clean(f"SELECT {O.CLEAN_COLUMNS} FROM clean"))
+def q_parquet_roundtrip(spark, sf_dir):
+    """Clean orders → partitioned Parquet in the shared folder → read back."""
+    path = fresh_path(spark, "clean-orders")
+    files.write_clean_parquet(clean.clean_orders(_orders(spark, sf_dir)), path)
+    return files.read_clean_parquet(spark, path)
+
+
+@register("csv_roundtrip", O.with_clean("SELECT * FROM report_category", O.R_CATEGORY))
+def q_csv_roundtrip(spark, sf_dir):
+    """S7 → S1 → R1 → S6 → S3: raw rows through CSV, the report through CSV."""
+    raw_path = fresh_path(spark, "raw-orders-csv")
+    files.write_orders_csv(_orders(spark, sf_dir), raw_path)
+    raw = files.read_orders_csv(spark, raw_path)
+    report_base = fresh_path(spark, "reports-csv")
+    files.write_report_csv(reports.report_category(raw), files.report_path(report_base, "categorias"))
+    return files.read_report(spark, report_base, "categorias")
+
+
+def _report_rows(name: str, df: DataFrame) -> DataFrame:
+    keys = reports.KEYS[name]
+    key = F.col(keys[0]).cast("string") if len(keys) == 1 else \
+        F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    return df.select(F.lit(name).alias("reporte"), key.alias("clave"), "total_ordenes", "ingreso_total")
+
+
+@register("reports_reload", O.reports_reload_sql())
+def q_reports_reload(spark, sf_dir):
+    """The batch job writes all five reports; they are reloaded and listed."""
+    paths = batch.run_pipeline(spark, _orders(spark, sf_dir))
+    stored = batch.stored_reports(spark, paths)
+    out = None
+    for name, df in stored.items():
+        rows = _report_rows(name, df)
+        out = rows if out is None else out.unionByName(rows)
+    return out
