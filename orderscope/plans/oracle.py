@@ -328,3 +328,131 @@ UNION ALL SELECT 'mensual', CAST(anio AS VARCHAR) || '|' || CAST(mes AS VARCHAR)
           FROM report_monthly
 UNION ALL SELECT 'estados', estado_envio, total_ordenes, ingreso_total FROM report_status"""
     return with_clean(body, report_ctes("category", "city", "payment", "monthly", "status"))
+
+
+# --- generator ---------------------------------------------------------------
+
+def _gen_constants():
+    from orderscope.operators import generate as G
+    return G
+
+
+def draw(salt: str, seed: str = "42") -> str:
+    return f"CAST(('0x' || substr(md5('{seed}:{salt}:' || CAST(orden_id AS VARCHAR)), 1, 8)) AS BIGINT)"
+
+
+def slot(h: str, k: int) -> str:
+    return f"((({h}) * {k}) >> 32)"
+
+
+def weighted(h: str, values: list[str], weights: list[int]) -> str:
+    u = slot(h, 100)
+    parts, cum = [], 0
+    for v, w in zip(values, weights):
+        cum += w
+        parts.append(f"WHEN {u} < {cum} THEN '{v}'")
+    return "CASE " + " ".join(parts) + " END"
+
+
+def gen_base_sql() -> str:
+    G = _gen_constants()
+    products = ", ".join(f"('{c}', {i}, '{p}')" for c, names in G.PRODUCTS.items() for i, p in enumerate(names))
+    cities = ", ".join(f"('{c}', '{d}')" for c, d in G.CITIES.items())
+    discounts = ", ".join(f"{float(v)}" for v in G.DISCOUNT_VALUES)
+    start = G.CALENDAR_START.strftime("%Y-%m-%d %H:%M:%S")
+    lo_c, hi_c = G.CUSTOMER_ID_RANGE
+    lo_q, hi_q = G.QUANTITY_RANGE
+    lo_p, hi_p = G.PRICE_CENTS_RANGE
+    lo_h, hi_h = G.HIGH_RATING_RANGE
+    lo_l, hi_l = G.LOW_RATING_RANGE
+    return f"""
+ids AS (SELECT o_orderkey AS orden_id FROM orders),
+products(categoria, _slot, producto) AS (VALUES {products}),
+cities(ciudad, departamento) AS (VALUES {cities}),
+picks AS (
+  SELECT orden_id,
+         TIMESTAMP '{start}' + to_hours(CAST({slot(draw('fecha'), G.HOURS_IN_CALENDAR)} AS BIGINT)) AS fecha,
+         {lo_c} + {slot(draw('cliente'), hi_c - lo_c)} AS cliente_id,
+         {weighted(draw('categoria'), G.CATEGORIES, G.CATEGORY_WEIGHTS)} AS categoria,
+         {slot(draw('producto'), 5)} AS _slot,
+         CAST({lo_q} + {slot(draw('cantidad'), hi_q - lo_q)} AS INTEGER) AS cantidad,
+         ({lo_p} + {slot(draw('precio'), hi_p - lo_p + 1)}) / 100.0 AS precio_unitario,
+         CASE WHEN {slot(draw('descuento'), 100)} < {G.DISCOUNT_SHARE_PCT}
+              THEN ([{discounts}])[1 + {slot(draw('descuento_valor'), len(G.DISCOUNT_VALUES))}] ELSE 0.0 END
+           AS descuento_pct,
+         {weighted(draw('pago'), G.PAYMENT_METHODS, G.PAYMENT_WEIGHTS)} AS metodo_pago,
+         {weighted(draw('ciudad'), list(G.CITIES), G.CITY_WEIGHTS)} AS ciudad,
+         {weighted(draw('estado'), G.STATUSES, G.STATUS_WEIGHTS)} AS estado_envio,
+         CAST(CASE WHEN {slot(draw('calificacion'), 100)} < {G.HIGH_RATING_SHARE_PCT}
+                   THEN {lo_h} + {slot(draw('calificacion_alta'), hi_h - lo_h)}
+                   ELSE {lo_l} + {slot(draw('calificacion_baja'), hi_l - lo_l)} END AS DOUBLE) AS calificacion,
+         {draw('nulo_calificacion')} AS _h_rating,
+         {draw('nulo_descuento')} AS _h_discount
+  FROM ids
+),
+base AS (
+  SELECT p.orden_id, p.fecha, p.cliente_id, p.categoria, pr.producto, p.cantidad, p.precio_unitario,
+         p.descuento_pct, p.metodo_pago, p.ciudad, c.departamento, p.estado_envio, p.calificacion,
+         p._h_rating, p._h_discount
+  FROM picks p JOIN products pr ON p.categoria = pr.categoria AND p._slot = pr._slot
+  JOIN cities c ON p.ciudad = c.ciudad
+),
+k AS (
+  SELECT count(*) * {G.MISSING_RATINGS_PER_500K} // {G.REFERENCE_ROWS} AS k_rating,
+         count(*) * {G.MISSING_DISCOUNTS_PER_500K} // {G.REFERENCE_ROWS} AS k_discount
+  FROM ids
+),
+ranked AS (
+  SELECT orden_id,
+         row_number() OVER (ORDER BY _h_rating, orden_id) AS rn_rating,
+         row_number() OVER (ORDER BY _h_discount, orden_id) AS rn_discount
+  FROM base
+),
+missing AS (
+  SELECT orden_id, rn_rating <= (SELECT k_rating FROM k) AS sin_calificacion,
+         rn_discount <= (SELECT k_discount FROM k) AS sin_descuento
+  FROM ranked
+)"""
+
+
+def gen_orders_sql() -> str:
+    return "WITH " + gen_base_sql() + """
+SELECT b.orden_id, b.fecha, b.cliente_id, b.categoria, b.producto, b.cantidad, b.precio_unitario,
+       CASE WHEN m.sin_descuento THEN NULL ELSE b.descuento_pct END AS descuento_pct,
+       b.metodo_pago, b.ciudad, b.departamento, b.estado_envio,
+       CASE WHEN m.sin_calificacion THEN NULL ELSE b.calificacion END AS calificacion
+FROM base b JOIN missing m ON b.orden_id = m.orden_id"""
+
+
+def gen_null_injection_sql() -> str:
+    return "WITH " + gen_base_sql() + """
+SELECT 'calificacion' AS columna, orden_id FROM missing WHERE sin_calificacion
+UNION ALL
+SELECT 'descuento_pct' AS columna, orden_id FROM missing WHERE sin_descuento"""
+
+
+def gen_weighted_sql() -> str:
+    return "WITH " + gen_base_sql() + """
+SELECT 'categoria' AS columna, categoria AS valor, CAST(count(*) AS BIGINT) AS n FROM picks GROUP BY categoria
+UNION ALL SELECT 'metodo_pago', metodo_pago, CAST(count(*) AS BIGINT) FROM picks GROUP BY metodo_pago
+UNION ALL SELECT 'ciudad', ciudad, CAST(count(*) AS BIGINT) FROM picks GROUP BY ciudad
+UNION ALL SELECT 'estado_envio', estado_envio, CAST(count(*) AS BIGINT) FROM picks GROUP BY estado_envio"""
+
+
+GEN_CALENDAR_SQL = """
+SELECT unnest(generate_series(start_ts, end_ts, INTERVAL 1 HOUR)) AS fecha
+FROM (SELECT CAST(min(o_orderdate) AS TIMESTAMP) AS start_ts, CAST(max(o_orderdate) AS TIMESTAMP) AS end_ts
+      FROM orders)"""
+
+
+def gen_report_category_sql() -> str:
+    """The category report over generated orders (cleaning + R1 on the generator's output)."""
+    gen = gen_base_sql() + """,
+ventas AS (
+  SELECT b.orden_id, b.fecha, b.cliente_id, b.categoria, b.producto, b.cantidad, b.precio_unitario,
+         CASE WHEN m.sin_descuento THEN NULL ELSE b.descuento_pct END AS descuento_pct,
+         b.metodo_pago, b.ciudad, b.departamento, b.estado_envio,
+         CASE WHEN m.sin_calificacion THEN NULL ELSE b.calificacion END AS calificacion
+  FROM base b JOIN missing m ON b.orden_id = m.orden_id
+)"""
+    return "WITH " + gen + ",\n" + CLEAN + ",\n" + R_CATEGORY + "\nSELECT * FROM report_category"

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderscope.operators import charts, clean, questions, reports
+from orderscope.operators import charts, clean, generate, questions, reports
 from orderscope.plans import batch
 from orderscope.plans import oracle as O
 from orderscope.session import fresh_path, prepare
@@ -260,3 +260,35 @@ def q_reports_reload(spark, sf_dir):
         rows = _report_rows(name, df)
         out = rows if out is None else out.unionByName(rows)
     return out
+
+
+# --- generator -----------------------------------------------------------------
+
+@register("gen_calendar", O.GEN_CALENDAR_SQL)
+def q_gen_calendar(spark, sf_dir):
+    """Hourly calendar over the span of the order dates."""
+    return generate.calendar_of_orders(tables.table(spark, sf_dir, "orders"))
+
+
+@register("gen_weighted", O.gen_weighted_sql())
+def q_gen_weighted(spark, sf_dir):
+    """Counts of the weighted categorical picks, one per order id."""
+    return generate.weighted_counts(generate.order_ids(spark, sf_dir))
+
+
+@register("gen_orders", O.gen_orders_sql())
+def q_gen_orders(spark, sf_dir):
+    """One synthetic order per order id, missing values injected."""
+    return generate.generate_orders(generate.order_ids(spark, sf_dir))
+
+
+@register("gen_null_injection", O.gen_null_injection_sql())
+def q_gen_null_injection(spark, sf_dir):
+    """Exactly k ids lose their rating / discount (k smallest draws)."""
+    return generate.null_injection_rows(generate.order_ids(spark, sf_dir))
+
+
+@register("gen_report_category", O.gen_report_category_sql())
+def q_gen_report_category(spark, sf_dir):
+    """Generated orders through cleaning into the category report (the original domain end to end)."""
+    return reports.report_category(generate.generate_orders(generate.order_ids(spark, sf_dir)))
