@@ -456,3 +456,22 @@ ventas AS (
   FROM base b JOIN missing m ON b.orden_id = m.orden_id
 )"""
     return "WITH " + gen + ",\n" + CLEAN + ",\n" + R_CATEGORY + "\nSELECT * FROM report_category"
+
+
+# --- transcripts -------------------------------------------------------------
+
+TRANSCRIPT_TURNS_SQL = """
+SELECT conv_id, turn, role, text FROM conversations
+WHERE role IN ('user', 'assistant') AND text IS NOT NULL AND text <> ''"""
+
+
+def transcript_text_sql(system_message: str) -> str:
+    sysmsg = ("system: " + system_message).replace("'", "''")
+    return f"""
+SELECT conv_id,
+       CAST(1 + count(*) FILTER (WHERE role IN ('user', 'assistant') AND text IS NOT NULL AND text <> '') AS BIGINT)
+         AS n_mensajes,
+       '{sysmsg}' || coalesce(chr(10) || string_agg(role || ': ' || text, chr(10) ORDER BY turn, role || ': ' || text)
+         FILTER (WHERE role IN ('user', 'assistant') AND text IS NOT NULL AND text <> ''), '') AS transcript
+FROM conversations
+GROUP BY conv_id"""

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderscope.operators import charts, clean, generate, questions, reports
+from orderscope.operators import charts, clean, generate, questions, reports, transcripts
 from orderscope.plans import batch
 from orderscope.plans import oracle as O
 from orderscope.session import fresh_path, prepare
@@ -292,3 +292,17 @@ def q_gen_null_injection(spark, sf_dir):
 def q_gen_report_category(spark, sf_dir):
     """Generated orders through cleaning into the category report (the original domain end to end)."""
     return reports.report_category(generate.generate_orders(generate.order_ids(spark, sf_dir)))
+
+
+# --- transcripts -----------------------------------------------------------------
+
+@register("transcript_turns", O.TRANSCRIPT_TURNS_SQL)
+def q_transcript_turns(spark, sf_dir):
+    """H1."""
+    return transcripts.transcript_turns(tables.conversations(spark, sf_dir))
+
+
+@register("transcript_text", O.transcript_text_sql(transcripts.SYSTEM_MESSAGE))
+def q_transcript_text(spark, sf_dir):
+    """H2."""
+    return transcripts.transcript_text(tables.conversations(spark, sf_dir))
