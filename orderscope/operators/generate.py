@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from orderscope.functions.hashing import hash32, uniform_slot, weighted_pick
 from orderscope.operators.selection import threshold, within
 from orderscope.schemas import RAW_ORDERS
+from orderscope.sources import tables
 
 # The order domain. Weights are per cent and follow the list order.
 SEED = "42"
@@ -75,7 +76,7 @@ HOURS_IN_CALENDAR = int((CALENDAR_END - CALENDAR_START).total_seconds() // 3600)
 
 def order_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One id per row of the ``orders`` table (its unique order key)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet").select(F.col("o_orderkey").alias("orden_id"))
+    return tables.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("orden_id"))
 
 
 def hourly_calendar(bounds: DataFrame, start: str = "start", end: str = "end") -> DataFrame:

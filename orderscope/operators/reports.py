@@ -7,9 +7,8 @@ cleaning step is folded into that aggregate instead of being a second pass:
 * per group we sum the non-null ratings and count the missing ones among
   the valid rows, and separately sum / count the ratings of *all* rows;
 * the fill value (the mean over all raw rows, invalid ones included) is the
-  ratio of the all-rows sums over the group rows — one row computed from
-  the already aggregated data and broadcast back to it (Spark reuses the
-  aggregate's shuffle, so the fact data is still read once);
+  ratio of the all-rows sums over the group rows, a global window over the
+  already aggregated rows (one per group), so the fact data is read once;
 * the group's mean rating after the fill is then
   (sum of known ratings + missing × fill) / valid rows.
 
@@ -66,18 +65,21 @@ def _measure_columns() -> list[Column]:
     ]
 
 
-def _totals(grouped: DataFrame) -> DataFrame:
-    """One row over the group rows: the fill value and the clean-row total.
+def _with_totals(groups: DataFrame) -> DataFrame:
+    """Add the fill value and the clean-row total to every group row.
 
     The fill is the mean rating over all raw rows (invalid rows included);
-    the total counts clean rows. Both come from the already aggregated
-    groups, so the query keeps one scan: the cross join below broadcasts
-    exactly one row and Spark reuses the aggregate's shuffle for it.
+    the total counts clean rows. Both are sums over the group rows of this
+    report — one row per group, bounded by the key domain (categories,
+    cities, months …), never by the number of orders — so a global window
+    over them is cheap, and unlike a self-join it lets Spark evaluate the
+    aggregate (or read its cached copy) once.
     """
-    return grouped.agg(
-        ratio(F.sum("_rating_sum_all"), F.sum("_rating_n_all")).alias("_fill"),
-        F.sum("_n_valid").alias("_total_rows"),
-    )
+    everything = Window.partitionBy()
+    return groups.withColumns({
+        "_fill": ratio(F.sum("_rating_sum_all").over(everything), F.sum("_rating_n_all").over(everything)),
+        "_total_rows": F.sum("_n_valid").over(everything),
+    })
 
 
 def _rating_avg() -> Column:
@@ -87,13 +89,12 @@ def _rating_avg() -> Column:
 
 def measures(orders: DataFrame, keys: list[str]) -> DataFrame:
     """Per-group measures with the fill folded in (one aggregate)."""
-    grouped = _with_keys(orders).groupBy(*keys).agg(*_measure_columns())
-    return _finish(grouped, _totals(grouped))
+    return _finish(_with_keys(orders).groupBy(*keys).agg(*_measure_columns()))
 
 
-def _finish(groups: DataFrame, totals: DataFrame) -> DataFrame:
-    return (groups.filter(F.col("_n_valid") > 0)
-            .crossJoin(F.broadcast(totals))
+def _finish(groups: DataFrame) -> DataFrame:
+    # Groups holding only invalid rows still count for the fill: filter after the window.
+    return (_with_totals(groups).filter(F.col("_n_valid") > 0)
             .withColumns({"_rating_avg": _rating_avg(),
                           "_revenue": combine(F.col("_rev_whole"), F.col("_rev_frac"))}))
 
@@ -210,9 +211,7 @@ def reports_from_grouped(grouped: DataFrame,
                          min_city_orders: int = DEFAULT_MIN_CITY_ORDERS) -> dict[str, DataFrame]:
     """The five reports from the output of ``grouped_measures``."""
     parts = {name: grouped.filter(F.col("_gid") == F.lit(_gid(name))) for name in KEYS}
-    # The fill value and the row total come from one key set (every row is in each set).
-    totals = _totals(parts["categorias"])
-    done = {name: _finish(part, totals) for name, part in parts.items()}
+    done = {name: _finish(part) for name, part in parts.items()}
     return {
         "categorias": _category(done["categorias"]),
         "ciudades": _city(done["ciudades"], min_city_orders),
