@@ -139,6 +139,20 @@ def _payment(m: DataFrame) -> DataFrame:
     ).orderBy(F.desc("total_ordenes"), F.asc("metodo_pago"))
 
 
+def month_over_month(by_month: DataFrame) -> DataFrame:
+    """% change of (rounded) revenue against the previous month; first month null.
+
+    The input has one row per month, so the unpartitioned window moves a
+    bounded number of rows (the months in the data), never order rows. The
+    previous value is computed once and the ratio is null, not an error,
+    when the previous month's revenue is 0.
+    """
+    w = Window.orderBy("anio", "mes")
+    with_prev = by_month.withColumn("_prev", F.lag("ingreso_total").over(w))
+    change = F.round(F.try_divide(F.col("ingreso_total") - F.col("_prev"), F.col("_prev")) * 100, 2)
+    return with_prev.withColumn("variacion_pct", change).drop("_prev").orderBy("anio", "mes")
+
+
 def _monthly(m: DataFrame) -> DataFrame:
     c = _common(m)
     by_month = m.select(
@@ -146,13 +160,7 @@ def _monthly(m: DataFrame) -> DataFrame:
         c["total_ordenes"].alias("total_ordenes"), c["ingreso_total"].alias("ingreso_total"),
         c["calificacion_promedio"].alias("calificacion_promedio"),
     )
-    # One row per month reaches this window, so the unpartitioned window moves
-    # a bounded number of rows (months in the data), never order rows.
-    w = Window.orderBy("anio", "mes")
-    prev = F.lag("ingreso_total").over(w)
-    with_prev = by_month.withColumn("_prev", prev)
-    change = F.round(F.try_divide(F.col("ingreso_total") - F.col("_prev"), F.col("_prev")) * 100, 2)
-    return with_prev.withColumn("variacion_pct", change).drop("_prev").orderBy("anio", "mes")
+    return month_over_month(by_month)
 
 
 def _status(m: DataFrame) -> DataFrame:
