@@ -24,12 +24,18 @@ from pyspark.sql import functions as F
 from orderscope.schemas import CLEAN_ORDERS, RAW_ORDERS, REPORT_FILES, REPORTS
 
 STAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+# A null is written as an empty field and an empty string as a quoted "" (the
+# writer's defaults). Spark's reader maps both to null when its null marker
+# is the empty string, so it reads with a marker no text contains: an
+# unquoted empty field still becomes null, a quoted "" stays an empty string.
+READ_NULL_MARKER = "\u0000"
 STAMP_WRITE_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"   # lossless; the reader takes both
 
 
 def read_orders_csv(spark: SparkSession, path: str, infer_schema: bool = False) -> DataFrame:
     """Raw orders from CSV with a header; explicit schema unless asked to infer."""
-    reader = spark.read.option("header", True).option("timestampNTZFormat", STAMP_FORMAT)
+    reader = spark.read.option("header", True).option("timestampNTZFormat", STAMP_FORMAT) \
+        .option("nullValue", READ_NULL_MARKER)
     if infer_schema:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(RAW_ORDERS).csv(path)
@@ -64,7 +70,8 @@ def read_report(spark: SparkSession, base: str, name: str) -> DataFrame:
     """S3: one stored report under its schema; missing → empty table, same schema."""
     schema = REPORTS[name]
     try:
-        return spark.read.schema(schema).option("header", True).csv(report_path(base, name))
+        return spark.read.schema(schema).option("header", True).option("nullValue", READ_NULL_MARKER) \
+            .csv(report_path(base, name))
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" not in str(exc.getCondition() or exc):
             raise
