@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderscope.functions import fmt
+from orderscope.functions.money import combine
+from orderscope.operators import reports
 
 # The metrics a ranking may use, in this order.
 RANKING_METRICS = ["total_ordenes", "ingreso_total", "ticket_promedio", "calificacion_promedio"]
@@ -149,7 +151,11 @@ def executive_summary(categories: DataFrame, cities: DataFrame, payments: DataFr
     city = cities.agg(F.coalesce(_arg_max("ciudad", "ingreso_total"), F.lit("N/A")).alias("ciudad_top"))
     pay = payments.agg(F.coalesce(_arg_max("metodo_pago", "total_ordenes"), F.lit("N/A")).alias("metodo_pago_top"))
     row = totals.crossJoin(F.broadcast(city)).crossJoin(F.broadcast(pay))
-    texto = F.concat(
+    return row.withColumn("texto", _summary_text())
+
+
+def _summary_text() -> Column:
+    return F.concat(
         F.lit("Resumen general:\n"),
         F.lit("  Total ordenes:       "), fmt.thousands(F.col("total_ordenes")), F.lit("\n"),
         F.lit("  Ingreso total:       "), fmt.money0(F.col("ingreso_total")), F.lit("\n"),
@@ -157,4 +163,38 @@ def executive_summary(categories: DataFrame, cities: DataFrame, payments: DataFr
         F.lit("  Ciudad top:          "), F.col("ciudad_top"), F.lit("\n"),
         F.lit("  Metodo de pago top:  "), F.col("metodo_pago_top"),
     )
-    return row.withColumn("texto", texto)
+
+
+def executive_summary_of_orders(orders: DataFrame,
+                                min_city_orders: int = reports.DEFAULT_MIN_CITY_ORDERS) -> DataFrame:
+    """T7 straight from order rows, in one scan and one plan branch.
+
+    Grouping sets give the category, city and payment groups from a single
+    aggregate; one global aggregate over those group rows then takes the
+    totals and the three arg-maxes with conditional ``min_by`` (rows of the
+    other sets have a null ordering and are skipped). Same result as
+    ``executive_summary`` over the three report tables, which would need
+    three scans (their branches prune columns differently, so Spark cannot
+    share one aggregate among them).
+    """
+    names = ["categorias", "ciudades", "pagos"]
+    groups = reports.grouped_measures(orders, names).filter(F.col("_n_valid") > 0)
+    revenue = F.round(combine(F.col("_rev_whole"), F.col("_rev_frac")), 2)
+    rows = groups.withColumn("_rev", revenue)
+    is_cat = F.col("_gid") == F.lit(reports.set_id("categorias", names))
+    is_city = (F.col("_gid") == F.lit(reports.set_id("ciudades", names))) & (F.col("_n_ids") > F.lit(min_city_orders))
+    is_pay = F.col("_gid") == F.lit(reports.set_id("pagos", names))
+    neg_rev = -F.col("_rev").cast("double")
+
+    def top(cond: Column, key: str, value: Column) -> Column:
+        return F.coalesce(F.min_by(F.when(cond, F.col(key)),
+                                   F.when(cond, F.struct(value.alias("v"), F.col(key).alias("k")))), F.lit("N/A"))
+
+    row = rows.agg(
+        F.sum(F.when(is_cat, F.col("_n_ids"))).cast("bigint").alias("total_ordenes"),
+        F.round(F.sum(F.when(is_cat, F.col("_rev"))), 2).cast("double").alias("ingreso_total"),
+        top(is_cat, "categoria", neg_rev).alias("categoria_top"),
+        top(is_city, "ciudad", neg_rev).alias("ciudad_top"),
+        top(is_pay, "metodo_pago", -F.col("_n_ids")).alias("metodo_pago_top"),
+    )
+    return row.withColumn("texto", _summary_text())

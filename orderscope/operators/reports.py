@@ -199,26 +199,37 @@ def report_status(orders: DataFrame) -> DataFrame:
 ALL_KEYS = ["categoria", "ciudad", "departamento", "metodo_pago", "anio", "mes", "estado_envio"]
 
 
-def grouped_measures(orders: DataFrame) -> DataFrame:
-    """The measures of all five key sets from **one** scan (grouping sets).
+def _set_columns(names: list[str]) -> list[str]:
+    return [k for k in ALL_KEYS if any(k in KEYS[n] for n in names)]
+
+
+def grouped_measures(orders: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """The measures of several reports' key sets from **one** scan (grouping sets).
 
     One row per group of each set (a few dozen rows), tagged by ``_gid``;
     small enough to persist or checkpoint and derive every report from.
     """
-    sets = [[F.col(k) for k in KEYS[name]] for name in KEYS]
-    return _with_keys(orders).groupingSets(sets, *[F.col(k) for k in ALL_KEYS]) \
+    names = list(names or KEYS)
+    cols = _set_columns(names)
+    sets = [[F.col(k) for k in KEYS[name]] for name in names]
+    return _with_keys(orders).groupingSets(sets, *[F.col(k) for k in cols]) \
         .agg(*_measure_columns(), F.grouping_id().alias("_gid"))
 
 
-def _gid(name: str) -> int:
-    # grouping_id sets a bit for every column NOT in the set (first column = highest bit)
-    return sum(1 << (len(ALL_KEYS) - 1 - i) for i, k in enumerate(ALL_KEYS) if k not in KEYS[name])
+def set_id(name: str, names: list[str] | None = None) -> int:
+    """``grouping_id`` of a report's key set within ``grouped_measures(names)``.
+
+    grouping_id sets a bit for every grouping column NOT in the set, the
+    first column being the highest bit.
+    """
+    cols = _set_columns(list(names or KEYS))
+    return sum(1 << (len(cols) - 1 - i) for i, k in enumerate(cols) if k not in KEYS[name])
 
 
 def reports_from_grouped(grouped: DataFrame,
                          min_city_orders: int = DEFAULT_MIN_CITY_ORDERS) -> dict[str, DataFrame]:
     """The five reports from the output of ``grouped_measures``."""
-    parts = {name: grouped.filter(F.col("_gid") == F.lit(_gid(name))) for name in KEYS}
+    parts = {name: grouped.filter(F.col("_gid") == F.lit(set_id(name))) for name in KEYS}
     done = {name: _finish(part) for name, part in parts.items()}
     return {
         "categorias": _category(done["categorias"]),

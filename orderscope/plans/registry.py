@@ -179,9 +179,8 @@ def q_status_lines(spark, sf_dir):
 
 @register("executive_summary", O.executive_summary_sql())
 def q_executive_summary(spark, sf_dir):
-    """Three reports from one grouping-sets scan, then one row."""
-    r = reports.report_tables(_orders(spark, sf_dir))
-    return questions.executive_summary(r["categorias"], r["ciudades"], r["pagos"])
+    """One scan (grouping sets) and one global aggregate."""
+    return questions.executive_summary_of_orders(_orders(spark, sf_dir))
 
 
 # --- chart tables ---------------------------------------------------------------

@@ -7,17 +7,25 @@ table has a null, so two columns get nulls by a fixed rule (a discount on
 every 250th part key, a rating on every 125th order key) to exercise the
 null fill.
 
-Join plan, written for a large cluster: the fact table meets the other
-large table first (``lineitem ⋈ orders`` on the order key), then the
-smaller dimensions (customer, nation ⋈ region, part). Spark's size
-estimate of a join without statistics is the product of its inputs, so
-this order also keeps the planner from ever choosing the fact side as a
-broadcast build side. Every join is an equi join that Spark plans as a
-sort-merge join when both sides are large and as a broadcast join only when
-the side's size is under ``autoBroadcastJoinThreshold`` (checked from file
-statistics, and again from measured shuffle sizes by adaptive execution).
-nation and region are fixed 25- and 5-row dimensions. A hot order or part
-key is split by adaptive skew-join handling.
+Join plan, written for a large cluster:
+
+* the order side is enriched first at orders scale —
+  ``orders ⋈ (customer ⋈ nation ⋈ region)`` — so the fact table is never
+  shuffled by customer key; nation and region are fixed 25- and 5-row
+  dimensions that Spark's size-checked auto-broadcast takes;
+* ``lineitem ⋈ order side`` on the order key is a **shuffled hash join**
+  (hint): both sides are hash-partitioned by order key and the order side,
+  unique per key, is the hash-table side, so its per-partition size is
+  bounded by the partition size, while the fact side only streams through.
+  The hint also keeps the planner from picking the fact table as a
+  broadcast build side, which it would otherwise do on small inputs
+  because, without statistics, the size estimate of a join is the product
+  of its inputs. A hot order key on the fact side is split by adaptive
+  skew-join handling, which covers shuffled hash joins;
+* ``⋈ part`` on the part key: a sort-merge join when both sides are large,
+  a broadcast join only when part is under ``autoBroadcastJoinThreshold``
+  (checked from file statistics, and again from measured sizes by adaptive
+  execution).
 
 Only the columns the order schema needs are read, and Catalyst prunes them
 further for each query (``ReadSchema`` in the plans).
@@ -86,10 +94,10 @@ def _build_ventas(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
 
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    lines = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
-    with_customer = lines.join(customer, lines.o_custkey == customer.c_custkey)
-    with_geo = with_customer.join(geo, with_customer.c_nationkey == geo.n_nationkey)
-    rows = with_geo.join(part, with_geo.l_partkey == part.p_partkey)
+    customer_geo = customer.join(geo, customer.c_nationkey == geo.n_nationkey)
+    order_side = orders.join(customer_geo, orders.o_custkey == customer_geo.c_custkey)
+    lines = lineitem.join(order_side.hint("shuffle_hash"), lineitem.l_orderkey == order_side.o_orderkey)
+    rows = lines.join(part, lines.l_partkey == part.p_partkey)
 
     discount = F.when(F.col("l_partkey") % DISCOUNT_NULL_EVERY_PARTKEY == 0, F.lit(None)) \
         .otherwise(F.round(F.col("l_discount") * 100))

@@ -68,3 +68,12 @@ def test_lookup_independent_of_case(spark, orders):
     a = rows(questions.category_lookup(cats, "PROMO"))
     b = rows(questions.category_lookup(cats, "pRoMo"))
     assert a == b and len(a) == 1
+
+
+def test_one_scan_summary_equals_summary_of_reports(spark, orders):
+    fused = rows(questions.executive_summary_of_orders(orders))
+    split = rows(questions.executive_summary(reports.report_category(orders), reports.report_city(orders),
+                                             reports.report_payment(orders)))
+    assert fused == split
+    strict = rows(questions.executive_summary_of_orders(orders, min_city_orders=10 ** 9))[0]
+    assert strict["ciudad_top"] == "N/A"
