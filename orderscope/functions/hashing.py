@@ -1,9 +1,10 @@
 """Deterministic per-row randomness.
 
-Every random draw is a function of (seed, column salt, row id) only, so a
+Every random draw is a function of (seed, salt, row id) only, so a
 generated table does not depend on partitioning, task retries or executor
-loss, and any SQL engine with ``md5`` can recompute it. The draw is the
-first 32 bits of ``md5("seed:salt:id")`` as an integer in [0, 2**32).
+loss, and any SQL engine with ``md5`` can recompute it. One digest
+``md5("seed:salt:id")`` holds four independent 32-bit draws (hex characters
+1–8, 9–16, 17–24, 25–32), so a row needs one digest per four draws.
 """
 
 from __future__ import annotations
@@ -12,10 +13,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def digest(seed: str, salt: str, row_id: Column) -> Column:
+    """The hex digest ``md5("seed:salt:id")`` (four draws)."""
+    return F.md5(F.concat_ws(":", F.lit(seed), F.lit(salt), row_id.cast("string")))
+
+
+def draw(digest_hex: Column, index: int) -> Column:
+    """Draw ``index`` (0–3) of a digest: a uniform integer in [0, 2**32)."""
+    if not 0 <= index < 4:
+        raise ValueError("a digest holds four draws")
+    return F.conv(F.substring(digest_hex, 8 * index + 1, 8), 16, 10).cast("bigint")
+
+
 def hash32(seed: str, salt: str, row_id: Column) -> Column:
-    """Uniform integer in [0, 2**32) for (seed, salt, id)."""
-    text = F.concat_ws(":", F.lit(seed), F.lit(salt), row_id.cast("string"))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    """Uniform integer in [0, 2**32) for (seed, salt, id): draw 0 of its digest."""
+    return draw(digest(seed, salt, row_id), 0)
 
 
 def uniform_slot(h: Column, k: int) -> Column:

@@ -19,10 +19,11 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderscope.functions.hashing import hash32, uniform_slot, weighted_pick
+from orderscope.functions.hashing import digest, draw, uniform_slot, weighted_pick
 from orderscope.operators.selection import threshold, within
 from orderscope.schemas import RAW_ORDERS
 from orderscope.sources import tables
@@ -95,13 +96,46 @@ def hourly_calendar(bounds: DataFrame, start: str = "start", end: str = "end") -
     return days.repartition("_d").select(hours.alias("fecha")).filter(F.col("fecha").isNotNull())
 
 
-def _draw(salt: str, seed: str) -> F.Column:
-    return hash32(seed, salt, F.col("orden_id"))
+# Which digest and which of its four draws feeds each random choice.
+DRAWS = {
+    "fecha": ("a", 0), "cliente": ("a", 1), "categoria": ("a", 2), "producto": ("a", 3),
+    "cantidad": ("b", 0), "precio": ("b", 1), "descuento": ("b", 2), "descuento_valor": ("b", 3),
+    "pago": ("c", 0), "ciudad": ("c", 1), "estado": ("c", 2), "calificacion": ("c", 3),
+    "calificacion_alta": ("d", 0), "calificacion_baja": ("d", 1),
+    "nulo_calificacion": ("d", 2), "nulo_descuento": ("d", 3),
+}
+DIGESTS = ("a", "b", "c", "d")
+
+
+def with_digests(ids: DataFrame, seed: str = SEED, groups: tuple[str, ...] = DIGESTS) -> DataFrame:
+    """Add one md5 digest column per group; each is computed once per row.
+
+    The values are derived in a later projection that references each
+    digest several times; Spark does not inline a non-trivial expression
+    referenced more than once, so every md5 runs once.
+    """
+    return ids.withColumns({f"_d{g}": digest(seed, g, F.col("orden_id")) for g in groups})
+
+
+def _draw(name: str) -> F.Column:
+    group, index = DRAWS[name]
+    return draw(F.col(f"_d{group}"), index)
 
 
-def _uniform(salt: str, seed: str, lo: int, hi: int) -> F.Column:
+def _uniform(name: str, lo: int, hi: int) -> F.Column:
     """Uniform integer in [lo, hi)."""
-    return F.lit(lo).cast("bigint") + uniform_slot(_draw(salt, seed), hi - lo)
+    return F.lit(lo).cast("bigint") + uniform_slot(_draw(name), hi - lo)
+
+
+def spread(ids: DataFrame) -> DataFrame:
+    """Spread the ids over all cores before the per-row hashing.
+
+    Generation is CPU-bound per row while the id source may be few large
+    files; an explicit repartition (8 bytes per row) is kept as is by
+    adaptive execution, unlike a size-based rebalance that would merge a
+    small id shuffle into one task.
+    """
+    return ids.repartition(ids.sparkSession.sparkContext.defaultParallelism, "orden_id")
 
 
 def _lookup_tables(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
@@ -120,37 +154,37 @@ def base_orders(ids: DataFrame, seed: str = SEED) -> DataFrame:
     """
     spark = ids.sparkSession
     cities, products = _lookup_tables(spark)
-    stamp = F.timestamp_add("HOUR", uniform_slot(_draw("fecha", seed), HOURS_IN_CALENDAR),
+    rows = ids if "_da" in ids.columns else with_digests(ids, seed)
+    stamp = F.timestamp_add("HOUR", uniform_slot(_draw("fecha"), HOURS_IN_CALENDAR),
                             F.lit(CALENDAR_START.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz"))
-    discount = F.when(uniform_slot(_draw("descuento", seed), 100) < DISCOUNT_SHARE_PCT,
+    discount = F.when(uniform_slot(_draw("descuento"), 100) < DISCOUNT_SHARE_PCT,
                       F.element_at(F.array(*[F.lit(float(v)) for v in DISCOUNT_VALUES]),
-                                   (uniform_slot(_draw("descuento_valor", seed), len(DISCOUNT_VALUES)) + 1).cast("int"))
+                                   (uniform_slot(_draw("descuento_valor"), len(DISCOUNT_VALUES)) + 1).cast("int"))
                       ).otherwise(F.lit(0.0))
-    rating = F.when(uniform_slot(_draw("calificacion", seed), 100) < HIGH_RATING_SHARE_PCT,
-                    _uniform("calificacion_alta", seed, *HIGH_RATING_RANGE)) \
-        .otherwise(_uniform("calificacion_baja", seed, *LOW_RATING_RANGE))
-    cents = _uniform("precio", seed, PRICE_CENTS_RANGE[0], PRICE_CENTS_RANGE[1] + 1)
-    rating = rating.cast("double")
+    rating = F.when(uniform_slot(_draw("calificacion"), 100) < HIGH_RATING_SHARE_PCT,
+                    _uniform("calificacion_alta", *HIGH_RATING_RANGE)) \
+        .otherwise(_uniform("calificacion_baja", *LOW_RATING_RANGE)).cast("double")
     if "sin_calificacion" in ids.columns:
         rating = F.when(F.col("sin_calificacion"), F.lit(None).cast("double")).otherwise(rating)
     if "sin_descuento" in ids.columns:
         discount = F.when(F.col("sin_descuento"), F.lit(None).cast("double")).otherwise(discount)
-    rows = ids.select(
+    cents = _uniform("precio", PRICE_CENTS_RANGE[0], PRICE_CENTS_RANGE[1] + 1)
+    out = rows.select(
         F.col("orden_id").cast("bigint").alias("orden_id"),
         stamp.alias("fecha"),
-        _uniform("cliente", seed, *CUSTOMER_ID_RANGE).alias("cliente_id"),
-        weighted_pick(_draw("categoria", seed), CATEGORIES, CATEGORY_WEIGHTS).alias("categoria"),
-        uniform_slot(_draw("producto", seed), 5).alias("_slot"),
-        _uniform("cantidad", seed, *QUANTITY_RANGE).cast("int").alias("cantidad"),
+        _uniform("cliente", *CUSTOMER_ID_RANGE).alias("cliente_id"),
+        weighted_pick(_draw("categoria"), CATEGORIES, CATEGORY_WEIGHTS).alias("categoria"),
+        uniform_slot(_draw("producto"), 5).alias("_slot"),
+        _uniform("cantidad", *QUANTITY_RANGE).cast("int").alias("cantidad"),
         (cents / F.lit(100.0)).alias("precio_unitario"),
         discount.alias("descuento_pct"),
-        weighted_pick(_draw("pago", seed), PAYMENT_METHODS, PAYMENT_WEIGHTS).alias("metodo_pago"),
-        weighted_pick(_draw("ciudad", seed), list(CITIES), CITY_WEIGHTS).alias("ciudad"),
-        weighted_pick(_draw("estado", seed), STATUSES, STATUS_WEIGHTS).alias("estado_envio"),
+        weighted_pick(_draw("pago"), PAYMENT_METHODS, PAYMENT_WEIGHTS).alias("metodo_pago"),
+        weighted_pick(_draw("ciudad"), list(CITIES), CITY_WEIGHTS).alias("ciudad"),
+        weighted_pick(_draw("estado"), STATUSES, STATUS_WEIGHTS).alias("estado_envio"),
         rating.alias("calificacion"),
     )
-    rows = rows.join(F.broadcast(products), ["categoria", "_slot"]).join(F.broadcast(cities), "ciudad")
-    return rows.select(*[F.col(f.name).cast(f.dataType) for f in RAW_ORDERS.fields])
+    out = out.join(F.broadcast(products), ["categoria", "_slot"]).join(F.broadcast(cities), "ciudad")
+    return out.select(*[F.col(f.name).cast(f.dataType) for f in RAW_ORDERS.fields])
 
 
 def missing_count(n_rows: int, per_500k: int) -> int:
@@ -162,19 +196,26 @@ def missing_flags(ids: DataFrame, seed: str = SEED) -> DataFrame:
     """Ids with two flags, rating missing / discount missing (exactly k each).
 
     The two thresholds are found by distributed radix selection; only the
-    row count and two pairs of numbers reach the driver.
+    row count and two pairs of numbers reach the driver. All digests are
+    kept so that ``base_orders`` does not hash again.
     """
-    keyed = ids.select(F.col("orden_id").cast("bigint").alias("orden_id"),
-                       _draw("nulo_calificacion", seed).alias("_h_rating"),
-                       _draw("nulo_descuento", seed).alias("_h_discount"))
-    n_rows = ids.count()
-    rating_cut = threshold(keyed, "_h_rating", "orden_id", missing_count(n_rows, MISSING_RATINGS_PER_500K))
-    discount_cut = threshold(keyed, "_h_discount", "orden_id", missing_count(n_rows, MISSING_DISCOUNTS_PER_500K))
-    return keyed.select(
-        "orden_id",
-        within(F.col("_h_rating"), F.col("orden_id"), rating_cut).alias("sin_calificacion"),
-        within(F.col("_h_discount"), F.col("orden_id"), discount_cut).alias("sin_descuento"),
-    )
+    keyed = with_digests(ids.select(F.col("orden_id").cast("bigint").alias("orden_id")), seed)
+    # The search makes seven small passes over (id, two draws): keep those
+    # 24 bytes per row for its duration (memory, spilling to disk; a lost
+    # executor's blocks are recomputed from lineage), then release them.
+    draws = keyed.select("orden_id", _draw("nulo_calificacion").alias("_h_rating"),
+                         _draw("nulo_descuento").alias("_h_discount")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n_rows = draws.count()
+        rating_cut = threshold(draws, "_h_rating", "orden_id", missing_count(n_rows, MISSING_RATINGS_PER_500K))
+        discount_cut = threshold(draws, "_h_discount", "orden_id",
+                                 missing_count(n_rows, MISSING_DISCOUNTS_PER_500K))
+    finally:
+        draws.unpersist()
+    return keyed.withColumns({
+        "sin_calificacion": within(_draw("nulo_calificacion"), F.col("orden_id"), rating_cut),
+        "sin_descuento": within(_draw("nulo_descuento"), F.col("orden_id"), discount_cut),
+    })
 
 
 def generate_orders(ids: DataFrame, seed: str = SEED) -> DataFrame:
@@ -183,14 +224,17 @@ def generate_orders(ids: DataFrame, seed: str = SEED) -> DataFrame:
     The missing-value flags are pure predicates on the same row's draws, so
     they are applied in the same projection: no join back to the ids.
     """
-    return base_orders(missing_flags(ids, seed), seed)
+    return base_orders(missing_flags(spread(ids), seed), seed)
+
+
 def weighted_counts(ids: DataFrame, seed: str = SEED) -> DataFrame:
     """Counts of each value of the four weighted columns, from one pass (unpivot + group)."""
-    picks = ids.select(
-        weighted_pick(_draw("categoria", seed), CATEGORIES, CATEGORY_WEIGHTS).alias("categoria"),
-        weighted_pick(_draw("pago", seed), PAYMENT_METHODS, PAYMENT_WEIGHTS).alias("metodo_pago"),
-        weighted_pick(_draw("ciudad", seed), list(CITIES), CITY_WEIGHTS).alias("ciudad"),
-        weighted_pick(_draw("estado", seed), STATUSES, STATUS_WEIGHTS).alias("estado_envio"),
+    rows = with_digests(spread(ids), seed, ("a", "c"))
+    picks = rows.select(
+        weighted_pick(_draw("categoria"), CATEGORIES, CATEGORY_WEIGHTS).alias("categoria"),
+        weighted_pick(_draw("pago"), PAYMENT_METHODS, PAYMENT_WEIGHTS).alias("metodo_pago"),
+        weighted_pick(_draw("ciudad"), list(CITIES), CITY_WEIGHTS).alias("ciudad"),
+        weighted_pick(_draw("estado"), STATUSES, STATUS_WEIGHTS).alias("estado_envio"),
     )
     long = picks.unpivot([], ["categoria", "metodo_pago", "ciudad", "estado_envio"], "columna", "valor")
     return long.groupBy("columna", "valor").agg(F.count(F.lit(1)).alias("n"))
@@ -198,7 +242,7 @@ def weighted_counts(ids: DataFrame, seed: str = SEED) -> DataFrame:
 
 def null_injection_rows(ids: DataFrame, seed: str = SEED) -> DataFrame:
     """The ids that lose a value, as rows (column name, id)."""
-    flags = missing_flags(ids, seed)
+    flags = missing_flags(spread(ids), seed)
     rating = flags.filter("sin_calificacion").select(F.lit("calificacion").alias("columna"), "orden_id")
     discount = flags.filter("sin_descuento").select(F.lit("descuento_pct").alias("columna"), "orden_id")
     return rating.unionByName(discount)

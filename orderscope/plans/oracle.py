@@ -337,8 +337,11 @@ def _gen_constants():
     return G
 
 
-def draw(salt: str, seed: str = "42") -> str:
-    return f"CAST(('0x' || substr(md5('{seed}:{salt}:' || CAST(orden_id AS VARCHAR)), 1, 8)) AS BIGINT)"
+def draw(name: str, seed: str = "42") -> str:
+    from orderscope.operators.generate import DRAWS
+    group, index = DRAWS[name]
+    return (f"CAST(('0x' || substr(md5('{seed}:{group}:' || CAST(orden_id AS VARCHAR)), {8 * index + 1}, 8))"
+            " AS BIGINT)")
 
 
 def slot(h: str, k: int) -> str:
