@@ -85,15 +85,20 @@ def hourly_calendar(bounds: DataFrame, start: str = "start", end: str = "end") -
 
     Expanded in two steps, days then hours, so no single row ever holds more
     than one span of days or 24 stamps; the day rows are spread before the
-    hourly expansion.
+    hourly expansion. Each day starts at the first stamp of the series on or
+    after midnight, so a start off the hour keeps its minutes every day.
     """
-    day = F.explode(F.sequence(F.to_date(F.col(start)), F.to_date(F.col(end)), F.expr("INTERVAL 1 DAY")))
-    days = bounds.select(F.col(start).cast("timestamp_ntz").alias("_s"), F.col(end).cast("timestamp_ntz").alias("_e"),
-                         day.alias("_d"))
-    day_start = F.greatest(F.col("_d").cast("timestamp_ntz"), F.col("_s"))
-    day_end = F.least(F.timestamp_add("HOUR", F.lit(23), F.col("_d").cast("timestamp_ntz")), F.col("_e"))
+    s_col, e_col = F.col(start).cast("timestamp_ntz"), F.col(end).cast("timestamp_ntz")
+    day = F.explode(F.sequence(F.to_date(s_col), F.to_date(e_col), F.expr("INTERVAL 1 DAY")))
+    days = bounds.select(s_col.alias("_s"), e_col.alias("_e"), day.alias("_d"))
+    midnight = F.col("_d").cast("timestamp_ntz")
+    seconds_in = F.timestamp_diff("SECOND", F.col("_s"), midnight)
+    hours_in = F.greatest(F.ceil(seconds_in / F.lit(3600)), F.lit(0)).cast("int")
+    day_start = F.timestamp_add("HOUR", hours_in, F.col("_s"))
+    day_end = F.least(F.timestamp_add("MICROSECOND", F.lit(86_400_000_000 - 1), midnight), F.col("_e"))
     hours = F.explode(F.sequence(day_start, day_end, F.expr("INTERVAL 1 HOUR")))
-    return days.repartition("_d").select(hours.alias("fecha")).filter(F.col("fecha").isNotNull())
+    spread_days = days.repartition("_d").filter(day_start <= day_end)
+    return spread_days.select(hours.alias("fecha"))
 
 
 # Which digest and which of its four draws feeds each random choice.

@@ -42,3 +42,55 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_base: str | None = Non
 def stored_reports(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
     """The reports a pipeline run wrote, read back under their schemas."""
     return load_reports(spark, paths["reports"])
+
+
+def generate_raw_csv(spark: SparkSession, ids: DataFrame, path: str) -> str:
+    """Generate synthetic orders for ``ids`` and store them as raw CSV (executors write)."""
+    from orderscope.operators.generate import generate_orders
+    from orderscope.sources.files import write_orders_csv
+    write_orders_csv(generate_orders(ids), path)
+    return path
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Command line: generate orders, store them as CSV, clean, report.
+
+    ``python -m orderscope.plans.batch --rows 500000`` or
+    ``--ids-from /root/testdata/sf0.1`` (one order per row of its ``orders``
+    table); ``--csv PATH`` skips generation and cleans an existing CSV.
+    """
+    import argparse
+    import json
+
+    from orderscope.operators.generate import order_ids
+    from orderscope.session import get_session
+    from orderscope.sources.files import read_orders_csv
+
+    parser = argparse.ArgumentParser(prog="python -m orderscope.plans.batch")
+    source = parser.add_mutually_exclusive_group(required=True)
+    source.add_argument("--rows", type=int, help="generate orders with ids 1..N")
+    source.add_argument("--ids-from", help="generate one order per row of <dir>/orders.parquet")
+    source.add_argument("--csv", help="clean and report an existing raw-order CSV")
+    parser.add_argument("--out", help="output folder (default: a fresh folder under spark.checkpoint.dir)")
+    parser.add_argument("--min-city-orders", type=int, default=DEFAULT_MIN_CITY_ORDERS)
+    args = parser.parse_args(argv)
+
+    spark = get_session(app_name="orderscope-batch")
+    base = (args.out or fresh_path(spark, "batch")).rstrip("/")
+    if args.csv:
+        raw_path = args.csv
+    else:
+        if args.rows is not None:
+            ids = spark.range(1, args.rows + 1).withColumnRenamed("id", "orden_id")
+        else:
+            ids = order_ids(spark, args.ids_from)
+        raw_path = generate_raw_csv(spark, ids, f"{base}/raw")
+    paths = run_pipeline(spark, read_orders_csv(spark, raw_path), base, args.min_city_orders)
+    summary = {"raw": raw_path, **paths}
+    for name, df in stored_reports(spark, paths).items():
+        summary[f"rows_{name}"] = df.count()
+    print(json.dumps(summary))
+
+
+if __name__ == "__main__":
+    main()

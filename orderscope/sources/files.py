@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from orderscope.schemas import CLEAN_ORDERS, RAW_ORDERS, REPORT_FILES, REPORTS
 
@@ -58,8 +59,15 @@ def read_clean_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_report_csv(report: DataFrame, path: str) -> None:
-    """One report table (one row per group) as a single CSV file with a header."""
-    report.coalesce(1).write.option("header", True).csv(path)
+    """One report table (one row per group) as a single CSV file with a header.
+
+    Report measures are rounded to cents / hundredths when computed, so the
+    double columns are written as ``decimal(38,2)``: plain digits
+    (``43662572.28``, not ``4.366257228E7``) that read back to the same double.
+    """
+    cols = [F.col(f.name).cast("decimal(38,2)").alias(f.name) if isinstance(f.dataType, DoubleType)
+            else F.col(f.name) for f in report.schema.fields]
+    report.select(*cols).coalesce(1).write.option("header", True).csv(path)
 
 
 def report_path(base: str, name: str) -> str:

@@ -172,3 +172,9 @@ def test_text_formats_match_python(spark):
         assert r["c"] == f"{x:.2f}", x
         assert r["d"] == f"{x:.1f}", x
         assert r["e"] == f"{x:+.1f}%", x
+
+
+def test_schema_rows(spark):
+    out = clean.schema_rows(frame(spark, [order(1)]))
+    assert out[0] == ("orden_id", "bigint", True)
+    assert ("calificacion", "double", True) in out and ("fecha", "timestamp_ntz", True) in out

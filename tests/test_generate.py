@@ -92,3 +92,11 @@ def test_weighted_pick_follows_weights(spark):
         assert counts[("categoria", value)] / n == pytest.approx(weight / 100, abs=0.006)
     for value, weight in zip(G.STATUSES, G.STATUS_WEIGHTS):
         assert counts[("estado_envio", value)] / n == pytest.approx(weight / 100, abs=0.006)
+
+
+def test_calendar_keeps_minute_phase_across_days(spark):
+    start, end = dt.datetime(2022, 1, 1, 22, 30), dt.datetime(2022, 1, 3, 1, 30)
+    bounds = spark.createDataFrame([(start, end)], "start timestamp_ntz, end timestamp_ntz")
+    got = sorted(r["fecha"] for r in G.hourly_calendar(bounds).collect())
+    want = [start + dt.timedelta(hours=i) for i in range(int((end - start).total_seconds() // 3600) + 1)]
+    assert got == want
