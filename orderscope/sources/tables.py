@@ -65,9 +65,10 @@ def forget(spark: SparkSession | None = None) -> None:
 
 def _cached(spark: SparkSession, key: str, build) -> DataFrame:
     k = (_session_key(spark), key)
-    if k not in _HANDLES:
-        _HANDLES[k] = build()
-    return _HANDLES[k]
+    handle = _HANDLES.get(k)
+    if handle is None or handle.sparkSession._jsparkSession is not spark._jsparkSession:
+        handle = _HANDLES[k] = build()
+    return handle
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
