@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from orderscope.operators import transcripts as T
 
-from .conftest import rows
-
-
 def test_turns_keep_user_and_assistant_with_text(spark):
     df = spark.createDataFrame([(1, 0, "system", "s"), (1, 1, "user", ""), (1, 2, "user", "hola"),
                                 (1, 3, "assistant", None), (1, 4, "assistant", "ok"), (1, 5, "tool", "x")],
@@ -14,7 +11,6 @@ def test_turns_keep_user_and_assistant_with_text(spark):
     assert [(r["turn"], r["role"]) for r in T.transcript_turns(df).orderBy("turn").collect()] == \
         [(2, "user"), (4, "assistant")]
 
-
 def test_text_orders_turns_across_blocks_and_prepends_system(spark):
     n = T.BLOCK * 2 + 17
     data = [(7, t, "user" if t % 2 == 0 else "assistant", f"m{t}") for t in reversed(range(n))]
