@@ -17,14 +17,14 @@ the ``> 0`` comparisons reach the Parquet scan as pushed filters.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderscope.functions.money import revenue_double
 from orderscope.schemas import CLEAN_ORDERS, RAW_ORDERS
 
-DOUBLE_COLUMNS = ("precio_unitario", "descuento_pct", "calificacion")
-
 
 def conform(raw: DataFrame) -> DataFrame:
     """Cast to the raw order schema and turn NaN into null in double columns.
@@ -32,13 +32,19 @@ def conform(raw: DataFrame) -> DataFrame:
     Price is left as read: the validity filter rejects NaN prices itself, and
     leaving the column untouched keeps its predicate pushable to the scan.
     """
+    return raw.select(*_conform_columns())
+
+
+@cache
+def _conform_columns() -> tuple[Column, ...]:
+    """Built once per process: a Column is an immutable expression tree."""
     cols = []
     for field in RAW_ORDERS.fields:
         c = F.col(field.name).cast(field.dataType)
         if field.name in ("descuento_pct", "calificacion"):
             c = F.nanvl(c, F.lit(None).cast("double"))
         cols.append(c.alias(field.name))
-    return raw.select(*cols)
+    return tuple(cols)
 
 
 def is_valid() -> Column:

@@ -23,6 +23,8 @@ batch job uses it.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,12 +48,16 @@ def _with_keys(orders: DataFrame) -> DataFrame:
     return rows.withColumns({"anio": F.year("fecha"), "mes": F.month("fecha")})
 
 
-def _measure_columns() -> list[Column]:
+# The column expressions below depend on constants only. A Column is an
+# immutable, name-resolved expression tree, so each list is built once per
+# process (a few thousand Py4J calls) and reused by every query.
+@cache
+def _measure_columns() -> tuple[Column, ...]:
     valid = is_valid()
     rating = F.col("calificacion")
     discount = F.coalesce(F.col("descuento_pct"), F.lit(0.0))
     micro = revenue_micro(F.col("precio_unitario"), F.col("cantidad"), discount)
-    return [
+    return (
         F.count_if(valid).alias("_n_valid"),
         F.count(F.when(valid, F.col("orden_id"))).alias("_n_ids"),
         F.sum(F.when(valid, F.col("cantidad"))).alias("_units"),
@@ -62,7 +68,7 @@ def _measure_columns() -> list[Column]:
         F.count_if(valid & rating.isNull()).alias("_rating_missing"),
         F.sum(rating).alias("_rating_sum_all"),
         F.count(rating).alias("_rating_n_all"),
-    ]
+    )
 
 
 def _with_totals(groups: DataFrame) -> DataFrame:
@@ -75,13 +81,19 @@ def _with_totals(groups: DataFrame) -> DataFrame:
     over them is cheap, and unlike a self-join it lets Spark evaluate the
     aggregate (or read its cached copy) once.
     """
+    return groups.withColumns(_total_columns())
+
+
+@cache
+def _total_columns() -> dict[str, Column]:
     everything = Window.partitionBy()
-    return groups.withColumns({
+    return {
         "_fill": ratio(F.sum("_rating_sum_all").over(everything), F.sum("_rating_n_all").over(everything)),
         "_total_rows": F.sum("_n_valid").over(everything),
-    })
+    }
 
 
+@cache
 def _rating_avg() -> Column:
     known = F.coalesce(F.col("_rating_sum"), F.lit(0.0))
     return ratio(known + F.col("_rating_missing") * F.col("_fill"), F.col("_n_valid"))
@@ -95,11 +107,20 @@ def measures(orders: DataFrame, keys: list[str]) -> DataFrame:
 def _finish(groups: DataFrame) -> DataFrame:
     # Groups holding only invalid rows still count for the fill: filter after the window.
     return (_with_totals(groups).filter(F.col("_n_valid") > 0)
-            .withColumns({"_rating_avg": _rating_avg(),
-                          "_revenue": combine(F.col("_rev_whole"), F.col("_rev_frac"))}))
+            .withColumns(_finish_columns()))
+
+
+@cache
+def _finish_columns() -> dict[str, Column]:
+    return {"_rating_avg": _rating_avg(), "_revenue": combine(F.col("_rev_whole"), F.col("_rev_frac"))}
 
 
 def _common(m: DataFrame) -> dict[str, Column]:
+    return _common_columns()
+
+
+@cache
+def _common_columns() -> dict[str, Column]:
     return {
         "total_ordenes": F.col("_n_ids"),
         "total_unidades": F.col("_units").cast("bigint"),
