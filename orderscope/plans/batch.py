@@ -2,10 +2,11 @@
 
 Stages and what each costs on a large cluster:
 
-1. ``clean_orders`` over the raw input: one pass for the rating mean (the
-   scan reads the rating column only when the source is columnar) and one
-   pass that filters, fills, derives and writes the clean table partitioned
-   by year and month (executors write, nothing passes through the driver).
+1. One profiling pass over the raw input gives the row counts and the
+   rating mean (a single row); the mean goes back into the plan as the fill
+   value, and one more pass filters, fills, derives and writes the clean
+   table partitioned by year and month (executors write, nothing but that
+   one row passes through the driver).
 2. The clean table is read back from storage. This cuts the lineage: a lost
    executor later costs a re-read of committed files, not a re-run of
    cleaning.
@@ -18,20 +19,29 @@ Stages and what each costs on a large cluster:
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderscope.operators.clean import clean_orders
+from orderscope.operators.clean import clean_orders, profile
 from orderscope.operators.reports import DEFAULT_MIN_CITY_ORDERS, grouped_measures, reports_from_grouped
 from orderscope.session import fresh_path, shared_dir
 from orderscope.sources.files import load_reports, read_clean_parquet, write_clean_parquet, write_reports
 
 
+def clean_to_parquet(raw: DataFrame, path: str) -> dict[str, float | int | None]:
+    """Profile the raw input once, then write the clean table with the profiled mean as fill."""
+    stats = profile(raw).first().asDict()
+    fill = F.lit(stats["calificacion_media"]).cast("double")
+    write_clean_parquet(clean_orders(raw, rating_fill=fill), path)
+    return stats
+
+
 def run_pipeline(spark: SparkSession, raw: DataFrame, out_base: str | None = None,
                  min_city_orders: int = DEFAULT_MIN_CITY_ORDERS) -> dict[str, str]:
     """Run cleaning and reporting; return the folders written."""
     base = (out_base or fresh_path(spark, "pipeline")).rstrip("/")
     clean_path = f"{base}/clean"
     reports_path = f"{base}/reports"
-    write_clean_parquet(clean_orders(raw), clean_path)
+    clean_to_parquet(raw, clean_path)
     clean = read_clean_parquet(spark, clean_path)
     shared_dir(spark)  # make sure the checkpoint folder is registered
     grouped = grouped_measures(clean).checkpoint(eager=True)
