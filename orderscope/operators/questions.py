@@ -28,9 +28,30 @@ from orderscope.operators import reports
 # The metrics a ranking may use, in this order.
 RANKING_METRICS = ["total_ordenes", "ingreso_total", "ticket_promedio", "calificacion_promedio"]
 
+# The answer texts, as they read (labels are padded to align).
+LOOKUP_LABELS = ["  Ordenes:            ", "  Unidades vendidas:  ", "  Ingreso total:      ",
+                 "  Ticket promedio:    ", "  Calificacion prom:  ", "  Con descuento:      "]
+SUMMARY_TITLE = "Resumen general:"
+SUMMARY_LABELS = ["  Total ordenes:       ", "  Ingreso total:       ", "  Categoria top:       ",
+                  "  Ciudad top:          ", "  Metodo de pago top:  "]
+LINE_INDENT = "  "
+ORDERS_SUFFIX = " ordenes"
+RATING_LABEL = "calif: "
+CHANGE_LABEL = "var: "
+FIRST_MONTH = "base"
+NOT_AVAILABLE = "N/A"
+
 MAX_TOP_CITIES = 10
 
 
+def _text_block(first: Column, labels: list[str], values: list[Column]) -> Column:
+    """``first``, then one ``label + value`` line per value (null if any part is null)."""
+    parts = [first]
+    for label, value in zip(labels, values, strict=True):
+        parts += [F.lit("\n" + label), value]
+    return F.concat(*parts)
+
+
 def _plain(x: Column, integral: bool) -> Column:
     """A number printed the way ``str()`` prints it (ints plain, floats shortest)."""
     if integral:
@@ -47,15 +68,14 @@ def category_lookup(categories: DataFrame, categoria: str) -> DataFrame:
     """One category's figures; case-insensitive match, first hit in report order."""
     hit = categories.filter(F.lower(F.col("categoria")) == F.lower(F.lit(categoria))) \
         .orderBy(F.desc("ingreso_total"), F.asc("categoria")).limit(1)
-    texto = F.concat(
-        F.col("categoria"), F.lit(":\n"),
-        F.lit("  Ordenes:            "), fmt.thousands(F.col("total_ordenes")), F.lit("\n"),
-        F.lit("  Unidades vendidas:  "), fmt.thousands(F.col("total_unidades")), F.lit("\n"),
-        F.lit("  Ingreso total:      "), fmt.money0(F.col("ingreso_total")), F.lit("\n"),
-        F.lit("  Ticket promedio:    "), fmt.money2(F.col("ticket_promedio")), F.lit("\n"),
-        F.lit("  Calificacion prom:  "), fmt.fixed(F.col("calificacion_promedio"), 2), F.lit("/5\n"),
-        F.lit("  Con descuento:      "), fmt.fixed(F.col("pct_con_descuento"), 1), F.lit("%"),
-    )
+    texto = _text_block(F.concat(F.col("categoria"), F.lit(":")), LOOKUP_LABELS, [
+        fmt.thousands(F.col("total_ordenes")),
+        fmt.thousands(F.col("total_unidades")),
+        fmt.money0(F.col("ingreso_total")),
+        fmt.money2(F.col("ticket_promedio")),
+        F.concat(fmt.fixed(F.col("calificacion_promedio"), 2), F.lit("/5")),
+        F.concat(fmt.fixed(F.col("pct_con_descuento"), 1), F.lit("%")),
+    ])
     return hit.withColumn("texto", texto)
 
 
@@ -72,7 +92,7 @@ def category_ranking(categories: DataFrame, metrica: str) -> DataFrame:
         F.col(metrica).cast("double").alias("valor"),
         _plain(F.col(metrica), integral).alias("valor_texto"),
     )
-    linea = F.concat(F.lit("  "), F.col("posicion").cast("string"), F.lit(". "), F.col("categoria"),
+    linea = F.concat(F.lit(LINE_INDENT), F.col("posicion").cast("string"), F.lit(". "), F.col("categoria"),
                      F.lit(": "), F.col("valor_texto"))
     return ranked.withColumn("linea", linea).orderBy("posicion")
 
@@ -91,9 +111,9 @@ def top_cities(cities: DataFrame, n: int | str | float) -> DataFrame:
     top = cities.orderBy(*order).limit(k)
     ranked = top.withColumn("posicion", F.row_number().over(Window.orderBy(*order)))
     linea = F.concat(
-        F.lit("  "), F.col("posicion").cast("string"), F.lit(". "), F.col("ciudad"),
+        F.lit(LINE_INDENT), F.col("posicion").cast("string"), F.lit(". "), F.col("ciudad"),
         F.lit(" ("), F.col("departamento"), F.lit("): "), fmt.money0(F.col("ingreso_total")),
-        F.lit(" | "), fmt.thousands(F.col("total_ordenes")), F.lit(" ordenes"),
+        F.lit(" | "), fmt.thousands(F.col("total_ordenes")), F.lit(ORDERS_SUFFIX),
     )
     return ranked.select("posicion", "ciudad", "departamento", "ingreso_total", "total_ordenes",
                          linea.alias("linea")).orderBy("posicion")
@@ -101,8 +121,8 @@ def top_cities(cities: DataFrame, n: int | str | float) -> DataFrame:
 
 def payment_lines(payments: DataFrame) -> DataFrame:
     """T4: every payment method with orders and revenue, in report order."""
-    linea = F.concat(F.lit("  "), F.col("metodo_pago"), F.lit(": "), fmt.thousands(F.col("total_ordenes")),
-                     F.lit(" ordenes | "), fmt.money0(F.col("ingreso_total")))
+    linea = F.concat(F.lit(LINE_INDENT), F.col("metodo_pago"), F.lit(": "), fmt.thousands(F.col("total_ordenes")),
+                     F.lit(ORDERS_SUFFIX + " | "), fmt.money0(F.col("ingreso_total")))
     return payments.select("metodo_pago", "total_ordenes", "ingreso_total", linea.alias("linea")) \
         .orderBy(F.desc("total_ordenes"), F.asc("metodo_pago"))
 
@@ -111,11 +131,11 @@ def monthly_for_year(monthly: DataFrame, anio: int | None) -> DataFrame:
     """T5: monthly evolution of one year (0 / None = all years)."""
     year = int(anio) if anio else 0
     rows = monthly if year == 0 else monthly.filter(F.col("anio") == F.lit(year))
-    var = F.coalesce(fmt.signed_pct(F.col("variacion_pct")), F.lit("base"))
+    var = F.coalesce(fmt.signed_pct(F.col("variacion_pct")), F.lit(FIRST_MONTH))
     linea = F.concat(
-        F.lit("  "), F.col("anio").cast("string"), F.lit(" "), fmt.month_name(F.col("mes")), F.lit(": "),
-        fmt.thousands(F.col("total_ordenes")), F.lit(" ordenes | "), fmt.money0(F.col("ingreso_total")),
-        F.lit(" | var: "), var,
+        F.lit(LINE_INDENT), F.col("anio").cast("string"), F.lit(" "), fmt.month_name(F.col("mes")), F.lit(": "),
+        fmt.thousands(F.col("total_ordenes")), F.lit(ORDERS_SUFFIX + " | "), fmt.money0(F.col("ingreso_total")),
+        F.lit(" | " + CHANGE_LABEL), var,
     )
     return rows.select(
         "anio", "mes", fmt.month_name(F.col("mes")).alias("mes_nombre"), "total_ordenes", "ingreso_total",
@@ -125,8 +145,9 @@ def monthly_for_year(monthly: DataFrame, anio: int | None) -> DataFrame:
 
 def status_lines(statuses: DataFrame) -> DataFrame:
     """Every delivery status with orders and mean rating."""
-    linea = F.concat(F.lit("  "), F.col("estado_envio"), F.lit(": "), fmt.thousands(F.col("total_ordenes")),
-                     F.lit(" ordenes | calif: "), fmt.fixed(F.col("calificacion_promedio"), 2), F.lit("/5"))
+    linea = F.concat(F.lit(LINE_INDENT), F.col("estado_envio"), F.lit(": "), fmt.thousands(F.col("total_ordenes")),
+                     F.lit(ORDERS_SUFFIX + " | " + RATING_LABEL), fmt.fixed(F.col("calificacion_promedio"), 2),
+                     F.lit("/5"))
     return statuses.select("estado_envio", "total_ordenes", "calificacion_promedio", linea.alias("linea")) \
         .orderBy(F.desc("total_ordenes"), F.asc("estado_envio"))
 
@@ -146,23 +167,22 @@ def executive_summary(categories: DataFrame, cities: DataFrame, payments: DataFr
     totals = categories.agg(
         F.sum("total_ordenes").cast("bigint").alias("total_ordenes"),
         F.round(F.sum(F.col("ingreso_total").cast("decimal(20,2)")), 2).cast("double").alias("ingreso_total"),
-        F.coalesce(_arg_max("categoria", "ingreso_total"), F.lit("N/A")).alias("categoria_top"),
+        F.coalesce(_arg_max("categoria", "ingreso_total"), F.lit(NOT_AVAILABLE)).alias("categoria_top"),
     )
-    city = cities.agg(F.coalesce(_arg_max("ciudad", "ingreso_total"), F.lit("N/A")).alias("ciudad_top"))
-    pay = payments.agg(F.coalesce(_arg_max("metodo_pago", "total_ordenes"), F.lit("N/A")).alias("metodo_pago_top"))
+    city = cities.agg(F.coalesce(_arg_max("ciudad", "ingreso_total"), F.lit(NOT_AVAILABLE)).alias("ciudad_top"))
+    pay = payments.agg(F.coalesce(_arg_max("metodo_pago", "total_ordenes"), F.lit(NOT_AVAILABLE)).alias("metodo_pago_top"))
     row = totals.crossJoin(F.broadcast(city)).crossJoin(F.broadcast(pay))
     return row.withColumn("texto", _summary_text())
 
 
 def _summary_text() -> Column:
-    return F.concat(
-        F.lit("Resumen general:\n"),
-        F.lit("  Total ordenes:       "), fmt.thousands(F.col("total_ordenes")), F.lit("\n"),
-        F.lit("  Ingreso total:       "), fmt.money0(F.col("ingreso_total")), F.lit("\n"),
-        F.lit("  Categoria top:       "), F.col("categoria_top"), F.lit("\n"),
-        F.lit("  Ciudad top:          "), F.col("ciudad_top"), F.lit("\n"),
-        F.lit("  Metodo de pago top:  "), F.col("metodo_pago_top"),
-    )
+    return _text_block(F.lit(SUMMARY_TITLE), SUMMARY_LABELS, [
+        fmt.thousands(F.col("total_ordenes")),
+        fmt.money0(F.col("ingreso_total")),
+        F.col("categoria_top"),
+        F.col("ciudad_top"),
+        F.col("metodo_pago_top"),
+    ])
 
 
 def executive_summary_of_orders(orders: DataFrame,
@@ -188,7 +208,7 @@ def executive_summary_of_orders(orders: DataFrame,
 
     def top(cond: Column, key: str, value: Column) -> Column:
         return F.coalesce(F.min_by(F.when(cond, F.col(key)),
-                                   F.when(cond, F.struct(value.alias("v"), F.col(key).alias("k")))), F.lit("N/A"))
+                                   F.when(cond, F.struct(value.alias("v"), F.col(key).alias("k")))), F.lit(NOT_AVAILABLE))
 
     row = rows.agg(
         F.sum(F.when(is_cat, F.col("_n_ids"))).cast("bigint").alias("total_ordenes"),
