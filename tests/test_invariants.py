@@ -39,7 +39,7 @@ def test_payment_shares_sum_to_100(spark, orders):
     assert total == pytest.approx(100.0, abs=0.05)
 
 
-@pytest.mark.parametrize("parts", [1, 7])
+@pytest.mark.parametrize("parts", [1, 7, 64])
 def test_reports_independent_of_partitioning(spark, orders, parts):
     base = rows(reports.report_city(orders), order=_key)
     again = rows(reports.report_city(orders.repartition(parts)), order=_key)

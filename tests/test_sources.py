@@ -57,3 +57,14 @@ def test_batch_job_writes_everything(spark):
         assert rows(stored[name], order=key) == rows(fresh[name], order=key), name
     clean = files.read_clean_parquet(spark, paths["clean"])
     assert clean.count() == tables.ventas(spark, SF_SMALL).count()
+
+
+def test_batch_command_line(spark, capsys):
+    import json
+    out = fresh_path(spark, "test-cli")
+    batch.main(["--rows", "3000", "--out", out])
+    summary = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert summary["rows_categorias"] == 7 and summary["rows_estados"] == 4
+    assert summary["rows_pagos"] == 5 and summary["rows_ciudades"] >= 1
+    cats = files.read_report(spark, summary["reports"], "categorias")
+    assert cats.agg({"total_ordenes": "sum"}).first()[0] == files.read_clean_parquet(spark, summary["clean"]).count()
