@@ -51,10 +51,13 @@ def category_bars(categories: DataFrame) -> DataFrame:
 
 
 def payment_share(payments: DataFrame) -> DataFrame:
-    """V3: share of each payment method in the orders of the report (pie)."""
-    total = payments.agg(F.sum("total_ordenes").alias("_total"))
-    share = F.round(F.try_divide(F.col("total_ordenes").cast("double"), F.col("_total").cast("double")) * 100, 2)
-    return payments.crossJoin(F.broadcast(total)).select(
+    """V3: share of each payment method in the orders of the report (pie).
+
+    The total is a window sum over the report rows (one per payment method).
+    """
+    total = F.sum("total_ordenes").over(Window.partitionBy())
+    share = F.round(F.try_divide(F.col("total_ordenes").cast("double"), total.cast("double")) * 100, 2)
+    return payments.select(
         "metodo_pago", "total_ordenes", share.alias("pct_ordenes"),
     ).orderBy(F.desc("total_ordenes"), F.asc("metodo_pago"))
 

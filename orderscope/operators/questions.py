@@ -152,26 +152,34 @@ def status_lines(statuses: DataFrame) -> DataFrame:
         .orderBy(F.desc("total_ordenes"), F.asc("estado_envio"))
 
 
-def _arg_max(key: str, value: str) -> Column:
-    """Key of the largest value; the smallest key wins a tie."""
-    return F.min_by(F.col(key), F.struct((-F.col(value)).alias("v"), F.col(key).alias("k")))
-
-
 def executive_summary(categories: DataFrame, cities: DataFrame, payments: DataFrame) -> DataFrame:
     """One row with totals and the top category, city and payment method.
 
-    Each part is a global aggregate (exactly one row, even on empty input),
-    so the parts are combined by one-row cross joins; ``N/A`` marks a part
-    whose report is empty.
+    The three report tables are stacked into one (kind, key, revenue,
+    orders) table and reduced by a single global aggregate with conditional
+    arg-maxes, so the result is one row even on empty input; ``N/A`` marks a
+    part whose report is empty.
     """
-    totals = categories.agg(
-        F.sum("total_ordenes").cast("bigint").alias("total_ordenes"),
-        F.round(F.sum(F.col("ingreso_total").cast("decimal(20,2)")), 2).cast("double").alias("ingreso_total"),
-        F.coalesce(_arg_max("categoria", "ingreso_total"), F.lit(NOT_AVAILABLE)).alias("categoria_top"),
+    stacked = categories.select(F.lit("cat").alias("_kind"), F.col("categoria").alias("_key"),
+                                "ingreso_total", "total_ordenes") \
+        .unionByName(cities.select(F.lit("city").alias("_kind"), F.col("ciudad").alias("_key"),
+                                   "ingreso_total", "total_ordenes")) \
+        .unionByName(payments.select(F.lit("pay").alias("_kind"), F.col("metodo_pago").alias("_key"),
+                                     "ingreso_total", "total_ordenes"))
+    is_cat, is_city, is_pay = (F.col("_kind") == F.lit(k) for k in ("cat", "city", "pay"))
+
+    def top(cond: Column, value: Column) -> Column:
+        order = F.when(cond, F.struct(value.alias("v"), F.col("_key").alias("k")))
+        return F.coalesce(F.min_by(F.when(cond, F.col("_key")), order), F.lit(NOT_AVAILABLE))
+
+    row = stacked.agg(
+        F.sum(F.when(is_cat, F.col("total_ordenes"))).cast("bigint").alias("total_ordenes"),
+        F.round(F.sum(F.when(is_cat, F.col("ingreso_total").cast("decimal(20,2)"))), 2).cast("double")
+        .alias("ingreso_total"),
+        top(is_cat, -F.col("ingreso_total")).alias("categoria_top"),
+        top(is_city, -F.col("ingreso_total")).alias("ciudad_top"),
+        top(is_pay, -F.col("total_ordenes")).alias("metodo_pago_top"),
     )
-    city = cities.agg(F.coalesce(_arg_max("ciudad", "ingreso_total"), F.lit(NOT_AVAILABLE)).alias("ciudad_top"))
-    pay = payments.agg(F.coalesce(_arg_max("metodo_pago", "total_ordenes"), F.lit(NOT_AVAILABLE)).alias("metodo_pago_top"))
-    row = totals.crossJoin(F.broadcast(city)).crossJoin(F.broadcast(pay))
     return row.withColumn("texto", _summary_text())
 
 
