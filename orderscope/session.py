@@ -69,10 +69,11 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors, for written tables and checkpoints.
 
-    On a cluster this is ``spark.checkpoint.dir`` as the cluster names it.
-    Only when the setting is unset (local tests and benches) do we make a
-    fresh scratch folder and register it as the context's checkpoint folder,
-    so that later calls and ``DataFrame.checkpoint`` use the same place.
+    On a cluster this is ``spark.checkpoint.dir`` as the cluster names it
+    (an error if it is unset there). Only in local mode with the setting
+    unset (tests, benches) do we make a fresh scratch folder and register it
+    as the context's checkpoint folder, so that later calls and
+    ``DataFrame.checkpoint`` use the same place.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
@@ -80,6 +81,9 @@ def shared_dir(spark: SparkSession) -> str:
     registered = spark.sparkContext.getCheckpointDir()
     if registered:
         return registered
+    if not spark.sparkContext.master.startswith("local"):
+        # A machine-local folder is not shared by executors: refuse instead.
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     local = tempfile.mkdtemp(prefix="orderscope-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir() or local
