@@ -1,10 +1,12 @@
 """Synthetic orders in the original domains, generated as a distributed job.
 
 Row ids come from a table Spark reads (by default the order keys of the
-``orders`` table), so the work grows with the data and is split by Spark
-like any scan. Every value is a pure function of (seed, column, id) through
-``functions.hashing``; the output does not depend on partitioning or task
-retries, and a SQL engine with ``md5`` recomputes it exactly.
+``orders`` table), so the work grows with the data; they are spread over
+all cores before hashing, since generation is CPU-bound per row. Every
+value is a pure function of (seed, id) and of the column's fixed slot in
+one of four md5 digests per row (``DRAWS``, ``functions.hashing``); the
+output does not depend on partitioning or task retries, and a SQL engine
+with ``md5`` recomputes it exactly.
 
 Lookups that were dictionaries become joins with fixed, tiny tables (10
 cities, 35 products) that are broadcast: their size is fixed by the lists
