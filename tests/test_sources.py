@@ -68,3 +68,16 @@ def test_batch_command_line(spark, capsys):
     assert summary["rows_pagos"] == 5 and summary["rows_ciudades"] >= 1
     cats = files.read_report(spark, summary["reports"], "categorias")
     assert cats.agg({"total_ordenes": "sum"}).first()[0] == files.read_clean_parquet(spark, summary["clean"]).count()
+
+
+def test_csv_schema_inference_is_optional(spark):
+    orders = tables.ventas(spark, SF_SMALL)
+    path = fresh_path(spark, "test-infer-csv")
+    files.write_orders_csv(orders, path)
+    inferred = files.read_orders_csv(spark, path, infer_schema=True)
+    types = dict(inferred.dtypes)
+    assert types["orden_id"] in ("int", "bigint") and types["precio_unitario"] == "double"
+    assert types["fecha"].startswith("timestamp")
+    assert inferred.count() == orders.count()
+    explicit = files.read_orders_csv(spark, path)
+    assert explicit.schema == RAW_ORDERS
