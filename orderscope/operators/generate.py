@@ -142,7 +142,12 @@ def spread(ids: DataFrame) -> DataFrame:
     adaptive execution, unlike a size-based rebalance that would merge a
     small id shuffle into one task.
     """
-    return ids.repartition(ids.sparkSession.sparkContext.defaultParallelism, "orden_id")
+    spark = ids.sparkSession
+    try:
+        parts = spark.sparkContext.defaultParallelism
+    except Exception:  # a session without a local context (Spark Connect)
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return ids.repartition(parts, "orden_id")
 
 
 def _lookup_tables(spark: SparkSession) -> tuple[DataFrame, DataFrame]:

@@ -78,15 +78,19 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current
-    registered = spark.sparkContext.getCheckpointDir()
+    try:
+        context = spark.sparkContext
+    except Exception:  # a session without a local context (Spark Connect)
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors") from None
+    registered = context.getCheckpointDir()
     if registered:
         return registered
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         # A machine-local folder is not shared by executors: refuse instead.
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     local = tempfile.mkdtemp(prefix="orderscope-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
+    context.setCheckpointDir(local)
+    return context.getCheckpointDir() or local
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

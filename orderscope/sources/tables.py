@@ -53,7 +53,7 @@ _HANDLES: dict[tuple[int, str], DataFrame] = {}
 
 
 def _session_key(spark: SparkSession) -> int:
-    return id(spark._jsparkSession)
+    return id(getattr(spark, "_jsparkSession", spark))
 
 
 def forget(spark: SparkSession | None = None) -> None:
@@ -66,7 +66,8 @@ def forget(spark: SparkSession | None = None) -> None:
 def _cached(spark: SparkSession, key: str, build) -> DataFrame:
     k = (_session_key(spark), key)
     handle = _HANDLES.get(k)
-    if handle is None or handle.sparkSession._jsparkSession is not spark._jsparkSession:
+    if handle is None or getattr(handle.sparkSession, "_jsparkSession", handle.sparkSession) \
+            is not getattr(spark, "_jsparkSession", spark):
         handle = _HANDLES[k] = build()
     return handle
 
