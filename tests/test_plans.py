@@ -84,3 +84,10 @@ def test_report_aggregates_once_with_partial_aggregation(spark):
     p = plan(reports.report_category(tables.ventas(spark, SF_SMALL)))
     assert p.count("HashAggregate") >= 2          # partial (map side) + final
     assert "BroadcastNestedLoopJoin" not in p     # no self-join for the totals
+
+
+@pytest.mark.parametrize("key", sorted(E.queries()))
+def test_no_cross_joins_or_python(spark, key):
+    p = plan(E.queries()[key](spark, SF_SMALL))
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, key
+    assert not any(node in p for node in PYTHON_NODES), key
