@@ -178,3 +178,12 @@ def test_schema_rows(spark):
     out = clean.schema_rows(frame(spark, [order(1)]))
     assert out[0] == ("orden_id", "bigint", True)
     assert ("calificacion", "double", True) in out and ("fecha", "timestamp_ntz", True) in out
+
+
+def test_null_group_key_is_its_own_group(spark):
+    data = [order(1, ciudad=None, departamento=None), order(2, ciudad=None, departamento=None),
+            order(3, ciudad="X")]
+    out = {r["ciudad"]: r["total_ordenes"] for r in reports.report_city(frame(spark, data), min_orders=0).collect()}
+    assert out == {None: 2, "X": 1}
+    shares = {r["metodo_pago"]: r["pct_of_total_ordenes"] for r in reports.report_payment(frame(spark, data)).collect()}
+    assert shares == {"Tarjeta": 100.0}
