@@ -77,3 +77,27 @@ def test_one_scan_summary_equals_summary_of_reports(spark, orders):
     assert fused == split
     strict = rows(questions.executive_summary_of_orders(orders, min_city_orders=10 ** 9))[0]
     assert strict["ciudad_top"] == "N/A"
+
+
+def test_date_parts_ignore_session_time_zone(spark):
+    import __spark_entry__ as E
+    key = lambda r: tuple(str(v) for v in r.values())
+    base = rows(E.queries()["event_hours"](spark, SF_SMALL), order=key)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Bogota")
+        # built directly: the registered wrapper would set the zone back to UTC
+        from orderscope.sources import tables as T
+        from pyspark.sql import functions as F
+        ts = F.col("ts").cast("timestamp_ntz")
+        ev = T.events(spark, SF_SMALL).select("event_id", ts.alias("ts"), F.year(ts).alias("anio"),
+                                              F.month(ts).alias("mes"), F.hour(ts).alias("hora"))
+        assert rows(ev, order=key) == base
+        cleaned = clean.clean_orders(orders_small(spark)).select("orden_id", "anio", "mes", "hora").distinct()
+        assert cleaned.filter("hora <> 0").count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def orders_small(spark):
+    return tables.ventas(spark, SF_SMALL)
