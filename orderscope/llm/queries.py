@@ -5,17 +5,29 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderscope.llm import simhash
+from orderscope.llm import quality, simhash, substring
 from orderscope.llm.frames import read
 
 
+def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.substring_dedup(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring": op1_substring,
     "op3_simhash": op3_simhash,
+    "op10_quality": op10_quality,
 }
 
 # DuckDB statements where SQL can express the whole query.

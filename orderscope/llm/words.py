@@ -48,7 +48,7 @@ def mix(x: np.ndarray, which: int = 0) -> np.ndarray:
 
 def hash_pair(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
     """One 64-bit name for an ordered pair; the same pair has the same name everywhere."""
-    return mix(mix(a + np.uint64(salt) * _K[0]) + b * _K[3], 1)
+    return mix(mix(a + np.uint64(salt * int(_K[0]) & (1 << 64) - 1)) + b * _K[3], 1)
 
 
 @dataclass
