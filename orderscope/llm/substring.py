@@ -16,17 +16,18 @@ below that, to know that a run has ended takes one word more on either side.
 
 1. *Reveal.* For each symbol we keep its context, the words that decide it. A
    window that holds a symbol's context holds the symbol wherever its words
-   stand. Every window has anchors: the symbols of the highest of the first
-   ``ANCHOR_ROUNDS`` rounds whose contexts lie in it (at round 0 its words).
-   Spark groups the anchors of all documents by name. A window with an anchor
-   that occurs once occurs once itself. From the higher rounds, symbols of at
+   stand. A window's anchor is the longest symbol (ties: largest name) whose
+   context lies in it, of the highest of the first ``ANCHOR_ROUNDS`` rounds
+   that has one (at round 0 its words); its words alone decide it. Spark
+   groups the anchors of all documents by name. A window whose anchor occurs
+   once occurs once itself. From the higher rounds, symbols of at
    least ``window`` words go the same way with a second 64-bit hash of their
    words: all windows inside any but the first of equal ones are repeats.
 2. *Verify.* The windows not decided so far are grouped by a 128-bit hash of
    their words; all but the first of a group are repeats.
 
 Scale. Texts are shuffled once (one exchange, used three times). Anchors,
-about a third as many as words, are one shuffle; windows follow only for
+about a sixth as many as words, are one shuffle; windows follow only for
 shared anchors. Before each shuffle a task sends one row per name and batch,
 so a passage in a third of all documents is a few rows a task. Groups are
 streams of sorted rows and are never gathered.
@@ -50,8 +51,8 @@ from orderscope.llm.frames import key_id, one_text_per_id
 from orderscope.llm.words import WHITE, Piece, hash_pair, mix, pieces
 
 WINDOW_WORDS = 20
-ANCHOR_ROUNDS = 6
-HIGH_ROUNDS = (12, 15, 18, 21)      # rounds whose long symbols are compared whole
+ANCHOR_ROUNDS = 4
+HIGH_ROUNDS = (11, 14, 17, 20)      # rounds whose long symbols are compared whole
 FAR = 1 << 40                       # beyond any word: context that leaves the document
 TEXT_PIECE = 1 << 21
 _BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)   # odd
@@ -123,46 +124,62 @@ class Symbols:
 
 
 class Anchors:
-    """Emitted anchors of a piece: name, word, level, and the windows they decide."""
+    """The anchor of every window of a piece.
+
+    ``levels``: (level, names, words) of the chosen symbols; ``level_of`` and
+    ``word_of``: each window's choice; ``valid``: the windows there are.
+    """
 
     def __init__(self, piece: Piece, window: int) -> None:
         n = len(piece.start)
         start, end = piece.first[:-1], piece.first[1:]
         counts = piece.counts()
-        self.valid = np.zeros(n + 1, dtype=bool)
         wide = counts >= window
         edge = np.bincount(start[wide], minlength=n + 1) - np.bincount(end[wide] - window + 1, minlength=n + 1)
-        self.valid[:] = np.cumsum(edge)[:n + 1] > 0
+        self.valid = np.cumsum(edge)[:n + 1] > 0
         first_of, last_of = np.repeat(start, counts), np.repeat(end - window, counts)
-        levels = [Symbols.words(piece)]
+        rounds = [Symbols.words(piece)]
         for round_ in range(1, ANCHOR_ROUNDS + 1):
-            levels.append(levels[-1].pairs(round_))
-        self.top = levels[-1]
-        self.level_of = np.full(n + 1, -1, dtype=np.int8)
-        self.levels: list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-        open_ = self.valid.copy()
+            rounds.append(rounds[-1].pairs(round_))
+        self.top = rounds[-1]
+        self.level_of = np.zeros(n + 1, dtype=np.int8)
+        self.word_of = np.zeros(n + 1, dtype=np.int64)
+        self.levels: list[tuple[int, np.ndarray, np.ndarray]] = []
+        left = np.flatnonzero(self.valid)
         for level in range(ANCHOR_ROUNDS, -1, -1):
-            x = levels[level]
+            x = rounds[level]
             fits = np.flatnonzero(x.high - x.low <= window)
             low = np.maximum(x.high[fits] - window, first_of[x.at[fits]])
             high = np.minimum(x.low[fits], last_of[x.at[fits]])
-            still = np.concatenate([[0], np.cumsum(open_)])
-            used = low <= high
-            used[used] = still[high[used] + 1] > still[low[used]]
-            fits, low, high = fits[used], low[used], high[used]
-            covered = open_ & _marked(low, high, n)
-            self.level_of[covered] = level
-            self.levels.append((level, hash_pair(x.name[fits], np.full(len(fits), level, np.uint64), 999),
-                                x.at[fits], low, high))
-            open_ &= ~covered
+            some = low <= high
+            fits, low, high = fits[some], low[some], high[some]
+            # contexts move to the right with their symbols, so a window's symbols are consecutive
+            begin, stop = np.searchsorted(high, left, "left"), np.searchsorted(low, left, "right")
+            at = x.at[fits]
+            span = np.append(x.at, n)[fits + 1] - at
+            weight = (np.minimum(span, 255).astype(np.uint64) << np.uint64(56)) | (x.name[fits] >> np.uint64(8))
+            best = begin.copy()
+            todo, step = np.flatnonzero(stop - begin > 1), 1
+            while len(todo):
+                other = begin[todo] + step
+                better = weight[other] > weight[best[todo]]
+                best[todo[better]] = other[better]
+                step += 1
+                todo = todo[stop[todo] - begin[todo] > step]
+            has = stop > begin
+            chosen = np.unique(best[has])
+            self.level_of[left[has]] = level
+            self.word_of[left[has]] = at[best[has]]
+            name = x.name[fits[chosen]]
+            self.levels.append((level, hash_pair(name, np.full(len(name), level, np.uint64), 999), at[chosen]))
+            left = left[~has]
 
     def candidates(self, shared: dict[int, np.ndarray]) -> np.ndarray:
-        """Windows all of whose anchors are shared; ``shared``: level → word mask."""
-        out = self.valid.copy()
-        for level, _, at, low, high in self.levels:
-            alone = ~shared[level][at]
-            out &= ~(_marked(low[alone], high[alone], len(out) - 1) & (self.level_of == level))
-        return out
+        """Windows whose anchor is shared; ``shared``: level → word mask."""
+        out = np.zeros(len(self.valid), dtype=bool)
+        for level, marks in shared.items():
+            out |= (self.level_of == level) & marks[self.word_of]
+        return out & self.valid
 
 
 def _marked(low: np.ndarray, high: np.ndarray, n: int) -> np.ndarray:
@@ -234,7 +251,7 @@ def _name_rows(window: int) -> Callable:
                     continue
                 doc = piece.doc_of_word()
                 anchors = Anchors(piece, window)
-                for level, name, at, _, _ in anchors.levels:
+                for level, name, at in anchors.levels:
                     found.append((name.view(np.int64), np.zeros(len(at), np.int64), keys[piece.row + doc[at]],
                                   at - piece.first[doc[at]], np.full(len(at), -1 - level)))
                 for name, check, at, length in _long_symbols(piece, anchors.top, window):
