@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderscope.llm import decontaminate, quality, simhash, substring
+from orderscope.llm import decontaminate, packing, quality, simhash, substring
 from orderscope.llm.frames import read
 
 
@@ -27,6 +27,10 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("near_items").cast("bigint").alias("n_near_items"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(read(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -35,6 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring": op1_substring,
     "op3_simhash": op3_simhash,
     "op8_decontaminate": op8_decontaminate,
+    "op9_packing": op9_packing,
     "op10_quality": op10_quality,
 }
 

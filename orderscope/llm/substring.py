@@ -44,6 +44,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -372,8 +373,8 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch({"key": key[keep], "at": at[keep], "len": np.maximum(length[keep], 1)})
 
 
-def _kept(window: int) -> Callable:
-    """Drop the words under repeated windows."""
+def _kept(window: int, untouched_as_is: bool) -> Callable:
+    """Drop the words under repeated windows; the words left have a space after each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(2)
@@ -393,6 +394,10 @@ def _kept(window: int) -> Callable:
                 ends = np.concatenate([[0], end + 1])[np.concatenate([[0], np.cumsum(counts - removed)])]
                 texts = pa.LargeStringArray.from_buffers(
                     piece.n_docs, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)).cast(pa.string())
+                if untouched_as_is:
+                    whole = batch.column(1).slice(piece.row, piece.n_docs)
+                    spaced = pc.binary_join_element_wise(whole, " ", "")
+                    texts = pc.if_else(pa.array(removed == 0), spaced, texts)
                 yield pa.RecordBatch.from_arrays(
                     [keys.slice(piece.row, piece.n_docs), pa.array(counts.astype(np.int64)),
                      pa.array(removed.astype(np.int64)), texts], ["key", "n_words", "n_removed", "spaced"])
@@ -406,8 +411,11 @@ def _lists(rows: DataFrame) -> DataFrame:
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    window: int = WINDOW_WORDS) -> DataFrame:
-    """Rows ``doc_id, n_words, n_removed, kept_text``; kept words are joined by one space."""
+                    window: int = WINDOW_WORDS, untouched_as_is: bool = False) -> DataFrame:
+    """Rows ``doc_id, n_words, n_removed, kept_text``; kept words are joined by one space.
+
+    With ``untouched_as_is`` a document that loses no word keeps its text (null included).
+    """
     texts = one_text_per_id(docs, id_col, text_col)
 
     def with_places(rows: DataFrame) -> DataFrame:
@@ -420,6 +428,6 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     windows = with_places(shared).mapInArrow(_window_rows(window), "h1 bigint, h2 bigint, key bigint, at int, len int")
     repeats = windows.repartition("h1").sortWithinPartitions("h1", "h2", "key", "at") \
         .mapInArrow(_repeated, "key bigint, at int, len int")
-    kept = with_places(repeats).mapInArrow(_kept(window), "key bigint, n_words bigint, n_removed bigint, spaced string")
+    kept = with_places(repeats).mapInArrow(_kept(window, untouched_as_is), "key bigint, n_words bigint, n_removed bigint, spaced string")
     return kept.select(key_id("key").alias("doc_id"), "n_words", "n_removed",
                        F.expr("substring(spaced, 1, length(spaced) - 1)").alias("kept_text"))
