@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderscope.session import shared_dir
@@ -53,8 +53,8 @@ def numbered(df: DataFrame, *order: Column | str, label: str = "rank") -> DataFr
     ordered = saved(df.sort(*order).withColumn("at_", F.monotonically_increasing_id()))
     part = F.shiftright("at_", 33).alias("part_")
     counts = ordered.groupBy(part).agg(F.count(F.lit(1)).alias("n_"))
-    starts = counts.alias("a").join(F.broadcast(counts.alias("b")), F.col("b.part_") < F.col("a.part_"), "left") \
-        .groupBy(F.col("a.part_").alias("part_")).agg(F.coalesce(F.sum("b.n_"), F.lit(0)).alias("before_"))
+    earlier = Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("part_", F.coalesce(F.sum("n_").over(earlier), F.lit(0)).alias("before_"))
     return ordered.withColumn("part_", F.shiftright("at_", 33)).join(F.broadcast(starts), "part_") \
         .withColumn(label, F.col("before_") + F.col("at_").bitwiseAND((1 << 33) - 1)) \
         .drop("at_", "part_", "before_")
