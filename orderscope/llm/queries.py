@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderscope.llm import decontaminate, packing, quality, sharding, simhash, substring
+from orderscope.llm import decontaminate, packing, quality, sharding, simhash, substring, versions
 from orderscope.llm.frames import read
 
 
@@ -20,6 +20,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"))
 
 
+def op4_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return versions.version_fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(read(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -44,6 +48,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring": op1_substring,
     "op3_simhash": op3_simhash,
+    "op4_versions": op4_versions,
     "op7_sharding": op7_sharding,
     "op8_decontaminate": op8_decontaminate,
     "op9_packing": op9_packing,
