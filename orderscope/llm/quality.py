@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderscope.llm.words import WHITE, Piece, byte_table, pieces
+from orderscope.llm.words import FOLLOW, WHITE, Piece, byte_table, pieces
 
 SAMPLE_ROWS = 20_000
 TREES, DEPTH, BINS = 80, 4, 64
@@ -44,7 +44,6 @@ STOP = byte_table((0x21, 0x21), (0x2E, 0x2E), (0x3F, 0x3F))
 COMMA = byte_table((0x2C, 0x2C), (0x3A, 0x3B))
 SIGN = byte_table((0x23, 0x2B), (0x2F, 0x2F), (0x3C, 0x3E), (0x40, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
 NEWLINE = byte_table((0x0A, 0x0A))
-FOLLOWS = byte_table((0x80, 0xBF))          # UTF-8 continuation bytes
 HIGH = byte_table((0x80, 0xFF))
 
 STATISTICS = (
@@ -79,7 +78,7 @@ def statistics(piece: Piece) -> np.ndarray:
     data = piece.data[:size]
     n_bytes, counts = np.diff(piece.bounds).astype(float), piece.counts().astype(float)
     share = lambda table: _per_doc(table[data], piece.bounds)
-    chars = n_bytes - share(FOLLOWS)
+    chars = n_bytes - share(FOLLOW)
     length = (piece.end - piece.start).astype(float)
     doc = piece.doc_of_word()
     words, some = np.maximum(counts, 1), np.maximum(n_bytes, 1)

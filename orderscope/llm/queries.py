@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderscope.llm import decontaminate, licenses, packing, quality, sharding, simhash, substring, versions
+from orderscope.llm import decontaminate, licenses, packing, quality, sharding, simhash, substring, token_counts, versions
 from orderscope.llm.frames import read
 
 
@@ -16,6 +16,10 @@ def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.section_tokens(read(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring": op1_substring,
+    "op2_token_counts": op2_token_counts,
     "op3_simhash": op3_simhash,
     "op4_versions": op4_versions,
     "op5_licenses": op5_licenses,

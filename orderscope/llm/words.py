@@ -28,6 +28,7 @@ def byte_table(*ranges: tuple[int, int]) -> np.ndarray:
 
 # Bytes between words: white space, or all ASCII but digits and lower-case letters.
 WHITE = byte_table((0x09, 0x0D), (0x20, 0x20))
+FOLLOW = byte_table((0x80, 0xBF))           # UTF-8 bytes after the first of a character
 NOT_ALNUM = byte_table((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
