@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderscope.llm import decontaminate, licenses, packing, quality, sharding, simhash, substring, token_counts, versions
+from orderscope.llm import decontaminate, licenses, lm, packing, quality, sharding, simhash, substring, token_counts, versions
 from orderscope.llm.frames import read
 
 
@@ -32,6 +32,10 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_summary(licenses.scan(read(spark, sf_dir, "documents")))
 
 
+def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.pseudo_likelihood(read(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(read(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_versions": op4_versions,
     "op5_licenses": op5_licenses,
+    "op6_lm": op6_lm,
     "op7_sharding": op7_sharding,
     "op8_decontaminate": op8_decontaminate,
     "op9_packing": op9_packing,
