@@ -1,23 +1,19 @@
 """Exact money arithmetic.
 
-Order-line revenue has up to six decimals (price in cents times a discount
-factor with four decimals), so double sums land on half-cents and the
-rounding of a double sum depends on summation order. Revenue is therefore
-exact:
-
-* per row it is an integer number of **millionths**:
-  ``cents(price) × qty × (10000 − hundredths(discount %))``, a ``long``;
-* sums run over two ``long`` parts, whole units and the millionth
-  remainder, so they stay in primitive arithmetic inside whole-stage codegen
-  (``decimal(38,6)`` arithmetic is ``BigDecimal`` on the JVM and measured
-  about twice as slow here) and cannot overflow before ~9·10¹² rows; ANSI
-  mode raises instead of wrapping if they ever would;
-* only the per-group totals are combined into a ``decimal(38,6)``, rounded
-  half-up to cents and exposed as a double.
-
-Precision limit: prices and discount percentages with at most two decimals
-(and below ~9·10¹³) are represented exactly; wider inputs are rounded to
-the nearest hundredth of their binary value.
+Order-line revenue has more decimals than cents, so double sums land on
+half-cents and depend on the order of rows. Revenue is therefore summed
+exactly, in two ways that add up:
+
+* rows whose price and discount have at most two decimals (and whose revenue
+  is below 10^12) are whole **millionths**:
+  ``cents(price) x qty x (10000 - hundredths(discount %))``, a ``long``, summed
+  as whole units and remainder. That stays in primitive arithmetic;
+* all other rows are decimals: the price to nine decimals, the discount share
+  to eight. They cost a ``BigDecimal`` each, but only they do.
+
+Per-group totals are combined into one decimal, rounded half-up to cents and
+exposed as a double. A price of 10^15 or more that is no infinity raises an
+overflow instead of a wrong sum.
 """
 
 from __future__ import annotations
@@ -26,45 +22,60 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MICRO = 1_000_000
+MICRO_LIMIT = 1e12
 
 
 def revenue_double(price: Column, qty: Column, discount_pct: Column) -> Column:
-    """Row-level revenue as the reference shows it: price × qty × (1 − d/100)."""
+    """Row-level revenue as the reference shows it: price x qty x (1 - d/100)."""
     return price * qty * (F.lit(1) - discount_pct / F.lit(100))
 
 
 def _hundredths(x: Column) -> Column:
-    """x × 100 rounded to the nearest integer, as a long.
-
-    For inputs with at most two decimals ``x * 100`` lies within a few ulps
-    of an integer, so ``rint`` returns it exactly; this stays a primitive
-    double → long operation (a decimal cast per row goes through
-    ``BigDecimal`` and measured ~4× slower).
-    """
+    """x in hundredths, rounded; exact where :func:`two_decimals` holds."""
     return F.rint(x * F.lit(100.0)).cast("bigint")
 
 
+def two_decimals(x: Column) -> Column:
+    """Whether a double is the one nearest to a number with at most two decimals."""
+    return F.rint(x * F.lit(100.0)) / F.lit(100.0) == x
+
+
+def is_micro(price: Column, qty: Column, discount_pct: Column) -> Column:
+    """Whether a row's revenue is a whole number of millionths that fits a long."""
+    small = (F.abs(price) * F.abs(qty.cast("double")) * (F.abs(discount_pct) + 100.0)) < F.lit(MICRO_LIMIT * 100)
+    return small & two_decimals(price) & two_decimals(discount_pct)
+
+
 def revenue_micro(price: Column, qty: Column, discount_pct: Column) -> Column:
-    """Exact row revenue in millionths of a currency unit, as a long."""
+    """Row revenue in millionths as a long, where :func:`is_micro` holds."""
     factor = F.lit(10000).cast("bigint") - _hundredths(discount_pct)
     return _hundredths(price) * qty.cast("bigint") * factor
 
 
+def revenue_decimal(price: Column, qty: Column, discount_pct: Column) -> Column:
+    """Row revenue as a decimal, for rows that are no whole millionths."""
+    amount = (price.cast("decimal(24,9)") * qty.cast("decimal(10,0)")).cast("decimal(24,9)")
+    share = (F.lit(1).cast("decimal(9,0)") - discount_pct.cast("decimal(11,6)") * F.lit("0.01").cast("decimal(3,2)"))
+    return (amount * share.cast("decimal(13,8)")).cast("decimal(38,17)")
+
+
 def remainder_part(micro: Column) -> Column:
-    """micro mod 10⁶, in [0, 10⁶)."""
+    """micro mod 10^6, in [0, 10^6)."""
     return F.pmod(micro, F.lit(MICRO).cast("bigint"))
 
 
 def whole_part(micro: Column) -> Column:
-    """floor(micro / 10⁶), in integer arithmetic."""
+    """floor(micro / 10^6), in integer arithmetic."""
     return F.call_function("div", micro - remainder_part(micro), F.lit(MICRO).cast("bigint"))
 
 
-def combine(whole_sum: Column, remainder_sum: Column) -> Column:
-    """Exact ``decimal(38,6)`` total from the two summed parts."""
-    whole = F.coalesce(whole_sum, F.lit(0)).cast("decimal(38,6)")
-    frac = (F.coalesce(remainder_sum, F.lit(0)).cast("decimal(38,0)") / F.lit(MICRO)).cast("decimal(38,6)")
-    return F.when(whole_sum.isNotNull() | remainder_sum.isNotNull(), whole + frac)
+def combine(whole_sum: Column, remainder_sum: Column, decimal_sum: Column) -> Column:
+    """Exact total from the summed parts; null if there was no row of either kind."""
+    zero = F.lit(0)
+    whole = F.coalesce(whole_sum, zero).cast("decimal(21,0)")
+    frac = (F.coalesce(remainder_sum, zero).cast("decimal(20,0)") / F.lit(MICRO)).cast("decimal(27,6)")
+    total = whole.cast("decimal(27,6)") + frac + F.coalesce(decimal_sum, zero).cast("decimal(38,17)")
+    return F.when(whole_sum.isNotNull() | remainder_sum.isNotNull() | decimal_sum.isNotNull(), total)
 
 
 def round_money(total: Column) -> Column:

@@ -5,12 +5,14 @@ Semantics kept from the reference pipeline:
 * the rating fill value is the mean of the non-null ratings over **all** raw
   rows, taken before invalid rows are dropped;
 * a missing discount counts as 0;
-* a row is valid when price > 0 and quantity > 0; a null in either drops it;
-* NaN in a double column counts as missing (the reference never sees NaN:
-  its CSV writer turns NaN into an empty field).
+* a row is valid when price > 0, finite, and quantity > 0; a null in either
+  drops it. This is the one place that decides on infinite prices: they are
+  no prices, in the clean table and in the reports alike;
+* NaN or infinity in discount or rating counts as missing.
 
 The mean is a scalar subquery (one row, one column) that Spark evaluates
-once and substitutes as a value, so the whole cleaning stays one lazy plan.
+once and substitutes as a value. It is a second pass over ``raw``: give
+``clean_orders`` a stored table (``batch.stage_raw``), not the join that makes it.
 The validity filter is written on the raw price and quantity columns, so
 the ``> 0`` comparisons reach the Parquet scan as pushed filters.
 """
@@ -42,15 +44,15 @@ def _conform_columns() -> tuple[Column, ...]:
     for field in RAW_ORDERS.fields:
         c = F.col(field.name).cast(field.dataType)
         if field.name in ("descuento_pct", "calificacion"):
-            c = F.nanvl(c, F.lit(None).cast("double"))
+            c = F.when(F.abs(c) < F.lit(float("inf")), c)      # NaN is larger than infinity
         cols.append(c.alias(field.name))
     return tuple(cols)
 
 
 def is_valid() -> Column:
-    """price > 0 and quantity > 0 (null → not valid, NaN price → not valid)."""
+    """0 < price < infinity and quantity > 0 (null and NaN are not valid)."""
     price = F.col("precio_unitario")
-    return (price > 0) & ~F.isnan(price) & (F.col("cantidad") > 0)
+    return (price > 0) & (price < F.lit(float("inf"))) & (F.col("cantidad") > 0)
 
 
 def rating_mean(raw: DataFrame) -> DataFrame:
@@ -99,9 +101,13 @@ def profile(raw: DataFrame) -> DataFrame:
     )
 
 
-def schema_rows(df: DataFrame) -> list[tuple[str, str, bool]]:
-    """The printed schema as (column, type, nullable) tuples (metadata only)."""
-    return [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]
+def schema_rows(df: DataFrame) -> DataFrame:
+    """One row per column: position, name, type and number of nulls (one pass, one aggregate)."""
+    fields = df.schema.fields
+    counted = df.agg(*[F.count_if(F.col(f.name).isNull()).alias(f.name) for f in fields])
+    rows = [F.struct(F.lit(i).alias("posicion"), F.lit(f.name).alias("columna"), F.lit(f.dataType.simpleString()).alias("tipo"),
+                     F.col(f.name).alias("nulos")) for i, f in enumerate(fields, 1)]
+    return counted.select(F.inline(F.array(*rows)))
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:

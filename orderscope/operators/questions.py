@@ -9,7 +9,8 @@ never over order rows.
 Deviations from a single-machine original, decided once:
 
 * ties are broken by the group key everywhere (a deterministic order);
-* ``top_cities`` casts ``n`` to int, caps it at 10 and rejects n < 0;
+* ``top_cities`` casts ``n`` to int, rejects n < 0 and returns all n; a
+  caller's limit is an argument, and n above it is an error, not a cut;
 * ``monthly_for_year``: 0 / None means all months, a year present in the
   data keeps that year, any other year gives no rows; the year filter sits
   above the month-over-month window, so January keeps its change against
@@ -28,20 +29,36 @@ from orderscope.operators import reports
 # The metrics a ranking may use, in this order.
 RANKING_METRICS = ["total_ordenes", "ingreso_total", "ticket_promedio", "calificacion_promedio"]
 
-# The answer texts, as they read (labels are padded to align).
+# The answer texts, as they read (labels are padded to align; {} takes a value).
 LOOKUP_LABELS = ["  Ordenes:            ", "  Unidades vendidas:  ", "  Ingreso total:      ",
                  "  Ticket promedio:    ", "  Calificacion prom:  ", "  Con descuento:      "]
+NOT_FOUND_TEXT = "Categoria no encontrada. Opciones: {}"
+RANKING_HEADER = "Ranking por {}:"
+RANKING_LINE = "  {}. {}: {}"
+CITIES_HEADER = "Top {} ciudades por ingreso:"
+CITIES_LINE = "  {}. {} ({}): {} | {} ordenes"
+PAYMENTS_HEADER = "Metodos de pago:"
+PAYMENTS_LINE = "  {}: {} ordenes | {}"
+MONTHS_HEADER = "Evolucion mensual ({}):"
+MONTHS_LINE = "  {} {}: {} ordenes | {} | var: {}"
+STATUSES_HEADER = "Estados de envio:"
+STATUSES_LINE = "  {}: {} ordenes | calif: {}/5"
 SUMMARY_TITLE = "Resumen general:"
 SUMMARY_LABELS = ["  Total ordenes:       ", "  Ingreso total:       ", "  Categoria top:       ",
                   "  Ciudad top:          ", "  Metodo de pago top:  "]
-LINE_INDENT = "  "
-ORDERS_SUFFIX = " ordenes"
-RATING_LABEL = "calif: "
-CHANGE_LABEL = "var: "
 FIRST_MONTH = "base"
+ALL_YEARS = "todos"
 NOT_AVAILABLE = "N/A"
+NO_DATA = "Datos no disponibles."
 
-MAX_TOP_CITIES = 10
+
+def _filled(text: str, *values: Column) -> Column:
+    """A text with its {} places filled by columns."""
+    parts = text.split("{}")
+    out = [F.lit(parts[0])]
+    for value, rest in zip(values, parts[1:], strict=True):
+        out += [value, F.lit(rest)]
+    return F.concat(*out)
 
 
 def _text_block(first: Column, labels: list[str], values: list[Column]) -> Column:
@@ -64,11 +81,8 @@ def category_options(categories: DataFrame) -> DataFrame:
     return categories.select("categoria").distinct().orderBy("categoria")
 
 
-def category_lookup(categories: DataFrame, categoria: str) -> DataFrame:
-    """One category's figures; case-insensitive match, first hit in report order."""
-    hit = categories.filter(F.lower(F.col("categoria")) == F.lower(F.lit(categoria))) \
-        .orderBy(F.desc("ingreso_total"), F.asc("categoria")).limit(1)
-    texto = _text_block(F.concat(F.col("categoria"), F.lit(":")), LOOKUP_LABELS, [
+def _lookup_text() -> Column:
+    return _text_block(F.concat(F.col("categoria"), F.lit(":")), LOOKUP_LABELS, [
         fmt.thousands(F.col("total_ordenes")),
         fmt.thousands(F.col("total_unidades")),
         fmt.money0(F.col("ingreso_total")),
@@ -76,7 +90,57 @@ def category_lookup(categories: DataFrame, categoria: str) -> DataFrame:
         F.concat(fmt.fixed(F.col("calificacion_promedio"), 2), F.lit("/5")),
         F.concat(fmt.fixed(F.col("pct_con_descuento"), 1), F.lit("%")),
     ])
-    return hit.withColumn("texto", texto)
+
+
+def category_lookup(categories: DataFrame, categoria: str) -> DataFrame:
+    """One category's figures; case-insensitive match, first hit in report order."""
+    hit = categories.filter(F.lower(F.col("categoria")) == F.lower(F.lit(categoria))) \
+        .orderBy(F.desc("ingreso_total"), F.asc("categoria")).limit(1)
+    return hit.withColumn("texto", _lookup_text())
+
+
+def category_answer(categories: DataFrame, categoria: str) -> DataFrame:
+    """T1 as the reader sees it: one row ``texto`` with the figures, the valid options, or that there are no data."""
+    hit = F.lower(F.col("categoria")) == F.lower(F.lit(categoria))
+    found = F.min_by(F.when(hit, _lookup_text()), F.when(hit, F.struct(-F.col("ingreso_total"), F.col("categoria"))))
+    names = F.transform(F.array_sort(F.collect_set("categoria")), lambda c: F.concat(F.lit("'"), c, F.lit("'")))
+    options = _filled(NOT_FOUND_TEXT, F.concat(F.lit("["), F.array_join(names, ", "), F.lit("]")))
+    return categories.agg(F.when(F.count(F.lit(1)) == 0, F.lit(NO_DATA)).otherwise(F.coalesce(found, options)).alias("texto"))
+
+
+def answer(header: Column, lines: DataFrame, order: list[str]) -> DataFrame:
+    """One row ``texto``: a header and a report's lines in order, each ended by a line break.
+
+    Reports hold one row per group, so one value holds them; without rows the
+    text says that there are no data.
+    """
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, "linea"))), lambda x: x["linea"]), "\n")
+    return lines.agg(F.when(F.count(F.lit(1)) == 0, F.lit(NO_DATA)).otherwise(
+        F.concat(header, F.lit("\n"), body, F.lit("\n"))).alias("texto"))
+
+
+def _numbered(lines: DataFrame, *order: Column) -> DataFrame:
+    return lines.withColumn("posicion", F.row_number().over(Window.orderBy(*order)))
+
+
+def answers(tables: dict[str, DataFrame], metrica: str, n: int, anio: int | None) -> DataFrame:
+    """T2-T6 with their headers: rows ``pregunta, texto``."""
+    year = int(anio) if anio else 0
+    asked = {
+        "ranking": answer(_filled(RANKING_HEADER, F.lit(metrica)), category_ranking(tables["categorias"], metrica), ["posicion"]),
+        "ciudades": answer(_filled(CITIES_HEADER, F.lit(str(top_k(n)))), top_cities(tables["ciudades"], n), ["posicion"]),
+        "pagos": answer(F.lit(PAYMENTS_HEADER), _numbered(payment_lines(tables["pagos"]), F.desc("total_ordenes"),
+                                                          F.asc("metodo_pago")), ["posicion"]),
+        "meses": answer(_filled(MONTHS_HEADER, F.lit(str(year) if year else ALL_YEARS)),
+                        monthly_for_year(tables["mensual"], year), ["anio", "mes"]),
+        "estados": answer(F.lit(STATUSES_HEADER), _numbered(status_lines(tables["estados"]), F.desc("total_ordenes"),
+                                                            F.asc("estado_envio")), ["posicion"]),
+    }
+    out: DataFrame | None = None
+    for name, rows in asked.items():
+        row = rows.select(F.lit(name).alias("pregunta"), "texto")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 def category_ranking(categories: DataFrame, metrica: str) -> DataFrame:
@@ -92,37 +156,35 @@ def category_ranking(categories: DataFrame, metrica: str) -> DataFrame:
         F.col(metrica).cast("double").alias("valor"),
         _plain(F.col(metrica), integral).alias("valor_texto"),
     )
-    linea = F.concat(F.lit(LINE_INDENT), F.col("posicion").cast("string"), F.lit(". "), F.col("categoria"),
-                     F.lit(": "), F.col("valor_texto"))
+    linea = _filled(RANKING_LINE, F.col("posicion").cast("string"), F.col("categoria"), F.col("valor_texto"))
     return ranked.withColumn("linea", linea).orderBy("posicion")
 
 
-def top_k(n: int | str | float, cap: int = MAX_TOP_CITIES) -> int:
+def top_k(n: int | str | float, limit: int | None = None) -> int:
+    """``n`` as a whole number; negative or above the caller's limit is an error."""
     k = int(n)
     if k < 0:
         raise ValueError("n must be >= 0")
-    return min(k, cap)
+    if limit is not None and k > limit:
+        raise ValueError(f"n must be <= {limit}")
+    return k
 
 
-def top_cities(cities: DataFrame, n: int | str | float) -> DataFrame:
-    """The ``min(int(n), 10)`` cities with the highest revenue (top-k, no full sort)."""
-    k = top_k(n)
+def top_cities(cities: DataFrame, n: int | str | float, limit: int | None = None) -> DataFrame:
+    """The n cities with the highest revenue (top-k, no full sort)."""
+    k = top_k(n, limit)
     order = [F.desc("ingreso_total"), F.asc("ciudad"), F.asc("departamento")]
     top = cities.orderBy(*order).limit(k)
     ranked = top.withColumn("posicion", F.row_number().over(Window.orderBy(*order)))
-    linea = F.concat(
-        F.lit(LINE_INDENT), F.col("posicion").cast("string"), F.lit(". "), F.col("ciudad"),
-        F.lit(" ("), F.col("departamento"), F.lit("): "), fmt.money0(F.col("ingreso_total")),
-        F.lit(" | "), fmt.thousands(F.col("total_ordenes")), F.lit(ORDERS_SUFFIX),
-    )
+    linea = _filled(CITIES_LINE, F.col("posicion").cast("string"), F.col("ciudad"), F.col("departamento"),
+                    fmt.money0(F.col("ingreso_total")), fmt.thousands(F.col("total_ordenes")))
     return ranked.select("posicion", "ciudad", "departamento", "ingreso_total", "total_ordenes",
                          linea.alias("linea")).orderBy("posicion")
 
 
 def payment_lines(payments: DataFrame) -> DataFrame:
     """T4: every payment method with orders and revenue, in report order."""
-    linea = F.concat(F.lit(LINE_INDENT), F.col("metodo_pago"), F.lit(": "), fmt.thousands(F.col("total_ordenes")),
-                     F.lit(ORDERS_SUFFIX + " | "), fmt.money0(F.col("ingreso_total")))
+    linea = _filled(PAYMENTS_LINE, F.col("metodo_pago"), fmt.thousands(F.col("total_ordenes")), fmt.money0(F.col("ingreso_total")))
     return payments.select("metodo_pago", "total_ordenes", "ingreso_total", linea.alias("linea")) \
         .orderBy(F.desc("total_ordenes"), F.asc("metodo_pago"))
 
@@ -132,11 +194,8 @@ def monthly_for_year(monthly: DataFrame, anio: int | None) -> DataFrame:
     year = int(anio) if anio else 0
     rows = monthly if year == 0 else monthly.filter(F.col("anio") == F.lit(year))
     var = F.coalesce(fmt.signed_pct(F.col("variacion_pct")), F.lit(FIRST_MONTH))
-    linea = F.concat(
-        F.lit(LINE_INDENT), F.col("anio").cast("string"), F.lit(" "), fmt.month_name(F.col("mes")), F.lit(": "),
-        fmt.thousands(F.col("total_ordenes")), F.lit(ORDERS_SUFFIX + " | "), fmt.money0(F.col("ingreso_total")),
-        F.lit(" | " + CHANGE_LABEL), var,
-    )
+    linea = _filled(MONTHS_LINE, F.col("anio").cast("string"), fmt.month_name(F.col("mes")),
+                    fmt.thousands(F.col("total_ordenes")), fmt.money0(F.col("ingreso_total")), var)
     return rows.select(
         "anio", "mes", fmt.month_name(F.col("mes")).alias("mes_nombre"), "total_ordenes", "ingreso_total",
         "variacion_pct", var.alias("variacion_texto"), linea.alias("linea"),
@@ -145,9 +204,8 @@ def monthly_for_year(monthly: DataFrame, anio: int | None) -> DataFrame:
 
 def status_lines(statuses: DataFrame) -> DataFrame:
     """Every delivery status with orders and mean rating."""
-    linea = F.concat(F.lit(LINE_INDENT), F.col("estado_envio"), F.lit(": "), fmt.thousands(F.col("total_ordenes")),
-                     F.lit(ORDERS_SUFFIX + " | " + RATING_LABEL), fmt.fixed(F.col("calificacion_promedio"), 2),
-                     F.lit("/5"))
+    linea = _filled(STATUSES_LINE, F.col("estado_envio"), fmt.thousands(F.col("total_ordenes")),
+                    fmt.fixed(F.col("calificacion_promedio"), 2))
     return statuses.select("estado_envio", "total_ordenes", "calificacion_promedio", linea.alias("linea")) \
         .orderBy(F.desc("total_ordenes"), F.asc("estado_envio"))
 
@@ -207,7 +265,7 @@ def executive_summary_of_orders(orders: DataFrame,
     """
     names = ["categorias", "ciudades", "pagos"]
     groups = reports.grouped_measures(orders, names).filter(F.col("_n_valid") > 0)
-    revenue = F.round(combine(F.col("_rev_whole"), F.col("_rev_frac")), 2)
+    revenue = F.round(combine(F.col("_rev_whole"), F.col("_rev_frac"), F.col("_rev_decimal")), 2)
     rows = groups.withColumn("_rev", revenue)
     is_cat = F.col("_gid") == F.lit(reports.set_id("categorias", names))
     is_city = (F.col("_gid") == F.lit(reports.set_id("ciudades", names))) & (F.col("_n_ids") > F.lit(min_city_orders))

@@ -15,10 +15,13 @@ cleaning step is folded into that aggregate instead of being a second pass:
 So a report over the test tables costs one scan and one join of the fact
 data rather than two. Grouping is partial (map side) + final, so a key that
 holds a third of all rows is reduced inside every map task before the
-shuffle. Money is summed exactly (``functions.money``).
+shuffle. Money and ratings are summed exactly, so no result depends on the
+order of rows, on raw and on clean input alike.
 
-``report_tables`` computes all five from one scan with grouping sets; the
-batch job uses it.
+``report_tables`` computes all five from one scan in two levels: the measures
+are summed once per combination of all grouping keys, and the grouping sets
+run over those sums, so a fact row is not multiplied by the number of
+reports. The batch job uses it.
 """
 
 from __future__ import annotations
@@ -28,7 +31,9 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderscope.functions.money import combine, ratio, remainder_part, revenue_micro, round_money, whole_part
+from orderscope.functions.money import (
+    combine, is_micro, ratio, remainder_part, revenue_decimal, revenue_micro, round_money, whole_part,
+)
 from orderscope.operators.clean import conform, is_valid
 
 # Grouping keys of each report, as column expressions over raw orders.
@@ -56,21 +61,44 @@ def _measure_columns() -> tuple[Column, ...]:
     valid = is_valid()
     rating = F.col("calificacion")
     discount = F.coalesce(F.col("descuento_pct"), F.lit(0.0))
-    micro = revenue_micro(F.col("precio_unitario"), F.col("cantidad"), discount)
+    sale = F.col("precio_unitario"), F.col("cantidad"), discount
+    in_micro = valid & is_micro(*sale)
+    micro = revenue_micro(*sale)
+    whole_rating = (F.rint(rating) == rating) & (F.abs(rating) < 1e6)
+    as_long, as_decimal = rating.cast("bigint"), rating.cast("decimal(24,12)")
     return (
         F.count_if(valid).alias("_n_valid"),
         F.count(F.when(valid, F.col("orden_id"))).alias("_n_ids"),
         F.sum(F.when(valid, F.col("cantidad"))).alias("_units"),
-        F.sum(F.when(valid, whole_part(micro))).alias("_rev_whole"),
-        F.sum(F.when(valid, remainder_part(micro))).alias("_rev_frac"),
+        F.sum(F.when(in_micro, whole_part(micro))).alias("_rev_whole"),
+        F.sum(F.when(in_micro, remainder_part(micro))).alias("_rev_frac"),
+        F.sum(F.when(valid & ~is_micro(*sale), revenue_decimal(*sale))).alias("_rev_decimal"),
         F.count_if(valid & (discount > 0)).alias("_n_discount"),
-        F.sum(F.when(valid, rating)).alias("_rating_sum"),
+        F.sum(F.when(valid & whole_rating, as_long)).alias("_rating_whole"),
+        F.sum(F.when(valid & ~whole_rating, as_decimal)).alias("_rating_rest"),
         F.count_if(valid & rating.isNull()).alias("_rating_missing"),
-        F.sum(rating).alias("_rating_sum_all"),
+        F.sum(F.when(whole_rating, as_long)).alias("_rating_whole_all"),
+        F.sum(F.when(~whole_rating, as_decimal)).alias("_rating_rest_all"),
         F.count(rating).alias("_rating_n_all"),
     )
 
 
+MEASURES = ("_n_valid", "_n_ids", "_units", "_rev_whole", "_rev_frac", "_rev_decimal", "_n_discount", "_rating_whole",
+            "_rating_rest", "_rating_missing", "_rating_whole_all", "_rating_rest_all", "_rating_n_all")
+
+
+@cache
+def _resum_columns() -> tuple[Column, ...]:
+    """The measures summed again from sums (they are counts and exact sums)."""
+    return tuple(F.sum(m).cast("decimal(38,17)" if m == "_rev_decimal" else "decimal(38,12)" if "_rest" in m else "bigint").alias(m)
+                 for m in MEASURES)
+
+
+def _rating_sum(whole: Column, rest: Column) -> Column:
+    """Exact rating sum as a decimal."""
+    return F.coalesce(whole, F.lit(0)).cast("decimal(25,12)") + F.coalesce(rest, F.lit(0)).cast("decimal(37,12)")
+
+
 def _with_totals(groups: DataFrame) -> DataFrame:
     """Add the fill value and the clean-row total to every group row.
 
@@ -88,14 +116,15 @@ def _with_totals(groups: DataFrame) -> DataFrame:
 def _total_columns() -> dict[str, Column]:
     everything = Window.partitionBy()
     return {
-        "_fill": ratio(F.sum("_rating_sum_all").over(everything), F.sum("_rating_n_all").over(everything)),
+        "_fill": ratio(_rating_sum(F.sum("_rating_whole_all").over(everything), F.sum("_rating_rest_all").over(everything)),
+                       F.sum("_rating_n_all").over(everything)),
         "_total_rows": F.sum("_n_valid").over(everything),
     }
 
 
 @cache
 def _rating_avg() -> Column:
-    known = F.coalesce(F.col("_rating_sum"), F.lit(0.0))
+    known = _rating_sum(F.col("_rating_whole"), F.col("_rating_rest")).cast("double")
     return ratio(known + F.col("_rating_missing") * F.col("_fill"), F.col("_n_valid"))
 
 
@@ -112,7 +141,7 @@ def _finish(groups: DataFrame) -> DataFrame:
 
 @cache
 def _finish_columns() -> dict[str, Column]:
-    return {"_rating_avg": _rating_avg(), "_revenue": combine(F.col("_rev_whole"), F.col("_rev_frac"))}
+    return {"_rating_avg": _rating_avg(), "_revenue": combine(F.col("_rev_whole"), F.col("_rev_frac"), F.col("_rev_decimal"))}
 
 
 def _common(m: DataFrame) -> dict[str, Column]:
@@ -142,14 +171,19 @@ def _category(m: DataFrame) -> DataFrame:
     ).orderBy(F.desc("ingreso_total"), F.asc("categoria"))
 
 
-def _city(m: DataFrame, min_orders: int) -> DataFrame:
+def _city(m: DataFrame, min_orders: int | None) -> DataFrame:
     c = _common(m)
-    return m.select(
+    rows = m.select(
         "ciudad", "departamento", c["total_ordenes"].alias("total_ordenes"),
         c["ingreso_total"].alias("ingreso_total"), c["ticket_promedio"].alias("ticket_promedio"),
         c["calificacion_promedio"].alias("calificacion_promedio"),
-    ).filter(F.col("total_ordenes") > F.lit(min_orders)) \
-     .orderBy(F.desc("ingreso_total"), F.asc("ciudad"), F.asc("departamento"))
+    )
+    if min_orders is None:
+        rows = rows.withColumn("_mean", F.avg("total_ordenes").over(Window.partitionBy()))
+        kept = rows.filter(F.col("total_ordenes") > F.col("_mean")).drop("_mean")
+    else:
+        kept = rows.filter(F.col("total_ordenes") > F.lit(min_orders))
+    return kept.orderBy(F.desc("ingreso_total"), F.asc("ciudad"), F.asc("departamento"))
 
 
 def _payment(m: DataFrame) -> DataFrame:
@@ -197,8 +231,11 @@ def report_category(orders: DataFrame) -> DataFrame:
     return _category(measures(orders, KEYS["categorias"]))
 
 
-def report_city(orders: DataFrame, min_orders: int = DEFAULT_MIN_CITY_ORDERS) -> DataFrame:
-    """R2: per (city, department), only groups with more than ``min_orders`` orders; revenue desc."""
+def report_city(orders: DataFrame, min_orders: int | None = DEFAULT_MIN_CITY_ORDERS) -> DataFrame:
+    """R2: per (city, department), only groups with more than ``min_orders`` orders; revenue desc.
+
+    ``None``: more than the mean of all groups.
+    """
     return _city(measures(orders, KEYS["ciudades"]), min_orders)
 
 
@@ -225,16 +262,19 @@ def _set_columns(names: list[str]) -> list[str]:
 
 
 def grouped_measures(orders: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """The measures of several reports' key sets from **one** scan (grouping sets).
+    """The measures of several reports' key sets from **one** scan.
 
-    One row per group of each set (a few dozen rows), tagged by ``_gid``;
-    small enough to persist or checkpoint and derive every report from.
+    Two levels: sums per combination of all keys (a partial and a final
+    aggregate over the facts), then grouping sets over those sums, so the
+    rows that Spark repeats once per set are combinations, not facts. One row
+    per group of each set (a few dozen rows), tagged by ``_gid``; small enough
+    to persist or checkpoint and derive every report from.
     """
     names = list(names or KEYS)
     cols = _set_columns(names)
     sets = [[F.col(k) for k in KEYS[name]] for name in names]
-    return _with_keys(orders).groupingSets(sets, *[F.col(k) for k in cols]) \
-        .agg(*_measure_columns(), F.grouping_id().alias("_gid"))
+    combinations = _with_keys(orders).groupBy(*cols).agg(*_measure_columns())
+    return combinations.groupingSets(sets, *[F.col(k) for k in cols]).agg(*_resum_columns(), F.grouping_id().alias("_gid"))
 
 
 def set_id(name: str, names: list[str] | None = None) -> int:

@@ -11,8 +11,8 @@ found by radix selection on the 32-bit draw ``h``:
 2. inside that bucket, do the same on the low 16 bits, which pins the exact
    threshold value H of h;
 3. among the rows whose h equals H (expected about n / 2³² rows) find the
-   ``k − before``-th smallest id, the id cut — by a top-k when that tie
-   group is small, otherwise by the same radix steps on the id's digits.
+   ``k − before``-th smallest id, the id cut, by the same radix steps on
+   the id's digits.
 
 Each step is a distributed aggregate whose answer is **one row of two
 numbers**; only those scalars reach the driver. The final selection is the
@@ -43,8 +43,6 @@ def _crossing(hist: DataFrame, bucket: str, target: int) -> tuple[int, int] | No
     return None if row is None else (int(row[0]), int(row[1]))
 
 
-# Tie groups up to this size are ordered by a top-k; larger ones by radix on the id.
-TIE_TOPK_LIMIT = 100_000
 ID_DIGITS = [  # (shift, mask) of 16-bit digits of a signed 64-bit id, most significant first
     (48, None), (32, LOW_MASK), (16, LOW_MASK), (0, LOW_MASK),
 ]
@@ -56,15 +54,8 @@ def _digit(col: str, shift: int, mask: int | None) -> Column:
 
 
 def _id_cut(ties: DataFrame, take: int) -> int:
-    """The ``take``-th smallest ``_id`` among the tie rows, exactly.
-
-    A small tie group (the normal case for hashed draws) is ordered by a
-    top-k; a large one — a value of h held by a large share of the rows — is
-    resolved digit by digit on the id (four 16-bit digits, the top one
-    signed), so no task ever orders it whole.
-    """
-    if ties.limit(TIE_TOPK_LIMIT + 1).count() <= TIE_TOPK_LIMIT:
-        return int(ties.select("_id").orderBy("_id").limit(take).agg(F.max("_id")).first()[0])
+    """The ``take``-th smallest ``_id`` among the tie rows, exactly: four 16-bit
+    digits, the top one signed, so no task ever orders the group whole."""
     rows, need, value = ties, take, 0
     for shift, mask in ID_DIGITS:
         digit = _digit("_id", shift, mask)

@@ -1,22 +1,18 @@
 """Chat transcript assembly as table jobs.
 
-H1 ``transcript_turns``: the turns a chat model is shown — user and
-assistant turns with non-empty text, in turn order. A filter only (narrow,
-no shuffle); the ``turn`` column carries the order.
-
-H2 ``transcript_text``: one row per conversation with its message list
-rendered as text, a fixed system message first, then ``role: text`` per
-kept turn in turn order. Assembly is two-phase so that a conversation
-holding a third of all turns is not gathered row by row into one group:
-
-1. group by (conversation, turn block of ``BLOCK`` turns): each group holds
-   at most ``BLOCK`` turns and is joined into one block string;
-2. group by conversation: only block strings (n / ``BLOCK`` per
-   conversation) are shuffled and concatenated in block order.
-
-The final row holds the whole conversation because that row *is* the
-requested output; ``transcript_turns`` is the row-per-turn form of the
-same data for conversations too large to be one value.
+H1 ``transcript_turns``: the turns a chat model is shown (user and assistant
+turns with non-empty text). A filter only; the ``turn`` column carries the
+order.
+
+H2 ``transcript_messages``: the message list of every conversation as rows,
+a fixed system message at position 0, then the kept turns in turn order
+(turns that repeat a number are ordered by their line). Positions come from
+one distributed sort of all messages, not from a window over a conversation,
+so a conversation with a third of all turns is dealt over many tasks.
+
+``transcript_text``: the same list as text, in parts of at most ``PART``
+messages with a part number, so no value and no group grows with a
+conversation.
 """
 
 from __future__ import annotations
@@ -24,10 +20,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderscope.operators.ranks import numbered
+from orderscope.session import saved
+
 # The roles a chat model is shown, besides the system message.
 CHAT_ROLES = ["user", "assistant"]
 SYSTEM_MESSAGE = "Analista de ventas: responde con las cifras de los reportes."
-BLOCK = 256
+PART = 256
 
 
 def _kept() -> Column:
@@ -40,35 +39,23 @@ def transcript_turns(conversations: DataFrame) -> DataFrame:
     return conversations.filter(_kept()).select("conv_id", "turn", "role", "text")
 
 
-def _line() -> Column:
-    return F.concat(F.col("role"), F.lit(": "), F.col("text"))
-
-
-def _join_sorted(items: Column) -> Column:
-    """Join the ``t`` fields of an array of (o, t) structs, sorted by (o, t)."""
-    return F.array_join(F.transform(F.array_sort(items), lambda x: x["t"]), "\n")
-
-
-def transcript_text(conversations: DataFrame, system_message: str = SYSTEM_MESSAGE) -> DataFrame:
-    """H2: per conversation, the system message then every kept turn in order."""
-    kept = _kept()
-    blocks = conversations.groupBy(
-        "conv_id", F.floor(F.col("turn") / F.lit(BLOCK)).cast("bigint").alias("_block"),
-    ).agg(
-        F.count_if(kept).alias("_n"),
-        _join_sorted(F.collect_list(F.when(kept, F.struct(F.col("turn").alias("o"), _line().alias("t"))))
-                     ).alias("_text"),
-    )
-    per_conv = blocks.groupBy("conv_id").agg(
-        F.sum("_n").alias("_n"),
-        _join_sorted(F.collect_list(F.when(F.col("_n") > 0, F.struct(F.col("_block").alias("o"),
-                                                                    F.col("_text").alias("t"))))
-                     ).alias("_text"),
-    )
-    first = F.lit(f"system: {system_message}")
-    body = F.when(F.col("_n") > 0, F.col("_text"))
-    return per_conv.select(
-        "conv_id",
-        (F.col("_n") + F.lit(1)).cast("bigint").alias("n_mensajes"),
-        F.concat_ws("\n", first, body).alias("transcript"),
-    )
+def transcript_messages(conversations: DataFrame, system_message: str = SYSTEM_MESSAGE) -> DataFrame:
+    """H2: rows ``conv_id, posicion, role, text``; position 0 is the system message."""
+    first = conversations.select("conv_id").distinct().select(
+        "conv_id", F.lit(0).alias("_kind"), F.lit(None).cast("bigint").alias("turn"), F.lit("system").alias("role"),
+        F.lit(system_message).alias("text"))
+    turns = transcript_turns(conversations).select("conv_id", F.lit(1).alias("_kind"), F.col("turn").cast("bigint"), "role", "text")
+    placed = saved(numbered(first.unionByName(turns), "conv_id", "_kind", "turn", "role", "text", label="_place"))
+    # the system row comes first in its conversation, so its place is the conversation's start
+    starts = placed.filter("_kind = 0").select(F.col("conv_id").alias("_conv"), F.col("_place").alias("_start"))
+    return placed.join(starts, placed["conv_id"].eqNullSafe(starts["_conv"])) \
+        .select("conv_id", (F.col("_place") - F.col("_start")).alias("posicion"), "role", "text")
+
+
+def transcript_text(conversations: DataFrame, system_message: str = SYSTEM_MESSAGE, part: int = PART) -> DataFrame:
+    """H2 as text: rows ``conv_id, parte, n_mensajes, transcript``, at most ``part`` messages each."""
+    messages = transcript_messages(conversations, system_message)
+    line = F.concat(F.col("role"), F.lit(": "), F.col("text"))
+    joined = F.transform(F.array_sort(F.collect_list(F.struct("posicion", line.alias("line")))), lambda x: x["line"])
+    return messages.groupBy("conv_id", F.expr(f"posicion div {int(part)}").alias("parte")).agg(
+        F.count(F.lit(1)).alias("n_mensajes"), F.array_join(joined, "\n").alias("transcript"))

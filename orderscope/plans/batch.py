@@ -2,18 +2,18 @@
 
 Stages and what each costs on a large cluster:
 
-1. One profiling pass over the raw input gives the row counts and the
-   rating mean (a single row); the mean goes back into the plan as the fill
-   value, and one more pass filters, fills, derives and writes the clean
-   table partitioned by year and month (executors write, nothing but that
-   one row passes through the driver).
-2. The clean table is read back from storage. This cuts the lineage: a lost
-   executor later costs a re-read of committed files, not a re-run of
-   cleaning.
-3. One scan of the clean table computes the measures of all five reports at
-   once (grouping sets), a few dozen rows, which are checkpointed to the
-   shared checkpoint folder; the five reports are derived from that and
-   each written as one small CSV file.
+1. The raw rows are stored once as Parquet in the shared folder, so the join
+   (or CSV parse) that makes them runs once. Everything after reads those
+   files, with pushed filters and only the columns it needs.
+2. One profiling pass over them gives the row counts and the rating mean (a
+   single row); one more pass filters, fills, derives and writes the clean
+   table partitioned by year and month.
+3. The clean table is read back from storage. One scan of it computes the
+   measures of all five reports, a few dozen rows, which are checkpointed;
+   the five reports are derived from those and each written as one small CSV.
+
+A lost executor costs a re-read of committed files, not a re-run of earlier
+stages. Intermediate tables are released when the driver ends.
 """
 
 from __future__ import annotations
@@ -21,14 +21,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderscope.operators.clean import clean_orders, profile
+from orderscope.operators.clean import clean_orders, conform, profile
 from orderscope.operators.reports import DEFAULT_MIN_CITY_ORDERS, grouped_measures, reports_from_grouped
-from orderscope.session import fresh_path, shared_dir
+from orderscope.schemas import RAW_ORDERS
+from orderscope.session import fresh_path, saved
 from orderscope.sources.files import load_reports, read_clean_parquet, write_clean_parquet, write_reports
 
 
+def stage_raw(raw: DataFrame) -> DataFrame:
+    """The raw rows, stored once and read back."""
+    path = fresh_path(raw.sparkSession, "raw-orders")
+    conform(raw).write.parquet(path)
+    return raw.sparkSession.read.schema(RAW_ORDERS).parquet(path)
+
+
 def clean_to_parquet(raw: DataFrame, path: str) -> dict[str, float | int | None]:
-    """Profile the raw input once, then write the clean table with the profiled mean as fill."""
+    """Store the raw input, profile it, then write the clean table with the profiled mean as fill."""
+    raw = stage_raw(raw)
     stats = profile(raw).first().asDict()
     fill = F.lit(stats["calificacion_media"]).cast("double")
     write_clean_parquet(clean_orders(raw, rating_fill=fill), path)
@@ -43,8 +52,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_base: str | None = Non
     reports_path = f"{base}/reports"
     clean_to_parquet(raw, clean_path)
     clean = read_clean_parquet(spark, clean_path)
-    shared_dir(spark)  # make sure the checkpoint folder is registered
-    grouped = grouped_measures(clean).checkpoint(eager=True)
+    grouped = saved(grouped_measures(clean))
     write_reports(reports_from_grouped(grouped, min_city_orders), reports_path)
     return {"clean": clean_path, "reports": reports_path}
 
@@ -86,7 +94,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
 
     spark = get_session(app_name="orderscope-batch")
-    base = (args.out or fresh_path(spark, "batch")).rstrip("/")
+    base = (args.out or fresh_path(spark, "batch", keep=True)).rstrip("/")
     if args.csv:
         raw_path = args.csv
     else:

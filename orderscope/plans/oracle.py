@@ -9,7 +9,9 @@ Spark aliases.
 
 from __future__ import annotations
 
-from orderscope.functions.fmt import MONTH_NAMES
+# Fixed values, written out here so that the oracle shares nothing with the code under test.
+MONTH_NAMES = ["Ene", "Feb", "Mar", "Abr", "May", "Jun", "Jul", "Ago", "Sep", "Oct", "Nov", "Dic"]
+NO_DATA = "Datos no disponibles."
 
 VENTAS = """
 ventas AS (
@@ -46,11 +48,11 @@ clean AS (
          CAST(month(fecha) AS INTEGER) AS mes,
          CAST(hour(fecha) AS INTEGER) AS hora,
          ciudad || '>' || departamento AS ruta,
-         CAST(precio_unitario AS DECIMAL(12,2)) * CAST(cantidad AS DECIMAL(10,0))
-           * (CAST(1 AS DECIMAL(8,4)) - CAST(coalesce(descuento_pct, 0.0) AS DECIMAL(5,2)) * CAST(0.01 AS DECIMAL(3,2)))
+         CAST(CAST(precio_unitario AS DECIMAL(24,9)) * CAST(cantidad AS DECIMAL(10,0)) AS DECIMAL(24,9))
+           * CAST(1 - CAST(coalesce(descuento_pct, 0.0) AS DECIMAL(11,6)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(13,8))
            AS venta_exacta
   FROM ventas
-  WHERE precio_unitario > 0 AND cantidad > 0
+  WHERE precio_unitario > 0 AND isfinite(precio_unitario) AND cantidad > 0
 )"""
 
 CLEAN_COLUMNS = ("orden_id, fecha, cliente_id, categoria, producto, cantidad, precio_unitario, descuento_pct, "
@@ -69,7 +71,7 @@ report_category AS (
          CAST(count(orden_id) AS BIGINT) AS total_ordenes,
          CAST(sum(cantidad) AS BIGINT) AS total_unidades,
          CAST(round(sum(venta_exacta), 2) AS DOUBLE) AS ingreso_total,
-         round(CAST(sum(venta_exacta) AS DOUBLE) / count(*), 2) AS ticket_promedio,
+         round(CAST(CAST(sum(venta_exacta) AS DECIMAL(38,6)) AS DOUBLE) / count(*), 2) AS ticket_promedio,
          round(avg(calificacion), 2) AS calificacion_promedio,
          round(CAST(sum(tiene_descuento) AS DOUBLE) / count(*) * 100, 2) AS pct_con_descuento
   FROM clean GROUP BY categoria
@@ -80,12 +82,14 @@ report_city AS (
   SELECT ciudad, departamento,
          CAST(count(orden_id) AS BIGINT) AS total_ordenes,
          CAST(round(sum(venta_exacta), 2) AS DOUBLE) AS ingreso_total,
-         round(CAST(sum(venta_exacta) AS DOUBLE) / count(*), 2) AS ticket_promedio,
+         round(CAST(CAST(sum(venta_exacta) AS DECIMAL(38,6)) AS DOUBLE) / count(*), 2) AS ticket_promedio,
          round(avg(calificacion), 2) AS calificacion_promedio
   FROM clean GROUP BY ciudad, departamento
   HAVING count(orden_id) > {min_orders}
 )"""
 
+MEAN_CITY_ORDERS = "(SELECT avg(n) FROM (SELECT count(orden_id) AS n FROM clean GROUP BY ciudad, departamento))"
+
 R_PAYMENT = """
 report_payment AS (
   SELECT metodo_pago,
@@ -183,9 +187,9 @@ def category_lookup_sql(param: str) -> str:
     return with_clean(body, report_ctes("category"))
 
 
-def category_ranking_sql(metric: str) -> str:
+def category_ranking_body(metric: str) -> str:
     integral = metric == "total_ordenes"
-    body = f"""
+    return f"""
 SELECT posicion, categoria, metrica, valor, valor_texto,
        '  ' || CAST(posicion AS VARCHAR) || '. ' || categoria || ': ' || valor_texto AS linea
 FROM (
@@ -194,11 +198,14 @@ FROM (
          {plain_number(metric, integral)} AS valor_texto
   FROM report_category
 )"""
-    return with_clean(body, report_ctes("category"))
 
 
-def top_cities_sql(k: int) -> str:
-    body = f"""
+def category_ranking_sql(metric: str) -> str:
+    return with_clean(category_ranking_body(metric), report_ctes("category"))
+
+
+def top_cities_body(k: int) -> str:
+    return f"""
 SELECT posicion, ciudad, departamento, ingreso_total, total_ordenes,
        '  ' || CAST(posicion AS VARCHAR) || '. ' || ciudad || ' (' || departamento || '): '
        || {money0('ingreso_total')} || ' | ' || {thousands('total_ordenes')} || ' ordenes' AS linea
@@ -207,37 +214,101 @@ FROM (
   FROM report_city
 )
 WHERE posicion <= {k}"""
-    return with_clean(body, report_ctes("city"))
 
 
-def payment_lines_sql() -> str:
-    body = f"""
+def top_cities_sql(k: int) -> str:
+    return with_clean(top_cities_body(k), report_ctes("city"))
+
+
+def payment_lines_body() -> str:
+    return f"""
 SELECT metodo_pago, total_ordenes, ingreso_total,
        '  ' || metodo_pago || ': ' || {thousands('total_ordenes')} || ' ordenes | ' || {money0('ingreso_total')} AS linea
 FROM report_payment"""
-    return with_clean(body, report_ctes("payment"))
 
 
-def monthly_for_year_sql(year: int) -> str:
+def payment_lines_sql() -> str:
+    return with_clean(payment_lines_body(), report_ctes("payment"))
+
+
+def monthly_for_year_body(year: int) -> str:
     where = f"WHERE anio = {int(year)}" if year else ""
     var = f"coalesce({signed_pct('variacion_pct')}, 'base')"
-    body = f"""
+    return f"""
 SELECT anio, mes, {month_name('mes')} AS mes_nombre, total_ordenes, ingreso_total, variacion_pct,
        {var} AS variacion_texto,
        '  ' || CAST(anio AS VARCHAR) || ' ' || {month_name('mes')} || ': ' || {thousands('total_ordenes')}
        || ' ordenes | ' || {money0('ingreso_total')} || ' | var: ' || {var} AS linea
 FROM report_monthly
 {where}"""
-    return with_clean(body, report_ctes("monthly"))
 
 
-def status_lines_sql() -> str:
-    body = f"""
+def monthly_for_year_sql(year: int) -> str:
+    return with_clean(monthly_for_year_body(year), report_ctes("monthly"))
+
+
+def status_lines_body() -> str:
+    return f"""
 SELECT estado_envio, total_ordenes, calificacion_promedio,
        '  ' || estado_envio || ': ' || {thousands('total_ordenes')} || ' ordenes | calif: '
        || {fixed('calificacion_promedio', 2)} || '/5' AS linea
 FROM report_status"""
-    return with_clean(body, report_ctes("status"))
+
+
+def status_lines_sql() -> str:
+    return with_clean(status_lines_body(), report_ctes("status"))
+
+
+# The headers of the answers.
+def answer_rows(metric: str, k: int, year: int) -> str:
+    asked = [
+        ("ranking", f"Ranking por {metric}:", category_ranking_body(metric), "posicion"),
+        ("ciudades", f"Top {k} ciudades por ingreso:", top_cities_body(k), "posicion"),
+        ("pagos", "Metodos de pago:", payment_lines_body(), "total_ordenes DESC, metodo_pago"),
+        ("meses", f"Evolucion mensual ({year or 'todos'}):", monthly_for_year_body(year), "anio, mes"),
+        ("estados", "Estados de envio:", status_lines_body(), "total_ordenes DESC, estado_envio"),
+    ]
+    return "\nUNION ALL\n".join(f"""SELECT '{name}' AS pregunta, CASE WHEN count(*) = 0 THEN '{NO_DATA}'
+  ELSE '{header}' || {NL} || string_agg(linea, {NL} ORDER BY {order}) || {NL} END AS texto
+FROM ({body})""" for name, header, body, order in asked)
+
+
+ALL_REPORTS = ("category", "city", "payment", "monthly", "status")
+
+
+def answer_texts_sql(metric: str, k: int, year: int) -> str:
+    return with_clean(answer_rows(metric, k, year), report_ctes(*ALL_REPORTS))
+
+
+def category_not_found_sql(name: str) -> str:
+    """The name is in no test table, so the options are the answer."""
+    body = f"""
+SELECT CASE WHEN count(*) = 0 THEN '{NO_DATA}' WHEN bool_or(lower(categoria) = lower('{name}')) THEN NULL
+  ELSE 'Categoria no encontrada. Opciones: [' || string_agg(chr(39) || categoria || chr(39), ', ' ORDER BY categoria) || ']' END AS texto
+FROM report_category"""
+    return with_clean(body, report_ctes("category"))
+
+
+def empty_input_sql(metric: str, k: int) -> str:
+    none = with_clean(f"SELECT 'categoria' AS pregunta, CASE WHEN count(*) = 0 THEN '{NO_DATA}' END AS texto FROM report_category"
+                      + "\nUNION ALL\n" + answer_rows(metric, k, 0), report_ctes(*ALL_REPORTS))
+    return none.replace("  FROM ventas\n  WHERE", "  FROM (SELECT * FROM ventas WHERE cantidad < 0)\n  WHERE")
+
+
+# The raw order columns and their types.
+RAW_COLUMNS = [
+    ("orden_id", "bigint"), ("fecha", "timestamp_ntz"), ("cliente_id", "bigint"), ("categoria", "string"),
+    ("producto", "string"), ("cantidad", "int"), ("precio_unitario", "double"), ("descuento_pct", "double"),
+    ("metodo_pago", "string"), ("ciudad", "string"), ("departamento", "string"), ("estado_envio", "string"),
+    ("calificacion", "double"),
+]
+
+
+def schema_rows_sql() -> str:
+    rows = [f"SELECT CAST({i} AS INTEGER) AS posicion, '{name}' AS columna, '{kind}' AS tipo, "
+            f"CAST(count(*) FILTER (WHERE {name} IS NULL) AS BIGINT) AS nulos FROM ventas"
+            for i, (name, kind) in enumerate(RAW_COLUMNS, 1)]
+    return "WITH " + VENTAS + "\n" + "\nUNION ALL ".join(rows)
 
 
 def executive_summary_sql() -> str:
@@ -319,162 +390,59 @@ FROM report_status"""
     return with_clean(body, report_ctes("status"))
 
 
-def reports_reload_sql() -> str:
-    body = """
-SELECT 'categorias' AS reporte, categoria AS clave, total_ordenes, ingreso_total FROM report_category
-UNION ALL SELECT 'ciudades', ciudad || '|' || departamento, total_ordenes, ingreso_total FROM report_city
-UNION ALL SELECT 'pagos', metodo_pago, total_ordenes, ingreso_total FROM report_payment
-UNION ALL SELECT 'mensual', CAST(anio AS VARCHAR) || '|' || CAST(mes AS VARCHAR), total_ordenes, ingreso_total
-          FROM report_monthly
-UNION ALL SELECT 'estados', estado_envio, total_ordenes, ingreso_total FROM report_status"""
-    return with_clean(body, report_ctes("category", "city", "payment", "monthly", "status"))
-
-
-# --- generator ---------------------------------------------------------------
-
-def _gen_constants():
-    from orderscope.operators import generate as G
-    return G
-
+RELOAD_MEASURES = {
+    "category": ("categorias", "categoria", {"total_unidades", "ingreso_total", "ticket_promedio", "calificacion_promedio",
+                                             "pct_con_descuento"}),
+    "city": ("ciudades", "ciudad || '|' || departamento", {"ingreso_total", "ticket_promedio", "calificacion_promedio"}),
+    "payment": ("pagos", "metodo_pago", {"ingreso_total", "pct_of_total_ordenes"}),
+    "monthly": ("mensual", "CAST(anio AS VARCHAR) || '|' || CAST(mes AS VARCHAR)",
+                {"ingreso_total", "calificacion_promedio", "variacion_pct"}),
+    "status": ("estados", "estado_envio", {"ingreso_total", "calificacion_promedio"}),
+}
 
-def draw(name: str, seed: str = "42") -> str:
-    from orderscope.operators.generate import DRAWS
-    group, index = DRAWS[name]
-    return (f"CAST(('0x' || substr(md5('{seed}:{group}:' || CAST(orden_id AS VARCHAR)), {8 * index + 1}, 8))"
-            " AS BIGINT)")
 
+def reports_reload_sql() -> str:
+    """Every stored column of the five reports; null for those that a report lacks."""
+    doubles = ["ingreso_total", "ticket_promedio", "calificacion_promedio", "pct_con_descuento", "pct_of_total_ordenes",
+               "variacion_pct"]
+    parts = []
+    for table, (name, key, has) in RELOAD_MEASURES.items():
+        measures = ", ".join(f"CAST({m if m in has else 'NULL'} AS DOUBLE) AS {m}" for m in doubles)
+        units = "total_unidades" if "total_unidades" in has else "NULL"
+        parts.append(f"SELECT '{name}' AS reporte, {key} AS clave, CAST(total_ordenes AS BIGINT) AS total_ordenes, "
+                     f"CAST({units} AS BIGINT) AS total_unidades, {measures} FROM report_{table}")
+    return with_clean("\nUNION ALL ".join(parts), report_ctes(*ALL_REPORTS))
 
-def slot(h: str, k: int) -> str:
-    return f"((({h}) * {k}) >> 32)"
 
+# --- transcripts -------------------------------------------------------------
 
-def weighted(h: str, values: list[str], weights: list[int]) -> str:
-    u = slot(h, 100)
-    parts, cum = [], 0
-    for v, w in zip(values, weights):
-        cum += w
-        parts.append(f"WHEN {u} < {cum} THEN '{v}'")
-    return "CASE " + " ".join(parts) + " END"
+TRANSCRIPT_TURNS_SQL = """
+SELECT conv_id, turn, role, text FROM conversations
+WHERE role IN ('user', 'assistant') AND text IS NOT NULL AND text <> ''"""
 
 
-def gen_base_sql() -> str:
-    G = _gen_constants()
-    products = ", ".join(f"('{c}', {i}, '{p}')" for c, names in G.PRODUCTS.items() for i, p in enumerate(names))
-    cities = ", ".join(f"('{c}', '{d}')" for c, d in G.CITIES.items())
-    discounts = ", ".join(f"{float(v)}" for v in G.DISCOUNT_VALUES)
-    start = G.CALENDAR_START.strftime("%Y-%m-%d %H:%M:%S")
-    lo_c, hi_c = G.CUSTOMER_ID_RANGE
-    lo_q, hi_q = G.QUANTITY_RANGE
-    lo_p, hi_p = G.PRICE_CENTS_RANGE
-    lo_h, hi_h = G.HIGH_RATING_RANGE
-    lo_l, hi_l = G.LOW_RATING_RANGE
+def _messages(system_message: str) -> str:
+    quoted = system_message.replace("'", "''")
     return f"""
-ids AS (SELECT o_orderkey AS orden_id FROM orders),
-products(categoria, _slot, producto) AS (VALUES {products}),
-cities(ciudad, departamento) AS (VALUES {cities}),
-picks AS (
-  SELECT orden_id,
-         TIMESTAMP '{start}' + to_hours(CAST({slot(draw('fecha'), G.HOURS_IN_CALENDAR)} AS BIGINT)) AS fecha,
-         {lo_c} + {slot(draw('cliente'), hi_c - lo_c)} AS cliente_id,
-         {weighted(draw('categoria'), G.CATEGORIES, G.CATEGORY_WEIGHTS)} AS categoria,
-         {slot(draw('producto'), 5)} AS _slot,
-         CAST({lo_q} + {slot(draw('cantidad'), hi_q - lo_q)} AS INTEGER) AS cantidad,
-         ({lo_p} + {slot(draw('precio'), hi_p - lo_p + 1)}) / 100.0 AS precio_unitario,
-         CASE WHEN {slot(draw('descuento'), 100)} < {G.DISCOUNT_SHARE_PCT}
-              THEN ([{discounts}])[1 + {slot(draw('descuento_valor'), len(G.DISCOUNT_VALUES))}] ELSE 0.0 END
-           AS descuento_pct,
-         {weighted(draw('pago'), G.PAYMENT_METHODS, G.PAYMENT_WEIGHTS)} AS metodo_pago,
-         {weighted(draw('ciudad'), list(G.CITIES), G.CITY_WEIGHTS)} AS ciudad,
-         {weighted(draw('estado'), G.STATUSES, G.STATUS_WEIGHTS)} AS estado_envio,
-         CAST(CASE WHEN {slot(draw('calificacion'), 100)} < {G.HIGH_RATING_SHARE_PCT}
-                   THEN {lo_h} + {slot(draw('calificacion_alta'), hi_h - lo_h)}
-                   ELSE {lo_l} + {slot(draw('calificacion_baja'), hi_l - lo_l)} END AS DOUBLE) AS calificacion,
-         {draw('nulo_calificacion')} AS _h_rating,
-         {draw('nulo_descuento')} AS _h_discount
-  FROM ids
+WITH listed AS (
+  SELECT DISTINCT conv_id, 0 AS kind, CAST(NULL AS BIGINT) AS turn, 'system' AS role, '{quoted}' AS text FROM conversations
+  UNION ALL
+  SELECT conv_id, 1, CAST(turn AS BIGINT), role, text FROM conversations
+  WHERE role IN ('user', 'assistant') AND text IS NOT NULL AND text <> ''
 ),
-base AS (
-  SELECT p.orden_id, p.fecha, p.cliente_id, p.categoria, pr.producto, p.cantidad, p.precio_unitario,
-         p.descuento_pct, p.metodo_pago, p.ciudad, c.departamento, p.estado_envio, p.calificacion,
-         p._h_rating, p._h_discount
-  FROM picks p JOIN products pr ON p.categoria = pr.categoria AND p._slot = pr._slot
-  JOIN cities c ON p.ciudad = c.ciudad
-),
-k AS (
-  SELECT count(*) * {G.MISSING_RATINGS_PER_500K} // {G.REFERENCE_ROWS} AS k_rating,
-         count(*) * {G.MISSING_DISCOUNTS_PER_500K} // {G.REFERENCE_ROWS} AS k_discount
-  FROM ids
-),
-ranked AS (
-  SELECT orden_id,
-         row_number() OVER (ORDER BY _h_rating, orden_id) AS rn_rating,
-         row_number() OVER (ORDER BY _h_discount, orden_id) AS rn_discount
-  FROM base
-),
-missing AS (
-  SELECT orden_id, rn_rating <= (SELECT k_rating FROM k) AS sin_calificacion,
-         rn_discount <= (SELECT k_discount FROM k) AS sin_descuento
-  FROM ranked
+messages AS (
+  SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY kind, turn, role, text) - 1 AS BIGINT) AS posicion, role, text
+  FROM listed
 )"""
 
 
-def gen_orders_sql() -> str:
-    return "WITH " + gen_base_sql() + """
-SELECT b.orden_id, b.fecha, b.cliente_id, b.categoria, b.producto, b.cantidad, b.precio_unitario,
-       CASE WHEN m.sin_descuento THEN NULL ELSE b.descuento_pct END AS descuento_pct,
-       b.metodo_pago, b.ciudad, b.departamento, b.estado_envio,
-       CASE WHEN m.sin_calificacion THEN NULL ELSE b.calificacion END AS calificacion
-FROM base b JOIN missing m ON b.orden_id = m.orden_id"""
-
-
-def gen_null_injection_sql() -> str:
-    return "WITH " + gen_base_sql() + """
-SELECT 'calificacion' AS columna, orden_id FROM missing WHERE sin_calificacion
-UNION ALL
-SELECT 'descuento_pct' AS columna, orden_id FROM missing WHERE sin_descuento"""
-
+def transcript_messages_sql(system_message: str) -> str:
+    return _messages(system_message) + "\nSELECT conv_id, posicion, role, text FROM messages"
 
-def gen_weighted_sql() -> str:
-    return "WITH " + gen_base_sql() + """
-SELECT 'categoria' AS columna, categoria AS valor, CAST(count(*) AS BIGINT) AS n FROM picks GROUP BY categoria
-UNION ALL SELECT 'metodo_pago', metodo_pago, CAST(count(*) AS BIGINT) FROM picks GROUP BY metodo_pago
-UNION ALL SELECT 'ciudad', ciudad, CAST(count(*) AS BIGINT) FROM picks GROUP BY ciudad
-UNION ALL SELECT 'estado_envio', estado_envio, CAST(count(*) AS BIGINT) FROM picks GROUP BY estado_envio"""
 
-
-GEN_CALENDAR_SQL = """
-SELECT unnest(generate_series(start_ts, end_ts, INTERVAL 1 HOUR)) AS fecha
-FROM (SELECT CAST(min(o_orderdate) AS TIMESTAMP) AS start_ts, CAST(max(o_orderdate) AS TIMESTAMP) AS end_ts
-      FROM orders)"""
-
-
-def gen_report_category_sql() -> str:
-    """The category report over generated orders (cleaning + R1 on the generator's output)."""
-    gen = gen_base_sql() + """,
-ventas AS (
-  SELECT b.orden_id, b.fecha, b.cliente_id, b.categoria, b.producto, b.cantidad, b.precio_unitario,
-         CASE WHEN m.sin_descuento THEN NULL ELSE b.descuento_pct END AS descuento_pct,
-         b.metodo_pago, b.ciudad, b.departamento, b.estado_envio,
-         CASE WHEN m.sin_calificacion THEN NULL ELSE b.calificacion END AS calificacion
-  FROM base b JOIN missing m ON b.orden_id = m.orden_id
-)"""
-    return "WITH " + gen + ",\n" + CLEAN + ",\n" + R_CATEGORY + "\nSELECT * FROM report_category"
-
-
-# --- transcripts -------------------------------------------------------------
-
-TRANSCRIPT_TURNS_SQL = """
-SELECT conv_id, turn, role, text FROM conversations
-WHERE role IN ('user', 'assistant') AND text IS NOT NULL AND text <> ''"""
-
-
-def transcript_text_sql(system_message: str) -> str:
-    sysmsg = ("system: " + system_message).replace("'", "''")
-    return f"""
-SELECT conv_id,
-       CAST(1 + count(*) FILTER (WHERE role IN ('user', 'assistant') AND text IS NOT NULL AND text <> '') AS BIGINT)
-         AS n_mensajes,
-       '{sysmsg}' || coalesce(chr(10) || string_agg(role || ': ' || text, chr(10) ORDER BY turn, role || ': ' || text)
-         FILTER (WHERE role IN ('user', 'assistant') AND text IS NOT NULL AND text <> ''), '') AS transcript
-FROM conversations
-GROUP BY conv_id"""
+def transcript_text_sql(system_message: str, part: int) -> str:
+    return _messages(system_message) + f"""
+SELECT conv_id, CAST(posicion // {part} AS BIGINT) AS parte, CAST(count(*) AS BIGINT) AS n_mensajes,
+       string_agg(role || ': ' || text, chr(10) ORDER BY posicion) AS transcript
+FROM messages
+GROUP BY conv_id, posicion // {part}"""

@@ -1,7 +1,9 @@
 """Registered queries: one callable per operator key, plus its SQL oracle.
 
-Every callable reads the driver tables under ``sf_dir`` (whole tables, no
-row caps) and returns a lazy DataFrame.
+Every callable reads the driver tables under ``sf_dir`` anew (whole tables, no
+row caps) and returns a DataFrame. Cleaning, round trips and transcripts run
+jobs while the query is built (they store a table or sort once); the others
+are lazy.
 """
 
 from __future__ import annotations
@@ -11,10 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderscope.operators import charts, clean, generate, questions, reports, transcripts
+from orderscope.operators import charts, clean, questions, reports, transcripts
 from orderscope.plans import batch
 from orderscope.plans import oracle as O
-from orderscope.session import fresh_path, prepare
+from orderscope.session import fresh_path, prepare, saved
 from orderscope.sources import files, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,7 +53,7 @@ def q_rating_mean(spark, sf_dir):
 @register("clean_orders", O.with_clean(f"SELECT {O.CLEAN_COLUMNS} FROM clean"))
 def q_clean_orders(spark, sf_dir):
     """Fill, validity filter, derived columns."""
-    return clean.clean_orders(_orders(spark, sf_dir))
+    return clean.clean_orders(batch.stage_raw(_orders(spark, sf_dir)))
 
 
 @register("profile_orders", O.with_clean("""
@@ -103,10 +105,10 @@ def q_report_city(spark, sf_dir):
     return reports.report_city(_orders(spark, sf_dir))
 
 
-@register("report_city_having", O.with_clean("SELECT * FROM report_city", O.R_CITY.format(min_orders=2400)))
+@register("report_city_having", O.with_clean("SELECT * FROM report_city", O.R_CITY.format(min_orders=O.MEAN_CITY_ORDERS)))
 def q_report_city_having(spark, sf_dir):
-    """R2 with a threshold that removes cities at sf0.01 (HAVING that bites)."""
-    return reports.report_city(_orders(spark, sf_dir), min_orders=2400)
+    """R2 with a threshold from the data: more orders than the mean city."""
+    return reports.report_city(_orders(spark, sf_dir), min_orders=None)
 
 
 @register("report_payment", O.with_clean("SELECT * FROM report_payment", O.R_PAYMENT))
@@ -132,7 +134,9 @@ def q_report_status(spark, sf_dir):
 LOOKUP_CATEGORY = "promo"          # lower case on purpose: the match ignores case
 RANKING_METRIC = "ticket_promedio"
 TOP_CITIES_N = 5
+WIDE_CITIES_N = 20
 MONTHLY_YEAR = 1996
+UNKNOWN_CATEGORY = "sin categoria"
 
 
 @register("category_lookup", O.category_lookup_sql(LOOKUP_CATEGORY))
@@ -159,6 +163,12 @@ def q_top_cities(spark, sf_dir):
     return questions.top_cities(reports.report_city(_orders(spark, sf_dir)), TOP_CITIES_N)
 
 
+@register("top_cities_wide", O.top_cities_sql(WIDE_CITIES_N))
+def q_top_cities_wide(spark, sf_dir):
+    """T3 / O5 with n above ten: all n rows."""
+    return questions.top_cities(reports.report_city(_orders(spark, sf_dir)), WIDE_CITIES_N)
+
+
 @register("payment_lines", O.payment_lines_sql())
 def q_payment_lines(spark, sf_dir):
     """T4."""
@@ -183,6 +193,35 @@ def q_executive_summary(spark, sf_dir):
     return questions.executive_summary_of_orders(_orders(spark, sf_dir))
 
 
+@register("answer_texts", O.answer_texts_sql(RANKING_METRIC, TOP_CITIES_N, MONTHLY_YEAR))
+def q_answer_texts(spark, sf_dir):
+    """T2-T6 as the reader sees them, headers included, from one scan."""
+    grouped = saved(reports.grouped_measures(_orders(spark, sf_dir)))
+    return questions.answers(reports.reports_from_grouped(grouped), RANKING_METRIC, TOP_CITIES_N, MONTHLY_YEAR)
+
+
+@register("category_not_found", O.category_not_found_sql(UNKNOWN_CATEGORY))
+def q_category_not_found(spark, sf_dir):
+    """A lookup that finds nothing lists the valid options."""
+    return questions.category_answer(reports.report_category(_orders(spark, sf_dir)), UNKNOWN_CATEGORY)
+
+
+@register("empty_input", O.empty_input_sql(RANKING_METRIC, TOP_CITIES_N))
+def q_empty_input(spark, sf_dir):
+    """C11: every answer over orders of which none is left (quantity below 0)."""
+    none = _orders(spark, sf_dir).filter("cantidad < 0")
+    grouped = saved(reports.grouped_measures(none))
+    tables_ = reports.reports_from_grouped(grouped)
+    lookup = questions.category_answer(tables_["categorias"], LOOKUP_CATEGORY).select(F.lit("categoria").alias("pregunta"), "texto")
+    return lookup.unionByName(questions.answers(tables_, RANKING_METRIC, TOP_CITIES_N, 0))
+
+
+@register("schema_rows", O.schema_rows_sql())
+def q_schema_rows(spark, sf_dir):
+    """The raw order columns with type and number of nulls."""
+    return clean.schema_rows(clean.conform(_orders(spark, sf_dir)))
+
+
 # --- chart tables ---------------------------------------------------------------
 
 @register("kpis", O.kpis_sql())
@@ -227,7 +266,7 @@ def q_status_table(spark, sf_dir):
 def q_parquet_roundtrip(spark, sf_dir):
     """Clean orders → partitioned Parquet in the shared folder → read back."""
     path = fresh_path(spark, "clean-orders")
-    files.write_clean_parquet(clean.clean_orders(_orders(spark, sf_dir)), path)
+    files.write_clean_parquet(clean.clean_orders(batch.stage_raw(_orders(spark, sf_dir))), path)
     return files.read_clean_parquet(spark, path)
 
 
@@ -242,11 +281,18 @@ def q_csv_roundtrip(spark, sf_dir):
     return files.read_report(spark, report_base, "categorias")
 
 
+REPORT_MEASURES = ["total_ordenes", "total_unidades", "ingreso_total", "ticket_promedio", "calificacion_promedio",
+                   "pct_con_descuento", "pct_of_total_ordenes", "variacion_pct"]
+
+
 def _report_rows(name: str, df: DataFrame) -> DataFrame:
+    """Every stored column of a report: its key as text, its measures, null for those it lacks."""
     keys = reports.KEYS[name]
     key = F.col(keys[0]).cast("string") if len(keys) == 1 else \
         F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-    return df.select(F.lit(name).alias("reporte"), key.alias("clave"), "total_ordenes", "ingreso_total")
+    kinds = {"total_ordenes": "bigint", "total_unidades": "bigint"}
+    measures = [(F.col(m) if m in df.columns else F.lit(None)).cast(kinds.get(m, "double")).alias(m) for m in REPORT_MEASURES]
+    return df.select(F.lit(name).alias("reporte"), key.alias("clave"), *measures)
 
 
 @register("reports_reload", O.reports_reload_sql())
@@ -261,38 +307,6 @@ def q_reports_reload(spark, sf_dir):
     return out
 
 
-# --- generator -----------------------------------------------------------------
-
-@register("gen_calendar", O.GEN_CALENDAR_SQL)
-def q_gen_calendar(spark, sf_dir):
-    """Hourly calendar over the span of the order dates."""
-    return generate.calendar_of_orders(tables.table(spark, sf_dir, "orders"))
-
-
-@register("gen_weighted", O.gen_weighted_sql())
-def q_gen_weighted(spark, sf_dir):
-    """Counts of the weighted categorical picks, one per order id."""
-    return generate.weighted_counts(generate.order_ids(spark, sf_dir))
-
-
-@register("gen_orders", O.gen_orders_sql())
-def q_gen_orders(spark, sf_dir):
-    """One synthetic order per order id, missing values injected."""
-    return generate.generate_orders(generate.order_ids(spark, sf_dir))
-
-
-@register("gen_null_injection", O.gen_null_injection_sql())
-def q_gen_null_injection(spark, sf_dir):
-    """Exactly k ids lose their rating / discount (k smallest draws)."""
-    return generate.null_injection_rows(generate.order_ids(spark, sf_dir))
-
-
-@register("gen_report_category", O.gen_report_category_sql())
-def q_gen_report_category(spark, sf_dir):
-    """Generated orders through cleaning into the category report (the original domain end to end)."""
-    return reports.report_category(generate.generate_orders(generate.order_ids(spark, sf_dir)))
-
-
 # --- transcripts -----------------------------------------------------------------
 
 @register("transcript_turns", O.TRANSCRIPT_TURNS_SQL)
@@ -301,7 +315,13 @@ def q_transcript_turns(spark, sf_dir):
     return transcripts.transcript_turns(tables.conversations(spark, sf_dir))
 
 
-@register("transcript_text", O.transcript_text_sql(transcripts.SYSTEM_MESSAGE))
+@register("transcript_messages", O.transcript_messages_sql(transcripts.SYSTEM_MESSAGE))
+def q_transcript_messages(spark, sf_dir):
+    """H2 as rows: the system message, then the kept turns."""
+    return transcripts.transcript_messages(tables.conversations(spark, sf_dir))
+
+
+@register("transcript_text", O.transcript_text_sql(transcripts.SYSTEM_MESSAGE, transcripts.PART))
 def q_transcript_text(spark, sf_dir):
-    """H2."""
+    """H2 as text, in parts of bounded size."""
     return transcripts.transcript_text(tables.conversations(spark, sf_dir))

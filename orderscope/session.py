@@ -1,39 +1,21 @@
 """Spark session and shared-folder helpers.
 
-The settings below are the ones every job in this package relies on:
+The settings every job in this package relies on:
 
-* the session time zone is pinned to UTC and every timestamp we produce is
+* the session time zone is UTC and every timestamp we produce is
   ``timestamp_ntz``, so year / month / hour never depend on where a job runs;
-* ANSI mode stays on (the Spark 4 default): ratios go through ``try_divide``;
-* adaptive execution is on, with skew-join splitting and partition
-  coalescing, so shuffle sizes are re-planned at run time instead of being
-  hard-coded for one scale factor.
-
-On a cluster the session already exists (``getOrCreate`` returns it) and the
-values that the cluster owner chose win; ``get_session`` only fills in what
-is unset.
+* ANSI mode stays on (the Spark 4 default): ratios go through ``try_divide``.
+
+``get_session`` sets nothing else: master, memory, shuffle partitions and
+adaptive execution are what the job was submitted with.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
-
-# Settings applied to a session we create ourselves (tests, bench, local runs).
-LOCAL_CONF = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.shuffle.partitions": "8",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.driver.memory": "16g",
-}
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs need on any session, including one handed to us.
 REQUIRED_CONF = {
@@ -41,21 +23,18 @@ REQUIRED_CONF = {
 }
 
 
-def get_session(master: str | None = None, app_name: str = "orderscope",
-                extra_conf: dict[str, str] | None = None) -> SparkSession:
-    """Return the active session, creating a local one when none exists."""
+def get_session(app_name: str = "orderscope", conf: dict[str, str] | None = None) -> SparkSession:
+    """The active session, or a new one with what was submitted.
+
+    ``conf`` is for callers that run locally on purpose (tests, benches).
+    """
     active = SparkSession.getActiveSession()
     if active is not None:
-        prepare(active)
-        return active
+        return prepare(active)
     builder = SparkSession.builder.appName(app_name)
-    builder = builder.master(master or os.environ.get("SPARK_MASTER", "local[*]"))
-    for key, value in {**LOCAL_CONF, **(extra_conf or {})}.items():
+    for key, value in (conf or {}).items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    prepare(spark)
-    return spark
+    return prepare(builder.getOrCreate())
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -93,7 +72,26 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir() or local
 
 
-def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new, unique path under the shared folder (never reused, never cleared)."""
-    base = shared_dir(spark).rstrip("/")
-    return f"{base}/{label}-{uuid.uuid4().hex}"
+def fresh_path(spark: SparkSession, label: str, keep: bool = False) -> str:
+    """A new, unique path under the shared folder.
+
+    Unless ``keep`` is set, what is written there is released when the driver
+    ends: intermediate tables are not left behind.
+    """
+    holder = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if keep:
+        return holder
+    try:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(holder)
+        system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        system.mkdirs(path)              # only a path that exists can be marked
+        system.deleteOnExit(path)
+    except AttributeError:               # a session without a local context (Spark Connect)
+        pass
+    return f"{holder}/data"
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """Cut lineage by a reliable checkpoint in the shared folder."""
+    shared_dir(df.sparkSession)      # registers the folder where none is set
+    return df.checkpoint()

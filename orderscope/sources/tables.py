@@ -46,46 +46,15 @@ DISCOUNT_NULL_EVERY_PARTKEY = 250
 RATING_NULL_EVERY_ORDERKEY = 125
 
 
-# Table handles per session: a DataFrame is an immutable plan, so the file
-# listing and footer reads of a table happen once per session, like a
-# catalog table, instead of once per query.
-_HANDLES: dict[tuple[int, str], DataFrame] = {}
-
-
-def _session_key(spark: SparkSession) -> int:
-    return id(getattr(spark, "_jsparkSession", spark))
-
-
-def forget(spark: SparkSession | None = None) -> None:
-    """Drop cached table handles (all sessions, or one)."""
-    for key in list(_HANDLES):
-        if spark is None or key[0] == _session_key(spark):
-            del _HANDLES[key]
-
-
-def _cached(spark: SparkSession, key: str, build) -> DataFrame:
-    k = (_session_key(spark), key)
-    handle = _HANDLES.get(k)
-    if handle is None or getattr(handle.sparkSession, "_jsparkSession", handle.sparkSession) \
-            is not getattr(spark, "_jsparkSession", spark):
-        handle = _HANDLES[k] = build()
-    return handle
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table, read as Parquet."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return _cached(spark, path, lambda: spark.read.parquet(path))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def ventas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw order rows (schema ``RAW_ORDERS``) built from the star tables."""
-    return _cached(spark, f"ventas:{sf_dir.rstrip('/')}", lambda: _build_ventas(spark, sf_dir))
-
-
-def _build_ventas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw order rows (schema ``RAW_ORDERS``) built from the star tables, listed anew on every call."""
     lineitem = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount")
     orders = table(spark, sf_dir, "orders").select(

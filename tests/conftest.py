@@ -10,6 +10,14 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+LOCAL_CONF = {
+    "spark.master": "local[4]",
+    "spark.driver.memory": "4g",
+    "spark.sql.shuffle.partitions": "8",
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+}
+
 SF_SMALL = "/root/testdata/sf0.001"
 SF_MEDIUM = "/root/testdata/sf0.01"
 
@@ -17,8 +25,8 @@ SF_MEDIUM = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from orderscope.session import get_session
-    session = get_session(master="local[4]", app_name="orderscope-tests",
-                          extra_conf={"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "4g"})
+    session = get_session("orderscope-tests", LOCAL_CONF)
+    session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
 

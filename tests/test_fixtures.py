@@ -142,9 +142,12 @@ def test_ranking_whitelist_and_top_k_rules(spark):
     for bad in ("total_unidades", "pct_con_descuento", "nope"):
         with pytest.raises(ValueError):
             questions.category_ranking(cats, bad)
-    assert questions.top_k("25") == 10 and questions.top_k(3.9) == 3 and questions.top_k(0) == 0
-    with pytest.raises(ValueError):
-        questions.top_k(-1)
+    assert questions.top_k("25") == 25 and questions.top_k(3.9) == 3 and questions.top_k(0) == 0
+    for n, limit in ((-1, None), (11, 10)):
+        with pytest.raises(ValueError):
+            questions.top_k(n, limit)
+    cities = reports.report_city(frame(spark, [order(i, ciudad=f"c{i:02d}") for i in range(14)]), min_orders=0)
+    assert questions.top_cities(cities, 12).count() == 12
 
 
 def test_monthly_year_filter_keeps_lag_and_unknown_year_is_empty(spark):
@@ -175,9 +178,55 @@ def test_text_formats_match_python(spark):
 
 
 def test_schema_rows(spark):
-    out = clean.schema_rows(frame(spark, [order(1)]))
-    assert out[0] == ("orden_id", "bigint", True)
-    assert ("calificacion", "double", True) in out and ("fecha", "timestamp_ntz", True) in out
+    out = {r["columna"]: (r["posicion"], r["tipo"], r["nulos"])
+           for r in clean.schema_rows(frame(spark, [order(1, descuento=None), order(2)])).collect()}
+    assert out["orden_id"] == (1, "bigint", 0) and out["fecha"] == (2, "timestamp_ntz", 0)
+    assert out["descuento_pct"] == (8, "double", 1) and len(out) == 13
+
+
+def test_revenue_below_a_cent_is_not_lost(spark):
+    data = [order(i, precio=0.004, cantidad=5) for i in range(1000)]
+    report = rows(reports.report_category(frame(spark, data)))[0]
+    assert report["ingreso_total"] == 20.0 and report["ticket_promedio"] == 0.02
+    mixed = [order(1, precio=0.05, descuento=10.0), order(2, precio=1.2345, descuento=12.5), order(3, precio=3e9, cantidad=4)]
+    assert rows(reports.report_category(frame(spark, mixed)))[0]["ingreso_total"] == pytest.approx(12e9 + 0.045 + 1.2345 * 0.875, abs=0.006)
+
+
+def test_infinite_price_is_no_price_anywhere(spark):
+    data = [order(1, precio=float("inf")), order(2, precio=10.0), order(3, calificacion=float("inf"), descuento=float("-inf"))]
+    assert [r["orden_id"] for r in rows(clean.clean_orders(frame(spark, data)), order=lambda r: r["orden_id"])] == [2, 3]
+    report = rows(reports.report_category(frame(spark, data)))[0]
+    assert report["total_ordenes"] == 2 and report["ingreso_total"] == 20.0 and report["calificacion_promedio"] == 4.0
+
+
+def test_clean_ratings_sum_exactly_in_any_order(spark):
+    data = [order(i, calificacion=None if i % 3 else 1.0 + i % 5) for i in range(400)]
+    cleaned = clean.clean_orders(frame(spark, data))
+    want = rows(reports.report_category(frame(spark, data)))
+    for parts in (1, 3, 11):
+        assert rows(reports.report_category(cleaned.repartition(parts, "orden_id"))) == want
+
+
+def test_answers_have_headers_and_say_when_there_are_no_data(spark):
+    data = [order(1, categoria="Ropa"), order(2, categoria="Hogar", precio=20.0)]
+    tables = reports.report_tables(frame(spark, data), min_city_orders=0)
+    got = {r["pregunta"]: r["texto"] for r in questions.answers(tables, "ingreso_total", 3, 2022).collect()}
+    assert got["ranking"] == "Ranking por ingreso_total:\n  1. Hogar: 20.0\n  2. Ropa: 10.0\n"
+    assert got["ciudades"] == "Top 3 ciudades por ingreso:\n  1. X (D): $30 | 2 ordenes\n"
+    assert got["pagos"] == "Metodos de pago:\n  Tarjeta: 2 ordenes | $30\n"
+    assert got["meses"] == "Evolucion mensual (2022):\n  2022 Ene: 2 ordenes | $30 | var: base\n"
+    assert got["estados"] == "Estados de envio:\n  Entregado: 2 ordenes | calif: 4.00/5\n"
+    missing = rows(questions.category_answer(tables["categorias"], "Libros"))[0]["texto"]
+    assert missing == "Categoria no encontrada. Opciones: ['Hogar', 'Ropa']"
+    assert rows(questions.category_answer(tables["categorias"], "ROPA"))[0]["texto"].startswith("Ropa:\n  Ordenes:            1\n")
+    nothing = reports.report_tables(frame(spark, []))
+    assert {r["texto"] for r in questions.answers(nothing, "ingreso_total", 3, 0).collect()} == {"Datos no disponibles."}
+    assert rows(questions.category_answer(nothing["categorias"], "Ropa"))[0]["texto"] == "Datos no disponibles."
+
+
+def test_city_threshold_from_the_data(spark):
+    data = [order(i, ciudad="grande") for i in range(9)] + [order(100, ciudad="chica")]
+    assert [r["ciudad"] for r in rows(reports.report_city(frame(spark, data), min_orders=None))] == ["grande"]
 
 
 def test_null_group_key_is_its_own_group(spark):

@@ -102,9 +102,7 @@ def test_calendar_keeps_minute_phase_across_days(spark):
     assert got == want
 
 
-def test_selection_large_tie_group_uses_radix_on_ids(spark, monkeypatch):
-    from orderscope.operators import selection
-    monkeypatch.setattr(selection, "TIE_TOPK_LIMIT", 10)   # force the radix path
+def test_selection_large_tie_group_uses_radix_on_ids(spark):
     data = [(7 if i % 3 else 2, (i * 104729) % 100003 - 50000) for i in range(300)]   # many ties, signed ids
     df = spark.createDataFrame(data, "h long, id long")
     for k in (1, 100, 150, 299):

@@ -81,3 +81,49 @@ def test_csv_schema_inference_is_optional(spark):
     assert inferred.count() == orders.count()
     explicit = files.read_orders_csv(spark, path)
     assert explicit.schema == RAW_ORDERS
+
+
+def test_appended_rows_are_seen_by_the_next_query(spark):
+    base = fresh_path(spark, "test-append")
+    events = tables.table(spark, SF_SMALL, "events")
+    events.write.parquet(f"{base}/events.parquet")
+    n = tables.events(spark, base).count()
+    events.write.mode("append").parquet(f"{base}/events.parquet")
+    assert tables.events(spark, base).count() == 2 * n
+
+
+def test_session_keeps_what_was_submitted():
+    """A new driver with another master and partition count finds both unchanged."""
+    import os
+    import subprocess
+    import sys
+
+    from .conftest import ROOT
+    env = os.environ | {"PYTHONPATH": ROOT, "PYSPARK_SUBMIT_ARGS":
+                        "--master local[2] --conf spark.sql.shuffle.partitions=400 --conf spark.ui.enabled=false pyspark-shell"}
+    code = ("from orderscope.session import get_session; s = get_session(); "
+            "print('GOT', s.sparkContext.master, s.conf.get('spark.sql.shuffle.partitions'), s.conf.get('spark.sql.session.timeZone'))")
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120).stdout
+    assert "GOT local[2] 400 UTC" in out
+
+
+def test_reports_on_prices_with_more_decimals_match_the_oracle(spark):
+    """Three and more decimals, and one infinite price, against SQL that does not cast to cents."""
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from orderscope.plans.compare import compare, duckdb_connection
+    path = fresh_path(spark, "test-decimals").removeprefix("file:")
+    os.makedirs(path)
+    for name in tables.TABLES:
+        t = pq.read_table(f"{SF_SMALL}/{name}.parquet")
+        if name == "part":
+            prices = [0.004 if i % 4 == 0 else 12.3456 + i / 1000 if i % 4 == 1 else 9.99 for i in range(t.num_rows)]
+            prices[2] = float("inf")
+            t = t.set_column(t.schema.get_field_index("p_retailprice"), "p_retailprice", pa.array(prices))
+        pq.write_table(t, f"{path}/{name}.parquet")
+    con = duckdb_connection(path)
+    for key in ("report_category", "report_city", "report_payment", "report_monthly", "report_status", "clean_orders", "kpis"):
+        assert compare(spark, key, path, con)["status"] == "match", key
