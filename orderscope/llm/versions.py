@@ -10,8 +10,9 @@ Two versions are compared by subtracting tables of one size cell by cell:
 what both hold cancels, and a cell left with a single digest (count 1 or -1
 and a check that agrees) gives it away, so it can be taken out of its other
 cells too, and so on. The table size follows from the two digest counts, which
-the tables hold. Where cells remain, the comparison is repeated with twice the
-cells and other hashes. With d recovered digests the likeness is
+the tables hold. Where cells remain (about one pair in a hundred), the
+comparison of those documents is repeated with eight times the cells and other
+hashes. With d recovered digests the likeness is
 ``(a + b - d) / (a + b + d)``, the share of common ones (1 if both are empty).
 
 Everything is DataFrame operations: cells are rows, adding up and subtracting
@@ -33,13 +34,16 @@ ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderscope.llm.frames import id_key, key_id, numbered, one_text_per_id, saved
 
 BASE_CELLS = 12
-SPARE_CELLS = 18
+SPARE_CELLS = 36
+BROADCAST_IDS = 200_000
 STEPS = 12                       # peeling steps of an attempt, one subtable each
 CUT = r"(?<=[.!?])\s+|\n+"       # between paragraphs
 CHECK = 1_000_003                # seed of the check hash
@@ -100,7 +104,7 @@ def _peeled(rows: DataFrame, entries: Column, attempt: int, keep_digests: bool =
 def _size(a: Column, b: Column, share: float, attempt: int) -> Column:
     """Cells of a subtable for versions with so many digests together."""
     cells = (F.size(a) + F.size(b)) * share + SPARE_CELLS
-    return F.ceil(cells * (1 << attempt) / 3).cast("int")
+    return F.ceil(cells * (1 << 3 * attempt) / 3).cast("int")
 
 
 def changed_paragraphs(old: DataFrame, new: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -196,16 +200,23 @@ def version_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     links = _next_links(docs, id_col)
     rows = saved(_compared(_versions(docs, links, id_col, text_col), 0, base))
+    open_ = F.col("near_edited").isNull() | F.col("near_next").isNull()
+    failed, mended = rows.filter(open_).select("key"), []
     for attempt in range(1, attempts):
-        failed = rows.filter("near_edited is null or near_next is null").select("key")
-        if failed.isEmpty():
+        n_failed = failed.count()
+        if not n_failed:
             break
-        again = links.join(failed, "key")
+        again = saved(links.join(failed, "key"))
         needed = again.select("key").union(again.select("next_key")).distinct()
-        some = docs.select(id_key(id_col).alias(id_col), text_col).join(needed.withColumnRenamed("key", id_col), id_col, "left_semi")
-        larger = _compared(_versions(some, again, id_col, text_col), attempt, base) \
-            .select("key", F.col("near_edited").alias("edited_"), F.col("near_next").alias("next_"))
-        rows = saved(rows.join(larger, "key", "left").withColumns({
-            "near_edited": F.coalesce("near_edited", "edited_"), "near_next": F.coalesce("near_next", "next_")}).drop("edited_", "next_"))
+        # few ids as a rule: sent to all tasks only within a bound, else shuffled to the texts
+        needed = F.broadcast(needed) if n_failed <= BROADCAST_IDS else needed
+        some = docs.select(id_key(id_col).alias("key"), F.col(text_col).alias("text")).join(needed, "key", "left_semi")
+        tried = saved(_compared(_versions(some, again, "key", "text"), attempt, base).select("key", "near_edited", "near_next"))
+        mended.append(tried.filter(~open_))
+        failed = tried.filter(open_).select("key")
+    if mended:
+        patch = reduce(DataFrame.unionByName, mended).withColumnsRenamed({"near_edited": "edited_", "near_next": "next_"})
+        rows = rows.join(patch, "key", "left").withColumns({
+            "near_edited": F.coalesce("edited_", "near_edited"), "near_next": F.coalesce("next_", "near_next")})
     return rows.select(key_id("key").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                        "near_edited", "near_next")
