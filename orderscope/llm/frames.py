@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderscope.session import shared_dir
+from orderscope.operators.ranks import numbered
+from orderscope.session import saved
+
+__all__ = ["NULL_ID", "components", "id_key", "key_id", "numbered", "one_text_per_id", "read", "saved"]
 
 # Stands for a null document id inside the operators: it sorts before all others.
 NULL_ID = -(1 << 63)
@@ -25,14 +28,6 @@ def key_id(column: str) -> Column:
     return F.when(F.col(column) != NULL_ID, F.col(column))
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """Cut lineage by a reliable checkpoint in the folder that the cluster names."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
-
-
 def one_text_per_id(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows ``key, text``, hash-partitioned by key.
 
@@ -43,23 +38,6 @@ def one_text_per_id(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.groupBy(id_key(id_col).alias("key")).agg(F.min(F.col(text_col).cast("string")).alias("text"))
 
 
-def numbered(df: DataFrame, *order: Column | str, label: str = "rank") -> DataFrame:
-    """Add each row's place (from 0) in a total order, without a single-task window.
-
-    A range-partitioned sort, its partition and row-in-partition numbers
-    (saved, so that both uses see the same rows), and the running sum of the
-    per-partition counts: as many rows as there are partitions.
-    """
-    ordered = saved(df.sort(*order).withColumn("at_", F.monotonically_increasing_id()))
-    part = F.shiftright("at_", 33).alias("part_")
-    counts = ordered.groupBy(part).agg(F.count(F.lit(1)).alias("n_"))
-    earlier = Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("part_", F.coalesce(F.sum("n_").over(earlier), F.lit(0)).alias("before_"))
-    return ordered.withColumn("part_", F.shiftright("at_", 33)).join(F.broadcast(starts), "part_") \
-        .withColumn(label, F.col("before_") + F.col("at_").bitwiseAND((1 << 33) - 1)) \
-        .drop("at_", "part_", "before_")
-
-
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected ``edges(a, b)``: rows ``node, root``.
 
