@@ -163,9 +163,11 @@ def search(shard: Shard, tests: Tests, by_rarity: np.ndarray, slop: int) -> Iter
     pivot = tests.windows[np.arange(len(by_rarity)), by_rarity[:, 0]]
     at = shard.place[pivot]
     rows = np.flatnonzero(at >= 0)
+    if not len(rows):
+        return
     size = shard.starts[at[rows] + 1] - shard.starts[at[rows]]
     block = np.concatenate([[0], np.cumsum(size)]) // CANDIDATES_AT_ONCE
-    cuts = np.flatnonzero(np.append(True, block[1:-1] != block[:-2])) if len(rows) else np.zeros(0, np.int64)
+    cuts = np.flatnonzero(np.append(True, block[1:-1] != block[:-2]))
     for low, high in zip(cuts, np.append(cuts[1:], len(rows)), strict=True):
         w = np.repeat(rows[low:high], size[low:high])
         step = np.arange(len(w)) - np.repeat(np.cumsum(size[low:high]) - size[low:high], size[low:high])
