@@ -1,0 +1,103 @@
+"""SimHash against brute force, and the covering code's guarantee."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from xxhash import xxh64_intdigest
+
+from orderscope.llm import simhash
+from orderscope.llm.simhash import bucket_links, simhash_components
+
+from .conftest import AWKWARD, DOCS, LOWER, REPEATED, white_words
+
+
+def fingerprint(text):
+    words = white_words((text or "").translate(LOWER))
+    shingles = [" ".join(words[k:k + 4]) for k in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute(docs):
+    docs = sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0))
+    fps = [fingerprint(t) for _, t in docs]
+    parent = list(range(len(docs)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a in range(len(docs)):
+        for b in range(a):
+            if bin(fps[a] ^ fps[b]).count("1") <= 4:
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return [(docs[a][0], f"{fps[a]:016x}", docs[find(a)][0]) for a in range(len(docs))]
+
+
+def rows(df):
+    return sorted(((r.doc_id, r.fingerprint, r.component_id) for r in df.collect()), key=str)
+
+
+def test_matches_brute_force(spark):
+    rnd = random.Random(5)
+    words = [f"w{k}" for k in range(400)]
+    docs = []
+    for i in range(60):
+        base = rnd.choices(words, k=rnd.randint(150, 400))
+        for _ in range(rnd.randint(1, 6)):
+            copy = list(base)
+            for _ in range(rnd.choice([0, 1, 1, 3])):
+                copy[rnd.randrange(len(copy))] = rnd.choice(words)
+            docs.append((len(docs) * 5 % 997, " ".join(copy)))
+    want = sorted(brute(docs), key=str)
+    assert rows(simhash_components(spark.createDataFrame(docs, DOCS).repartition(5))) == want
+    assert len({c for _, _, c in want}) < len(docs)
+
+
+def test_awkward_cases_and_repeated_rows(spark):
+    docs = AWKWARD + REPEATED
+    got = rows(simhash_components(spark.createDataFrame(docs, DOCS)))
+    assert got == sorted(brute(docs), key=str)
+    empties = {c for i, f, c in got if f == "0" * 16}
+    assert len(empties) == 1
+
+
+def test_empty_table_and_clashing_columns(empty, awkward):
+    assert simhash_components(empty).collect() == []
+    assert simhash_components(awkward).columns == ["doc_id", "fingerprint", "component_id", "class_id"]
+
+
+@pytest.mark.parametrize("bits", [0, 1, 4, 7])
+def test_no_pair_within_the_distance_is_lost(bits):
+    """Pairs that differ in up to ``bits`` bits meet at the home anchor of one of them."""
+    rng = np.random.default_rng(bits)
+    a = rng.integers(0, 1 << 63, 300, dtype=np.int64)
+    b = a.copy()
+    for i in range(len(b)):
+        for bit in rng.choice(64, bits, replace=False):
+            b[i] ^= np.int64(np.uint64(1 << int(bit)).view(np.int64))
+    fps = np.unique(np.concatenate([a, b]))
+    found = [(anchor, fps[row], home) for row, anchor, home in simhash.anchors(fps, 1 + bits // 3)]
+    anchor, fp, home = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((fp, ~home, anchor))
+    x, y = bucket_links(anchor[order], fp[order], home[order], bits)
+    linked = {frozenset(p) for p in zip(x.tolist(), y.tolist(), strict=True)}
+    parent = {f: f for f in fps.tolist()}
+
+    def find(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+    for p in linked:
+        u, v = sorted(p)
+        parent[find(v)] = find(u)
+    assert all(find(u) == find(v) for u, v in zip(a.tolist(), b.tolist(), strict=True))
+
+
+def test_forest_of_a_chain_reaches_its_smallest_row():
+    n = 1000
+    assert set(simhash.forest(n, np.arange(n - 1), np.arange(1, n))) == {0}
