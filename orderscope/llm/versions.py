@@ -214,6 +214,9 @@ def version_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
         tried = saved(_compared(_versions(some, again, "key", "text"), attempt, base).select("key", "near_edited", "near_next"))
         mended.append(tried.filter(~open_))
         failed = tried.filter(open_).select("key")
+    else:
+        if not failed.isEmpty():
+            raise RuntimeError(f"{attempts} table sizes did not decode")
     if mended:
         patch = reduce(DataFrame.unionByName, mended).withColumnsRenamed({"near_edited": "edited_", "near_next": "next_"})
         rows = rows.join(patch, "key", "left").withColumns({
