@@ -126,7 +126,7 @@ def statistics(piece: Piece) -> np.ndarray:
 
 
 def batch_statistics(texts: pa.Array) -> np.ndarray:
-    rows = [statistics(p) for p in pieces(texts, WHITE)]
+    rows = [statistics(p) for p in pieces(texts, WHITE, limit=1 << 20)]
     return np.concatenate(rows) if rows else np.zeros((0, len(STATISTICS)), np.float32)
 
 
