@@ -23,7 +23,7 @@ below that, to know that a run has ended takes one word more on either side.
    once occurs once itself. From the higher rounds, symbols of at
    least ``window`` words go the same way with a second 64-bit hash of their
    words: all windows inside any but the first of equal ones are repeats.
-2. *Verify.* The windows not decided so far are grouped by a 128-bit hash of
+2. *Verify.* The windows not decided so far are grouped by a 96-bit hash of
    their words; all but the first of a group are repeats.
 
 Scale. Texts are shuffled once (one exchange, used three times). Anchors,
@@ -266,21 +266,20 @@ def _name_rows(window: int) -> Callable:
             many = np.bincount(group)[group] > 1
             # rows past the first of a name are decided here; they only pass through, dealt out by place
             name = np.where(first, name, hash_pair(key.view(np.uint64), at.astype(np.uint64), 7).view(np.int64))
-            yield _batch({"name": name, "check": np.where(first, check, 0), "key": key, "at": at.astype(np.int32),
-                          "len": length.astype(np.int32), "many": np.where(first, many, 2).astype(np.int8)})
+            yield _batch({"name": name, "key": key, "place": (length << 32) | at, "check": np.where(first, check, 0),
+                          "many": np.where(first, many, 2).astype(np.int8)})
     return run
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch], n_same: int) -> Iterator[list[np.ndarray]]:
-    """Columns of sorted batches, cut so that rows equal in the first columns stay together."""
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Columns of sorted batches, cut so that rows equal in the first column stay together."""
     held: list[np.ndarray] | None = None
     for batch in batches:
         new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
         held = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
         n = len(held[0])
         if n:
-            differs = np.flatnonzero(np.any([x != x[-1] for x in held[:n_same]], axis=0))
-            cut = int(differs[-1]) + 1 if len(differs) else 0
+            cut = int(np.searchsorted(held[0], held[0][-1]))
             if cut:
                 yield [x[:cut] for x in held]
                 held = [x[cut:] for x in held]
@@ -290,14 +289,15 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], n_same: int) -> Iterator[li
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by (name, check, key, at): shared anchors and long repeats."""
-    for name, check, key, at, length, many in _whole_groups(batches, 2):
+    for name, key, place, check, many in _whole_groups(batches):
+        at, length = place & 0xFFFFFFFF, place >> 32
         new = np.ones(len(name), dtype=bool)
         new[1:] = (name[1:] != name[:-1]) | (check[1:] != check[:-1])
         group = np.cumsum(new) - 1
         anchor = length < 0
         is_shared = (np.bincount(group)[group] > 1) | (many > 0)
         keep = np.where(anchor, is_shared, ~new | (many == 2))
-        yield _batch({"key": key[keep], "at": at[keep], "len": length[keep]})
+        yield _batch({"key": key[keep], "at": at[keep].astype(np.int32), "len": length[keep].astype(np.int32)})
 
 
 def _window_rows(window: int) -> Callable:
@@ -329,7 +329,7 @@ def _window_rows(window: int) -> Callable:
                 doc = piece.doc_of_word()
                 if len(undecided):
                     h = [sequence_hash(piece.hashes(2 + i), window, _BASE[i])[undecided] for i in range(2)]
-                    found.append((h[0].view(np.int64), h[1].view(np.int64), keys[piece.row + doc[undecided]],
+                    found.append((h[0].view(np.int64), h[1].view(np.int64) >> 32, keys[piece.row + doc[undecided]],
                                   undecided - piece.first[doc[undecided]]))
                 known.append((keys[piece.row + doc[long_at]], long_at - piece.first[doc[long_at]], long_to - long_at + 1))
             if found:
@@ -337,14 +337,13 @@ def _window_rows(window: int) -> Callable:
                 order, _, first = _firsts((h1, h2, key, at), (h1, h2))
                 h1, h2, key, at = (x[order] for x in (h1, h2, key, at))
                 known.append((key[~first], at[~first], np.ones(int((~first).sum()), np.int64)))
-                yield _batch({"h1": h1[first], "h2": h2[first], "key": key[first], "at": at[first].astype(np.int32),
+                yield _batch({"h1": h1[first], "h2_at": (h2[first] << 32) | at[first], "key": key[first],
                               "len": np.zeros(int(first.sum()), np.int32)})
             if known:
                 key, at, length = (np.concatenate(x) for x in zip(*known, strict=True))
                 key, at, length = merged(key, at, length)
                 yield _batch({"h1": hash_pair(key.view(np.uint64), at.astype(np.uint64), 8).view(np.int64),
-                              "h2": np.zeros(len(key), np.int64), "key": key, "at": at.astype(np.int32),
-                              "len": length.astype(np.int32)})
+                              "h2_at": at, "key": key, "len": length.astype(np.int32)})
     return run
 
 
@@ -365,12 +364,13 @@ def merged(key: np.ndarray, at: np.ndarray, length: np.ndarray) -> tuple[np.ndar
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (h1, h2, key, at): all but the first window of each group, and known ranges."""
-    for h1, h2, key, at, length in _whole_groups(batches, 2):
+    """From rows sorted by (h1, h2, key, at), the last three as kept in ``h2_at`` and ``key``: all but the first window of each group, and known ranges."""
+    for h1, h2_at, key, length in _whole_groups(batches):
+        h2, at = h2_at >> 32, h2_at & 0xFFFFFFFF
         new = np.ones(len(h1), dtype=bool)
         new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
         keep = ~new | (length > 0)
-        yield _batch({"key": key[keep], "at": at[keep], "len": np.maximum(length[keep], 1)})
+        yield _batch({"key": key[keep], "at": at[keep].astype(np.int32), "len": np.maximum(length[keep], 1)})
 
 
 def _kept(window: int, untouched_as_is: bool) -> Callable:
@@ -422,11 +422,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return texts.join(_lists(rows).hint("merge"), "key", "left") \
             .select("key", "text", F.coalesce("places", F.array().cast("array<bigint>")).alias("places"))
 
-    names = texts.mapInArrow(_name_rows(window), "name bigint, check bigint, key bigint, at int, len int, many tinyint")
-    shared = names.repartition("name").sortWithinPartitions("name", "check", "key", "at") \
+    # what differs from row to row stands side by side, which the shuffle's compression rewards
+    names = texts.mapInArrow(_name_rows(window), "name bigint, key bigint, place bigint, check bigint, many tinyint")
+    shared = names.repartition("name").sortWithinPartitions("name", "check", "key", "place") \
         .mapInArrow(_shared, "key bigint, at int, len int")
-    windows = with_places(shared).mapInArrow(_window_rows(window), "h1 bigint, h2 bigint, key bigint, at int, len int")
-    repeats = windows.repartition("h1").sortWithinPartitions("h1", "h2", "key", "at") \
+    windows = with_places(shared).mapInArrow(_window_rows(window), "h1 bigint, h2_at bigint, key bigint, len int")
+    repeats = windows.repartition("h1").sortWithinPartitions("h1", F.shiftright("h2_at", 32), "key", "h2_at") \
         .mapInArrow(_repeated, "key bigint, at int, len int")
     kept = with_places(repeats).mapInArrow(_kept(window, untouched_as_is), "key bigint, n_words bigint, n_removed bigint, spaced string")
     return kept.select(key_id("key").alias("doc_id"), "n_words", "n_removed",
