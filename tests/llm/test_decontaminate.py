@@ -38,7 +38,7 @@ def rows(df):
     return sorted(((r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in df.collect()), key=str)
 
 
-@pytest.mark.parametrize("block_words", [1 << 20, 25])
+@pytest.mark.parametrize("block_words", [1 << 20, 100])
 def test_matches_brute_force(spark, monkeypatch, block_words):
     monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block_words)
     monkeypatch.setattr(decontaminate, "CANDIDATES_AT_ONCE", 50)

@@ -11,7 +11,7 @@ import pytest
 from orderscope.llm import versions
 from orderscope.llm.versions import changed_paragraphs, version_fingerprints
 
-from .conftest import AWKWARD, DOCS
+from .conftest import AWKWARD, DOCS, with_clashing_columns
 
 
 def paragraphs(text):
@@ -23,6 +23,9 @@ def likeness(a, b):
 
 
 def brute(docs):
+    """Rows that share an id: the smallest text (null only if all are)."""
+    ids = dict.fromkeys(i for i, _ in docs)
+    docs = [(i, min((t for j, t in docs if j == i and t is not None), default=None)) for i in ids]
     docs = sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0))
     texts = [t or "" for _, t in docs]
     out = {}
@@ -46,19 +49,15 @@ def check(spark, docs):
     return rows
 
 
-def test_likeness_is_exact(spark):
+def test_likeness_is_exact_awkward_cases_included(spark):
     rnd = random.Random(4)
     lines = [f"Line {k} of many. It has a second sentence {k}?" for k in range(80)]
-    docs = [(i * 3, "\n".join(rnd.choices(lines, k=rnd.randint(0, 60)))) for i in range(60)]
+    docs = AWKWARD + [(100 + i * 3, "\n".join(rnd.choices(lines, k=rnd.randint(0, 60)))) for i in range(60)]
+    docs += [(500, "b"), (500, "a"), (500, None), (501, "c"), (501, "c")]
     rows = check(spark, docs)
     assert any(0 < r.near_next < 1 for r in rows.values())
-
-
-def test_awkward_cases_and_equal_texts(spark):
-    rows = check(spark, AWKWARD)
     assert rows[1].fingerprint == rows[5].fingerprint != ""
     assert rows[2].fingerprint == rows[3].fingerprint == ""
-    assert check(spark, [(1, "alone. It is.")])[1].near_next == 1.0
 
 
 def test_small_tables_are_tried_again_larger(spark, monkeypatch):
@@ -79,12 +78,11 @@ def test_changed_paragraphs_are_recovered(spark):
                    (4, digest["only old"], 1), (None, digest["n"], -1)}
 
 
-def test_repeated_ids_empty_table_and_clashing_columns(spark, empty, awkward):
+def test_single_document_empty_table_and_clashing_columns(spark, empty):
     assert version_fingerprints(empty).collect() == []
-    rows = version_fingerprints(spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (2, "c")], DOCS)).collect()
-    assert {(r.doc_id, r.n_chars) for r in rows} == {(1, 1), (2, 1)}
-    assert version_fingerprints(awkward).columns == ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-                                                     "near_edited", "near_next"]
+    rows = version_fingerprints(with_clashing_columns(spark, [(1, "alone. It is.")]))
+    assert rows.columns == ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    assert [(r.doc_id, r.near_next) for r in rows.collect()] == [(1, 1.0)]
 
 
 def test_no_python_on_the_main_path(spark):
