@@ -41,6 +41,16 @@ from orderscope.schemas import RAW_ORDERS
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
+# The columns that order rows are made of.
+STAR_COLUMNS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, l_discount double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_orderpriority string, o_orderstatus string",
+    "part": "p_partkey bigint, p_type string, p_name string, p_retailprice double",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
 # Fixed values of the null rule on the test tables.
 DISCOUNT_NULL_EVERY_PARTKEY = 250
 RATING_NULL_EVERY_ORDERKEY = 125
@@ -55,14 +65,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ventas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw order rows (schema ``RAW_ORDERS``) built from the star tables, listed anew on every call."""
-    lineitem = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount")
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name", "p_retailprice")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    lineitem, orders, part, customer, nation, region = (
+        _star(spark, sf_dir, name) for name in ("lineitem", "orders", "part", "customer", "nation", "region"))
 
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey)
     customer_geo = customer.join(geo, customer.c_nationkey == geo.n_nationkey)
@@ -92,6 +96,12 @@ def ventas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(*[F.col(f.name).cast(f.dataType) for f in RAW_ORDERS.fields])
 
 
+def _star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The columns of a star table that orders are made of, under their fixed
+    schema: Spark lists the files anew but needs no job to infer types."""
+    return spark.read.schema(STAR_COLUMNS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
