@@ -1,16 +1,16 @@
 """Licence scan with a positional index of rare template words.
 
 Base places are where the words of a base phrase stand consecutively. The
-method adds whole-notice matches:
+method adds notices, whole or shortened:
 
-1. *Rarity.* For every word of the licence templates, the number of documents
+1. *Rarity.* For every word of the key phrases, the number of documents
    that hold it is counted over the whole table.
-2. *Index.* Each template's ``RARE_WORDS`` rarest different words are posted
-   with their positions in the template.
-3. *Look-up.* A file's indexed words, each with its place, meet the postings;
-   a posting at template position t and a word at place p vote for the
-   template to begin at p - t. Starts for which at least ``MIN_AGREE``
-   different rare words agree are candidates.
+2. *Index.* Of each template's key phrase, the rarest word is posted with its
+   positions in the template. A template with a key word that no document
+   holds stands nowhere and isn't posted.
+3. *Look-up.* A file's indexed words, each with its place, meet the postings:
+   a posting at template position t and a word at place p make p - t a
+   candidate start. No notice is lost, as each needs its whole key phrase.
 4. *Verify.* A candidate counts if the template's mandatory key phrase stands
    word for word where that start puts it. Its score is the share of template
    words that stand in their places.
@@ -37,7 +37,6 @@ from pyspark.sql import functions as F
 BASE_PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 LOWER_FROM, LOWER_TO = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-RARE_WORDS, MIN_AGREE = 4, 2
 
 
 @dataclass(frozen=True)
@@ -127,32 +126,25 @@ def _labelled(starts: Column, label: str) -> Column:
     return F.transform(starts, lambda i: F.struct(i.alias("start"), F.lit(label).alias("label")))
 
 
-def _votes(postings: dict[str, list[tuple[int, int]]]) -> Column:
-    """All (template, start, word) votes of a file, in that order."""
-    indexed = _strings(sorted(postings))
-    table = F.create_map(*[x for word in sorted(postings) for x in (
-        F.lit(word), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")) for t, p in postings[word]]))])
-    placed = F.filter(F.transform("words", lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: x["w"].isin(*sorted(postings)))
-    votes = F.flatten(F.transform(placed, lambda x: F.transform(F.element_at(table, x["w"]), lambda y: F.struct(
-        y["t"].alias("t"), (x["i"] - y["p"]).alias("start"), x["w"].alias("w")))))
-    return F.when(F.arrays_overlap("words", indexed), F.array_sort(votes)) \
-        .otherwise(F.array().cast("array<struct<t:int,start:int,w:string>>"))
-
+def key_postings(frequency: dict[str, int], templates: tuple[Template, ...]) -> dict[str, list[tuple[int, int]]]:
+    """Postings (template number, position) of the rarest word of each key phrase that can stand somewhere."""
+    keys = tuple(Template(t.label, t.key, t.key) for t in templates)
+    found = {w: [(t, i + templates[t].key_at) for t, i in places if frequency[w]] for w, places in rare_words(frequency, keys, 1).items()}
+    return {w: places for w, places in found.items() if places}
 
-def _candidates(votes: Column, at_least: int) -> Column:
-    """(t, start) on which at least so many different words agree: one walk over the sorted votes."""
-    none = F.lit(None)
-    zero = F.struct(none.cast("int").alias("t"), none.cast("int").alias("start"), none.cast("string").alias("w"),
-                    F.lit(0).alias("n"), F.array().cast("array<struct<t:int,start:int>>").alias("found"))
 
-    def step(a: Column, x: Column) -> Column:
-        same = (a["t"] == x["t"]) & (a["start"] == x["start"])
-        n = F.when(same, a["n"] + F.when(a["w"] == x["w"], 0).otherwise(1)).otherwise(1)
-        reached = (n == at_least) & ~(F.coalesce(same, F.lit(False)) & (a["n"] == at_least))
-        found = F.when(reached, F.concat(a["found"], F.array(F.struct(x["t"].alias("t"), x["start"].alias("start"))))) \
-            .otherwise(a["found"])
-        return F.struct(x["t"].alias("t"), x["start"].alias("start"), x["w"].alias("w"), n.alias("n"), found.alias("found"))
-    return F.aggregate(votes, zero, step, lambda a: a["found"])
+def _candidates(postings: dict[str, list[tuple[int, int]]]) -> Column:
+    """All different (t, start) that the postings imply, in that order."""
+    none = F.array().cast("array<struct<t:int,start:int>>")
+    if not postings:
+        return none
+    indexed = sorted(postings)
+    table = F.create_map(*[x for word in indexed for x in (
+        F.lit(word), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")) for t, p in postings[word]]))])
+    placed = F.filter(F.transform("words", lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: x["w"].isin(*indexed))
+    starts = F.flatten(F.transform(placed, lambda x: F.transform(F.element_at(table, x["w"]), lambda y: F.struct(
+        y["t"].alias("t"), (x["i"] - y["p"]).alias("start")))))
+    return F.when(F.arrays_overlap("words", _strings(indexed)), F.array_sort(F.array_distinct(starts))).otherwise(none)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -164,12 +156,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     phrases = BASE_PHRASES if phrases is None else phrases
     rows = docs.select(F.col(id_col).alias("doc_id"), words(F.col(text_col).cast("string")).alias("words"))
-    vocabulary = sorted({w for t in templates for w in t.words})
-    postings = rare_words(document_frequencies(rows, vocabulary), templates, RARE_WORDS)
+    vocabulary = sorted({w for t in templates for w in t.key})
+    postings = key_postings(document_frequencies(rows, vocabulary), templates)
     known = F.array(*[F.struct(F.lit(t.label).alias("label"), _strings(t.words).alias("words"), _strings(t.key).alias("key"),
                                F.lit(t.key_at).alias("key_at")) for t in templates])
     places = F.array_sort(F.concat(*[_labelled(_phrase_places(p), label) for p, label in phrases.items()]))
-    found = rows.withColumn("places", places).withColumn("votes", _votes(postings))
+    found = rows.withColumn("places", places).withColumn("starts", _candidates(postings))
 
     def verified(x: Column) -> Column:
         t = F.element_at(known, x["t"] + 1)
@@ -181,7 +173,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         agree = F.filter(t["words"], lambda w, i: (x["start"] + i >= 0) & (F.get("words", F.greatest(x["start"] + i, F.lit(0))) == w))
         return F.struct(t["label"].alias("label"), x["start"].alias("start"), (F.size(agree) / F.size(t["words"])).alias("score"))
 
-    notices = F.transform(F.filter(_candidates(F.col("votes"), MIN_AGREE), verified), notice)
+    notices = F.transform(F.filter("starts", verified), notice)
     return found.select("doc_id", F.size("words").cast("bigint").alias("n_words"), "places", notices.alias("notices"))
 
 

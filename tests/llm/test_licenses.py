@@ -66,3 +66,21 @@ def test_empty_table_clashing_columns_and_no_python(spark, empty, awkward):
     assert scan(awkward).columns == ["doc_id", "n_words", "places", "notices"]
     assert not re.search("Python|Pandas|Arrow", scan_summary(scan(awkward))._jdf.queryExecution().toString())
     assert all(t.words[t.key_at:t.key_at + len(t.key)] == t.key for t in licenses.TEMPLATES)
+
+
+def test_shortened_notices_are_found_by_their_key_phrase(spark):
+    """The key phrase alone makes the label, whatever else the corpus holds of the notice."""
+    docs = [(28, dict(CASES)[28]), (1, "see the Mozilla Public License"), (2, "x GNU Lesser General Public License y"), (3, "this is free software")]
+    rows = {r.doc_id: r for r in scan(spark.createDataFrame(docs, DOCS)).collect()}
+    assert {i: [(n.label, n.start) for n in r.notices] for i, r in rows.items()} == {28: [("mit", 0)], 1: [("mpl", -9)], 2: [("lgpl", -4)], 3: []}
+    assert rows[28].notices[0].score == 16 / 20
+    assert {r.doc_id: r.labels for r in scan_summary(scan(spark.createDataFrame(docs, DOCS))).collect()} == {28: "mit", 1: "mpl", 2: "gpl,lgpl", 3: ""}
+
+
+def test_notices_are_the_places_of_key_phrases(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = {r.doc_id: r for r in scan(docs).collect()}
+    for d in docs.collect():
+        words = plain_words(d.text)
+        expected = [(t.label, i - t.key_at) for t in TEMPLATES for i in range(len(words)) if tuple(words[i:i + len(t.key)]) == t.key]
+        assert sorted((n.label, n.start) for n in rows[d.doc_id].notices) == sorted(expected)
