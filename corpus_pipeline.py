@@ -5,7 +5,8 @@ and returns a DataFrame that is written as Parquet and read again as the next
 stage's ``docs``. All but the last return the columns of ``documents``.
 
 1. ``quality``: documents with a score under 0.5 go.
-2. ``near_duplicates``: of each SimHash component the smallest id stays.
+2. ``near_duplicates``: of each SimHash component the row with the smallest id
+   stays; rows that share an id, or have none, are documents of their own.
 3. ``repeated_passages``: words under repeated 20-word windows go; a document
    that loses none keeps its text as it is.
 4. ``benchmark``: documents that hold a benchmark window go.
@@ -14,11 +15,11 @@ stage's ``docs``. All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderscope.llm import decontaminate, packing, quality, simhash, substring
-from orderscope.llm.frames import id_key, read
+from orderscope.llm.frames import id_key, key_id, read
 from orderscope.session import fresh_path
 
 
@@ -27,28 +28,57 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.score(docs, model).filter("score >= 0.5").select("doc.*")
 
 
+def _text_hash() -> Column:
+    return F.xxhash64(F.col("text").cast("string"))
+
+
+def _row_hash() -> Column:
+    return F.xxhash64(id_key("doc_id"), F.col("text").cast("string"))
+
+
+def _whole(docs: DataFrame) -> Column:
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of each component; of rows that share it, the one with the smallest text."""
-    rows = simhash.simhash_components(docs)
-    kept = rows.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(id_key("doc_id").alias("key")).distinct()
-    keyed = docs.select(id_key("doc_id").alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    return keyed.join(kept, "key").groupBy("key") \
+    """Keep one row of each component: the smallest id, a text rather than none, the smallest hash of the text.
+
+    Components are those of the texts, so rows that share an id, or have none, are apart where their texts are.
+    """
+    texts = docs.select(_text_hash().alias("hash"), F.col("text"))
+    labels = simhash.simhash_components(texts, "hash").select(F.col("doc_id").alias("hash"), F.col("component_id").alias("component")).distinct()
+    rows = docs.select(id_key("doc_id").alias("key"), F.col("text").isNull().alias("missing"), _text_hash().alias("hash"))
+    firsts = rows.groupBy("hash").agg(F.min(F.struct("key", "missing", "hash")).alias("first"))
+    kept = firsts.join(labels, "hash").groupBy("component").agg(F.min("first").alias("first")).select("first.key", "first.hash")
+    keyed = docs.select(id_key("doc_id").alias("key"), _text_hash().alias("hash"), _whole(docs))
+    return keyed.join(kept, ["key", "hash"]).groupBy("key", "hash") \
         .agg(F.min_by("doc", F.struct(F.col("doc.text"))).alias("doc")).select("doc.*")
 
 
+def _row_keyed(docs: DataFrame) -> DataFrame:
+    """Rows ``key, doc``: the id where it is a row's own, else a negative number from id and text."""
+    keyed = docs.select(id_key("doc_id").alias("key"), _row_hash().alias("hash"), _whole(docs))
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", F.lit(True).alias("shared"))
+    if shared.isEmpty():
+        return keyed.select("key", "doc")
+    other = -F.shiftrightunsigned("hash", 1) - 1
+    return keyed.join(shared, "key", "left").select(F.when(F.col("shared"), other).otherwise(F.col("key")).alias("key"), "doc")
+
+
 def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = substring.substring_dedup(docs, untouched_as_is=True).select(id_key("doc_id").alias("key"), "kept_text")
+    rows = _row_keyed(docs)
+    texts = rows.select(key_id("key").alias("key"), F.col("doc.text").alias("text"))
+    kept = substring.substring_dedup(texts, "key", untouched_as_is=True).select(id_key("doc_id").alias("key"), "kept_text")
     rest = [c for c in docs.columns if c != "text"]
-    keyed = docs.select(id_key("doc_id").alias("key"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("doc"))
+    keyed = rows.select("key", F.struct(*[F.col(f"doc.`{c}`") for c in rest]).alias("doc"))
     out = keyed.join(kept, "key").select("doc.*", F.col("kept_text").alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("bigint")).select(*[f"`{c}`" for c in docs.columns])
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.matches(docs, read(spark, sf_dir, "benchmark"))
-    leaked = found.filter("contaminated").select(id_key("doc_id").alias("key")).distinct()
-    keyed = docs.select(id_key("doc_id").alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    return keyed.join(leaked, "key", "left_anti").select("doc.*")
+    found = decontaminate.matches(docs.select(_row_hash().alias("row"), "text"), read(spark, sf_dir, "benchmark"), "row")
+    leaked = found.filter("contaminated").select(F.col("doc_id").alias("row")).distinct()
+    return docs.select(_row_hash().alias("row"), _whole(docs)).join(leaked, "row", "left_anti").select("doc.*")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -105,3 +105,18 @@ def test_every_operator_is_registered():
         assert any(k.startswith(f"op{n}_") for k in queries.QUERIES)
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
     assert quality.SAMPLE_ROWS == 20_000
+
+
+def test_rows_without_or_with_shared_ids_stay_apart(spark):
+    """Unrelated texts under no id, or one id, pass the stages whole; a missing text doesn't win over one."""
+    say = lambda a, b: " ".join(f"{w}{k}" for k in range(a, b) for w in ("alpha", "beta", "gamma"))
+    leak = read(spark, SF, "benchmark").first().text
+    rows = [(None, say(0, 40)), (None, say(100, 140)), (5, say(200, 240)), (5, say(300, 340)), (6, None), (6, ""), (7, say(400, 440)), (7, say(500, 520) + " " + leak)]
+    docs = with_clashing_columns(spark, rows)
+    got = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+    near = corpus_pipeline.near_duplicate_stage(spark, docs, SF)
+    expected = sorted([r for r in rows if r != (6, None)], key=str)
+    assert got(near) == expected
+    passages = corpus_pipeline.repeated_passage_stage(spark, near, SF)
+    assert got(passages) == expected
+    assert got(corpus_pipeline.benchmark_stage(spark, passages, SF)) == [r for r in expected if r != rows[-1]]
