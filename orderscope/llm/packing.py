@@ -17,8 +17,9 @@ that length and a rest. Pieces are dealt into groups of about
 The cost of a sequence of length c is ``c + c * c / ATTENTION + FIXED``:
 work in proportion, attention, and a fixed share per sequence.
 
-Scale. Only ids and lengths are shuffled, once; groups have the same size
-at any table size, and none depends on a column's values.
+Scale. Only ids and lengths are shuffled, once. There are as many groups as
+give each about ``GROUP_PIECES`` documents and no more than about twice as many
+pieces, so groups are bounded at any table size and length of documents.
 
 Defined cases: an empty or null text has one piece of length 0 that is in no
 bin (null ``bin_id``); a null id is returned as null; repeated rows are
@@ -142,7 +143,8 @@ def packed(docs: DataFrame, id_col: str = "doc_id", length: Column | None = None
     pieces = measured.select("key", "row", "size", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(
         F.expr(f"(size - 1) div {top}"), F.lit(0).cast("bigint")))).alias("piece")) \
         .select("key", "row", "piece", F.least(F.col("size") - F.col("piece") * top, F.lit(top)).alias("length"))
-    n_groups = max(1, -(-docs.count() // group_pieces))
+    total = measured.agg(F.count(F.lit(1)).alias("docs"), F.sum(F.greatest(F.expr(f"(size - 1) div {top} + 1"), F.lit(1).cast("bigint"))).alias("pieces")).first()
+    n_groups = max(1, -(-total["docs"] // group_pieces), -(-(total["pieces"] or 0) // (2 * group_pieces)))
     dealt = pieces.withColumn("group_", F.pmod(F.xxhash64("key", "row", "piece"), F.lit(n_groups)))
     return dealt.groupBy("group_").applyInArrow(_pack_group(capacities), OUT) \
         .select(key_id("key").alias("doc_id"), "piece", "start", "length", "bin_id", "bin_capacity", "bin_used", "bin_offset")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -83,3 +84,11 @@ def test_own_lengths_empty_table_and_clashing_columns(spark, empty, awkward):
     rows = packed(df, length=F.coalesce("n", F.lit(0))).collect()
     assert {(r.doc_id, r.bin_capacity) for r in rows} == {(1, 1024), (2, 1024), (3, None)}
     assert packing.cost(512) < packing.cost(4096)
+
+
+def test_groups_are_bounded_for_long_documents(spark):
+    """A few documents of many pieces are dealt by pieces, not by documents."""
+    df = spark.createDataFrame([(i, 1_000_000) for i in range(10)], "doc_id long, n long")
+    rows = packed(df, length=F.col("n"), group_pieces=100).collect()
+    sizes = Counter(r.bin_id >> 32 for r in rows)
+    assert len(rows) == 10 * 245 and len(sizes) == 13 and max(sizes.values()) < 300
