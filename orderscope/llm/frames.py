@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from orderscope.operators.ranks import numbered
 from orderscope.session import saved
 
-__all__ = ["NULL_ID", "components", "id_key", "key_id", "numbered", "one_text_per_id", "read", "saved"]
+__all__ = ["NULL_ID", "components", "id_key", "key_id", "numbered", "one_text_per_id", "picked", "read", "saved"]
 
 # Stands for a null document id inside the operators: it sorts before all others.
 NULL_ID = -(1 << 63)
@@ -18,6 +18,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def picked(docs: DataFrame, **columns: str) -> DataFrame:
+    """The named columns under new names, found by exact name: others may differ from them in case only."""
+    placed = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return placed.select(*[F.col(f"c{docs.columns.index(old)}").alias(new) for new, old in columns.items()])
+
+
 def id_key(column: str) -> Column:
     """The document id with null as the smallest value."""
     return F.coalesce(F.col(column).cast("bigint"), F.lit(NULL_ID))
