@@ -2,18 +2,19 @@
 
 Order-line revenue has more decimals than cents, so double sums land on
 half-cents and depend on the order of rows. Revenue is therefore summed
-exactly, in two ways that add up:
+exactly, in three ways that add up:
 
 * rows whose price and discount have at most two decimals (and whose revenue
-  is below 10^12) are whole **millionths**:
+  is below 10^10) are whole **millionths**:
   ``cents(price) x qty x (10000 - hundredths(discount %))``, a ``long``, summed
   as whole units and remainder. That stays in primitive arithmetic;
-* all other rows are decimals: the price to nine decimals, the discount share
-  to eight. They cost a ``BigDecimal`` each, but only they do.
+* other rows below 10^12 are decimals: the price to nine decimals, the discount
+  share to eight. They cost a ``BigDecimal`` each, but only they do;
+* all others (any finite price, and discounts of 10^4 % or more) are the doubles
+  that the clean table shows, summed as limbs (:mod:`~orderscope.functions.exact`).
 
-Per-group totals are combined into one decimal, rounded half-up to cents and
-exposed as a double. A price of 10^15 or more that is no infinity raises an
-overflow instead of a wrong sum.
+Per-group totals are combined into one exact sum, rounded half-up to cents and
+exposed as a double. No price aborts a report.
 """
 
 from __future__ import annotations
@@ -22,7 +23,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MICRO = 1_000_000
-MICRO_LIMIT = 1e12
+MICRO_LIMIT = 1e10
+DECIMAL_LIMIT = 1e12
+DISCOUNT_LIMIT = 1e4
 
 
 def revenue_double(price: Column, qty: Column, discount_pct: Column) -> Column:
@@ -52,6 +55,12 @@ def revenue_micro(price: Column, qty: Column, discount_pct: Column) -> Column:
     return _hundredths(price) * qty.cast("bigint") * factor
 
 
+def is_decimal(price: Column, qty: Column, discount_pct: Column) -> Column:
+    """Whether a row's revenue fits the decimal sums (with room for 10^9 such rows in a group)."""
+    amount = F.abs(price) * F.abs(qty.cast("double"))
+    return (amount * (F.abs(discount_pct) + 100.0) < F.lit(DECIMAL_LIMIT * 100)) & (F.abs(discount_pct) < F.lit(DISCOUNT_LIMIT))
+
+
 def revenue_decimal(price: Column, qty: Column, discount_pct: Column) -> Column:
     """Row revenue as a decimal, for rows that are no whole millionths."""
     amount = (price.cast("decimal(24,9)") * qty.cast("decimal(10,0)")).cast("decimal(24,9)")
@@ -83,6 +92,13 @@ def round_money(total: Column) -> Column:
     return F.round(total, 2).cast("double")
 
 
+def sum_money(value: Column) -> Column:
+    """Aggregate: sum of amounts in cents given as doubles; exact unless one is 10^17 or more."""
+    large = F.abs(value) >= 1e17
+    cents = F.sum(F.when(~large, value).cast("decimal(20,2)"))
+    return F.when(F.count_if(large) > 0, F.sum(value)).otherwise(F.round(cents, 2).cast("double"))
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     """numerator / denominator in double, null instead of an error on zero."""
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))

@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderscope.functions import fmt
+from orderscope.functions.money import sum_money
 
 
 def _mean_of_rounded(col: str) -> F.Column:
     """Unweighted mean of a 2-decimal report column, summed exactly."""
-    total = F.sum(F.col(col).cast("decimal(20,2)")).cast("double")
+    total = sum_money(F.col(col))
     return F.round(F.try_divide(total, F.count(F.col(col)).cast("double")), 2)
 
 
@@ -29,7 +30,7 @@ def kpis(categories: DataFrame) -> DataFrame:
     """
     row = categories.agg(
         F.sum("total_ordenes").cast("bigint").alias("total_ordenes"),
-        F.round(F.sum(F.col("ingreso_total").cast("decimal(20,2)")), 2).cast("double").alias("ingreso_total"),
+        sum_money(F.col("ingreso_total")).alias("ingreso_total"),
         _mean_of_rounded("ticket_promedio").alias("ticket_promedio"),
         _mean_of_rounded("calificacion_promedio").alias("calificacion_promedio"),
     )

@@ -12,7 +12,8 @@ Semantics kept from the reference pipeline:
 
 The mean is a scalar subquery (one row, one column) that Spark evaluates
 once and substitutes as a value. It is a second pass over ``raw``: give
-``clean_orders`` a stored table (``batch.stage_raw``), not the join that makes it.
+``clean_orders`` a stored table (``batch.stage_raw``), not the join that makes it,
+or the mean that ``batch.stage_profiled`` observes while it stores the rows.
 The validity filter is written on the raw price and quantity columns, so
 the ``> 0`` comparisons reach the Parquet scan as pushed filters.
 """
@@ -91,8 +92,13 @@ def clean_orders(raw: DataFrame, rating_fill: Column | None = None) -> DataFrame
 
 def profile(raw: DataFrame) -> DataFrame:
     """Row counts before and after cleaning and null counts, in one pass."""
-    rows = conform(raw)
-    return rows.agg(
+    return conform(raw).agg(*profile_columns())
+
+
+@cache
+def profile_columns() -> tuple[Column, ...]:
+    """The aggregates of the profile, over conformed rows; also what a write can observe on its way."""
+    return (
         F.count(F.lit(1)).alias("filas"),
         F.count_if(is_valid()).alias("filas_validas"),
         F.count_if(F.col("calificacion").isNull()).alias("nulos_calificacion"),

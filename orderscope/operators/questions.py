@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderscope.functions import fmt
-from orderscope.functions.money import combine
+from orderscope.functions.money import round_money, sum_money
 from orderscope.operators import reports
 
 # The metrics a ranking may use, in this order.
@@ -92,16 +92,25 @@ def _lookup_text() -> Column:
     ])
 
 
+# The collation in which category names are compared: equal ignoring case, in every script.
+NAME_COLLATION = "UTF8_LCASE"
+
+
+def same_name(column: Column, name: str) -> Column:
+    """Equality ignoring case, by the column's collation; the column itself is not rewritten."""
+    return F.collate(column, NAME_COLLATION) == F.lit(name)
+
+
 def category_lookup(categories: DataFrame, categoria: str) -> DataFrame:
     """One category's figures; case-insensitive match, first hit in report order."""
-    hit = categories.filter(F.lower(F.col("categoria")) == F.lower(F.lit(categoria))) \
+    hit = categories.filter(same_name(F.col("categoria"), categoria)) \
         .orderBy(F.desc("ingreso_total"), F.asc("categoria")).limit(1)
     return hit.withColumn("texto", _lookup_text())
 
 
 def category_answer(categories: DataFrame, categoria: str) -> DataFrame:
     """T1 as the reader sees it: one row ``texto`` with the figures, the valid options, or that there are no data."""
-    hit = F.lower(F.col("categoria")) == F.lower(F.lit(categoria))
+    hit = same_name(F.col("categoria"), categoria)
     found = F.min_by(F.when(hit, _lookup_text()), F.when(hit, F.struct(-F.col("ingreso_total"), F.col("categoria"))))
     names = F.transform(F.array_sort(F.collect_set("categoria")), lambda c: F.concat(F.lit("'"), c, F.lit("'")))
     options = _filled(NOT_FOUND_TEXT, F.concat(F.lit("["), F.array_join(names, ", "), F.lit("]")))
@@ -232,8 +241,7 @@ def executive_summary(categories: DataFrame, cities: DataFrame, payments: DataFr
 
     row = stacked.agg(
         F.sum(F.when(is_cat, F.col("total_ordenes"))).cast("bigint").alias("total_ordenes"),
-        F.round(F.sum(F.when(is_cat, F.col("ingreso_total").cast("decimal(20,2)"))), 2).cast("double")
-        .alias("ingreso_total"),
+        sum_money(F.when(is_cat, F.col("ingreso_total"))).alias("ingreso_total"),
         top(is_cat, -F.col("ingreso_total")).alias("categoria_top"),
         top(is_city, -F.col("ingreso_total")).alias("ciudad_top"),
         top(is_pay, -F.col("total_ordenes")).alias("metodo_pago_top"),
@@ -264,13 +272,13 @@ def executive_summary_of_orders(orders: DataFrame,
     share one aggregate among them).
     """
     names = ["categorias", "ciudades", "pagos"]
-    groups = reports.grouped_measures(orders, names).filter(F.col("_n_valid") > 0)
-    revenue = F.round(combine(F.col("_rev_whole"), F.col("_rev_frac"), F.col("_rev_decimal")), 2)
-    rows = groups.withColumn("_rev", revenue)
+    keys = ["_gid", *dict.fromkeys(k for name in names for k in reports.KEYS[name])]
+    groups = reports.folded(reports.grouped_measures(orders, names), keys).filter(F.col("_n_valid") > 0)
+    rows = groups.withColumn("_rev", F.coalesce(round_money(F.col("_revenue.exact")), F.col("_revenue.nearest")))
     is_cat = F.col("_gid") == F.lit(reports.set_id("categorias", names))
     is_city = (F.col("_gid") == F.lit(reports.set_id("ciudades", names))) & (F.col("_n_ids") > F.lit(min_city_orders))
     is_pay = F.col("_gid") == F.lit(reports.set_id("pagos", names))
-    neg_rev = -F.col("_rev").cast("double")
+    neg_rev = -F.col("_rev")
 
     def top(cond: Column, key: str, value: Column) -> Column:
         return F.coalesce(F.min_by(F.when(cond, F.col(key)),
@@ -278,9 +286,31 @@ def executive_summary_of_orders(orders: DataFrame,
 
     row = rows.agg(
         F.sum(F.when(is_cat, F.col("_n_ids"))).cast("bigint").alias("total_ordenes"),
-        F.round(F.sum(F.when(is_cat, F.col("_rev"))), 2).cast("double").alias("ingreso_total"),
+        sum_money(F.when(is_cat, F.col("_rev"))).alias("ingreso_total"),
         top(is_cat, "categoria", neg_rev).alias("categoria_top"),
         top(is_city, "ciudad", neg_rev).alias("ciudad_top"),
         top(is_pay, "metodo_pago", -F.col("_n_ids")).alias("metodo_pago_top"),
     )
     return row.withColumn("texto", _summary_text())
+
+
+def top_keys(orders: DataFrame, keys: list[str]) -> DataFrame:
+    """A15 over keys of any number of values (products, customers): rows ``clave, valor, ingreso_total, total_ordenes, claves``.
+
+    For each key column the value with the highest revenue (in cents; ties go to
+    the smallest value) and the number of values. One scan: grouping sets sum by
+    value, and two aggregates take the maximum by a composite order, first within
+    each task. Rows of values are never sorted, ranked or brought together.
+    """
+    by_value = reports.value_sums(orders, keys)
+    amount = F.coalesce(round_money(F.col("_revenue.exact")), F.col("_revenue.nearest"))
+    rows = by_value.select(*keys, "_gid", "_n_ids", amount.alias("_amount"))
+    tops = []
+    for i, key in enumerate(keys):
+        mine = F.col("_gid") == (1 << len(keys)) - 1 - (1 << (len(keys) - 1 - i))
+        row = F.struct(F.lit(key).alias("clave"), F.col(key).cast("string").alias("valor"), F.col("_amount").alias("ingreso_total"),
+                       F.col("_n_ids").alias("total_ordenes"))
+        order = F.struct((-F.col("_amount")).alias("amount"), F.col(key).alias("value"))
+        tops.append(F.struct(F.min_by(F.when(mine, row), F.when(mine, order)).alias("top"), F.count_if(mine & F.col(key).isNotNull()).alias("claves")))
+    listed = rows.agg(F.array(*tops).alias("tops")).select(F.inline("tops"))
+    return listed.filter(F.col("top").isNotNull()).select("top.*", "claves")

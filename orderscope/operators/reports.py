@@ -31,8 +31,9 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderscope.functions import exact
 from orderscope.functions.money import (
-    combine, is_micro, ratio, remainder_part, revenue_decimal, revenue_micro, round_money, whole_part,
+    combine, is_decimal, is_micro, ratio, remainder_part, revenue_decimal, revenue_double, revenue_micro, round_money, whole_part,
 )
 from orderscope.operators.clean import conform, is_valid
 
@@ -48,9 +49,31 @@ KEYS = {
 DEFAULT_MIN_CITY_ORDERS = 500
 
 
+# Bands of the limb sums (functions.exact) of a row's revenue and rating; null for rows of ordinary size.
+BANDS = ("_band", "_rating_band")
+RATING_LIMIT = 1e11
+
+
 def _with_keys(orders: DataFrame) -> DataFrame:
-    rows = conform(orders)
-    return rows.withColumns({"anio": F.year("fecha"), "mes": F.month("fecha")})
+    return conform(orders).withColumns(_key_columns())
+
+
+def _sale() -> tuple[Column, Column, Column]:
+    return F.col("precio_unitario"), F.col("cantidad"), F.coalesce(F.col("descuento_pct"), F.lit(0.0))
+
+
+def _wide_revenue() -> Column:
+    """The row's revenue as the clean table shows it; all of an overflowing sale discounted is nothing."""
+    return F.nanvl(revenue_double(*_sale()), F.lit(0.0))
+
+
+@cache
+def _key_columns() -> dict[str, Column]:
+    ordinary = is_micro(*_sale()) | is_decimal(*_sale())
+    rating = F.col("calificacion")
+    return {"anio": F.year("fecha"), "mes": F.month("fecha"),
+            "_band": F.when(is_valid() & ~ordinary, exact.band(_wide_revenue())),
+            "_rating_band": F.when(F.abs(rating) >= RATING_LIMIT, exact.band(rating))}
 
 
 # The column expressions below depend on constants only. A Column is an
@@ -58,40 +81,64 @@ def _with_keys(orders: DataFrame) -> DataFrame:
 # process (a few thousand Py4J calls) and reused by every query.
 @cache
 def _measure_columns() -> tuple[Column, ...]:
+    """The sums of one group and band. Rows of a band put their limbs where ordinary rows put whole, rest and decimal."""
     valid = is_valid()
-    rating = F.col("calificacion")
-    discount = F.coalesce(F.col("descuento_pct"), F.lit(0.0))
-    sale = F.col("precio_unitario"), F.col("cantidad"), discount
+    rating, band, rating_band = F.col("calificacion"), F.col("_band"), F.col("_rating_band")
+    wide, wide_rating = band.isNotNull(), rating_band.isNotNull()
+    sale, sold = _sale(), _wide_revenue()
     in_micro = valid & is_micro(*sale)
     micro = revenue_micro(*sale)
-    whole_rating = (F.rint(rating) == rating) & (F.abs(rating) < 1e6)
-    as_long, as_decimal = rating.cast("bigint"), rating.cast("decimal(24,12)")
+    in_whole = (F.rint(rating) == rating) & (F.abs(rating) < 1e6)
+    low = F.when(wide_rating, exact.low(rating, rating_band)).when(in_whole, rating.cast("bigint"))
+    upper = exact.middle(rating, rating_band) + exact.high(rating, rating_band) * F.lit(exact.BASE)
+    rest = F.when(wide_rating, upper.cast("decimal(28,12)")).when(~in_whole, rating.cast("decimal(28,12)"))
     return (
         F.count_if(valid).alias("_n_valid"),
         F.count(F.when(valid, F.col("orden_id"))).alias("_n_ids"),
         F.sum(F.when(valid, F.col("cantidad"))).alias("_units"),
-        F.sum(F.when(in_micro, whole_part(micro))).alias("_rev_whole"),
-        F.sum(F.when(in_micro, remainder_part(micro))).alias("_rev_frac"),
-        F.sum(F.when(valid & ~is_micro(*sale), revenue_decimal(*sale))).alias("_rev_decimal"),
-        F.count_if(valid & (discount > 0)).alias("_n_discount"),
-        F.sum(F.when(valid & whole_rating, as_long)).alias("_rating_whole"),
-        F.sum(F.when(valid & ~whole_rating, as_decimal)).alias("_rating_rest"),
+        F.sum(F.when(wide, exact.low(sold, band)).when(in_micro, whole_part(micro))).alias("_rev_whole"),
+        F.sum(F.when(wide, exact.middle(sold, band)).when(in_micro, remainder_part(micro))).alias("_rev_frac"),
+        F.sum(F.when(wide, exact.high(sold, band).cast("decimal(38,17)"))
+              .when(valid & ~is_micro(*sale), revenue_decimal(*sale))).alias("_rev_decimal"),
+        F.count_if(valid & (sale[2] > 0)).alias("_n_discount"),
+        F.sum(F.when(valid, low)).alias("_rating_whole"),
+        F.sum(F.when(valid, rest)).alias("_rating_rest"),
         F.count_if(valid & rating.isNull()).alias("_rating_missing"),
-        F.sum(F.when(whole_rating, as_long)).alias("_rating_whole_all"),
-        F.sum(F.when(~whole_rating, as_decimal)).alias("_rating_rest_all"),
+        F.sum(low).alias("_rating_whole_all"),
+        F.sum(rest).alias("_rating_rest_all"),
         F.count(rating).alias("_rating_n_all"),
     )
 
 
 MEASURES = ("_n_valid", "_n_ids", "_units", "_rev_whole", "_rev_frac", "_rev_decimal", "_n_discount", "_rating_whole",
             "_rating_rest", "_rating_missing", "_rating_whole_all", "_rating_rest_all", "_rating_n_all")
+COUNTS = ("_n_valid", "_n_ids", "_units", "_n_discount", "_rating_missing", "_rating_n_all")
+
+
+def _measure_type(name: str) -> str:
+    return "decimal(38,17)" if name == "_rev_decimal" else "decimal(38,12)" if "_rest" in name else "bigint"
 
 
 @cache
 def _resum_columns() -> tuple[Column, ...]:
-    """The measures summed again from sums (they are counts and exact sums)."""
-    return tuple(F.sum(m).cast("decimal(38,17)" if m == "_rev_decimal" else "decimal(38,12)" if "_rest" in m else "bigint").alias(m)
-                 for m in MEASURES)
+    """The measures summed again from sums (they are counts, exact sums and limbs of one band)."""
+    return tuple(F.sum(m).cast(_measure_type(m)).alias(m) for m in MEASURES)
+
+
+@cache
+def _fold_columns() -> tuple[Column, ...]:
+    """From the rows of a group's bands: counts, ordinary sums, and the limbs collected (at most one entry for each band)."""
+    plain, plain_rating = F.col("_band").isNull(), F.col("_rating_band").isNull()
+    none = F.lit(0).cast("bigint")
+    rating = {end: (F.col(f"_rating_whole{end}"), F.col(f"_rating_rest{end}")) for end in ("", "_all")}
+    return (
+        *[F.sum(m).cast("bigint").alias(m) for m in COUNTS],
+        combine(*[F.sum(F.when(plain, F.col(m))) for m in ("_rev_whole", "_rev_frac", "_rev_decimal")]).alias("_rev_plain"),
+        F.collect_list(exact.entry(F.col("_band"), *[F.coalesce(F.col(m), none) for m in ("_rev_whole", "_rev_frac", "_rev_decimal")])).alias("_rev_wide"),
+        *[_rating_sum(*[F.sum(F.when(plain_rating, c)) for c in pair]).alias(f"_rating_plain{end}") for end, pair in rating.items()],
+        *[F.collect_list(exact.entry(F.col("_rating_band"), *[F.coalesce(c, none) for c in pair], none)).alias(f"_rating_wide{end}")
+          for end, pair in rating.items()],
+    )
 
 
 def _rating_sum(whole: Column, rest: Column) -> Column:
@@ -99,49 +146,61 @@ def _rating_sum(whole: Column, rest: Column) -> Column:
     return F.coalesce(whole, F.lit(0)).cast("decimal(25,12)") + F.coalesce(rest, F.lit(0)).cast("decimal(37,12)")
 
 
-def _with_totals(groups: DataFrame) -> DataFrame:
-    """Add the fill value and the clean-row total to every group row.
-
-    The fill is the mean rating over all raw rows (invalid rows included);
-    the total counts clean rows. Both are sums over the group rows of this
-    report — one row per group, bounded by the key domain (categories,
-    cities, months …), never by the number of orders — so a global window
-    over them is cheap, and unlike a self-join it lets Spark evaluate the
-    aggregate (or read its cached copy) once.
-    """
-    return groups.withColumns(_total_columns())
+SUMS = {"_revenue": ("_rev_wide", "_rev_plain"), "_known": ("_rating_wide", "_rating_plain"), "_known_all": ("_rating_wide_all", "_rating_plain_all")}
 
 
 @cache
-def _total_columns() -> dict[str, Column]:
-    everything = Window.partitionBy()
-    return {
-        "_fill": ratio(_rating_sum(F.sum("_rating_whole_all").over(everything), F.sum("_rating_rest_all").over(everything)),
-                       F.sum("_rating_n_all").over(everything)),
-        "_total_rows": F.sum("_n_valid").over(everything),
-    }
+def _sum_columns() -> dict[str, Column]:
+    """The exact sums of a group, all from one expression: arrays of ``exact`` and ``nearest``."""
+    parts = F.array(*[F.struct(F.col(wide).alias("wide"), F.col(plain).cast("decimal(38,17)").alias("plain")) for wide, plain in SUMS.values()])
+    return {"_sums": F.transform(parts, lambda p: exact.total(p["wide"], p["plain"]))}
 
 
 @cache
-def _rating_avg() -> Column:
-    known = _rating_sum(F.col("_rating_whole"), F.col("_rating_rest")).cast("double")
-    return ratio(known + F.col("_rating_missing") * F.col("_fill"), F.col("_n_valid"))
+def _sum_fields() -> dict[str, Column]:
+    return {name: F.element_at("_sums", i) for i, name in enumerate(SUMS, 1)}
 
 
 def measures(orders: DataFrame, keys: list[str]) -> DataFrame:
     """Per-group measures with the fill folded in (one aggregate)."""
-    return _finish(_with_keys(orders).groupBy(*keys).agg(*_measure_columns()))
+    return _finish(_with_keys(orders).groupBy(*keys, *BANDS).agg(*_measure_columns()), keys)
+
 
+def folded(groups: DataFrame, keys: list[str]) -> DataFrame:
+    """One row for each group from its bands' rows, with counts and exact sums; all rows in one partition."""
+    return groups.repartition(1).groupBy(*keys).agg(*_fold_columns()).withColumns(_sum_columns()).withColumns(_sum_fields())
 
-def _finish(groups: DataFrame) -> DataFrame:
-    # Groups holding only invalid rows still count for the fill: filter after the window.
-    return (_with_totals(groups).filter(F.col("_n_valid") > 0)
-            .withColumns(_finish_columns()))
+
+def _finish(groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Folded groups with the fill value and the clean-row total.
+
+    The group rows (one per group, a few more where values are huge; bounded by
+    the key domain, never by the number of orders) meet in one partition, where
+    bands are folded and a window adds the totals of this report. Unlike a
+    self-join that lets Spark evaluate the aggregate (or read its cached copy)
+    once. Groups holding only invalid rows still count for the fill, so they are
+    dropped after the window.
+    """
+    return (folded(groups, keys).withColumns(_total_columns())
+            .filter(F.col("_n_valid") > 0).withColumn("_rating_avg", _rating_avg()))
 
 
 @cache
-def _finish_columns() -> dict[str, Column]:
-    return {"_rating_avg": _rating_avg(), "_revenue": combine(F.col("_rev_whole"), F.col("_rev_frac"), F.col("_rev_decimal"))}
+def _total_columns() -> dict[str, Column]:
+    """The fill is the mean rating over all raw rows (invalid rows included); the total counts clean rows."""
+    # sorted, so that a sum beyond the decimals does not depend on the order of rows either
+    everything = Window.orderBy("_known_all.nearest").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    decimals = F.when(F.count_if(F.col("_known_all.exact").isNull()).over(everything) == 0, F.try_sum("_known_all.exact").over(everything))
+    known = F.coalesce(decimals.cast("double"), F.sum("_known_all.nearest").over(everything))
+    return {
+        "_fill": ratio(known, F.sum("_rating_n_all").over(everything)),
+        "_total_rows": F.sum("_n_valid").over(everything),
+    }
+
+
+@cache
+def _rating_avg() -> Column:
+    return ratio(F.col("_known.nearest") + F.col("_rating_missing") * F.col("_fill"), F.col("_n_valid"))
 
 
 def _common(m: DataFrame) -> dict[str, Column]:
@@ -152,9 +211,9 @@ def _common(m: DataFrame) -> dict[str, Column]:
 def _common_columns() -> dict[str, Column]:
     return {
         "total_ordenes": F.col("_n_ids"),
-        "total_unidades": F.col("_units").cast("bigint"),
-        "ingreso_total": round_money(F.col("_revenue")),
-        "ticket_promedio": F.round(ratio(F.col("_revenue"), F.col("_n_valid")), 2),
+        "total_unidades": F.col("_units"),
+        "ingreso_total": F.coalesce(round_money(F.col("_revenue.exact")), F.col("_revenue.nearest")),
+        "ticket_promedio": F.round(ratio(F.col("_revenue.nearest"), F.col("_n_valid")), 2),
         "calificacion_promedio": F.round(F.col("_rating_avg"), 2),
         "pct_con_descuento": F.round(ratio(F.col("_n_discount"), F.col("_n_valid")) * 100, 2),
         "pct_of_total_ordenes": F.round(ratio(F.col("_n_ids"), F.col("_total_rows")) * 100, 2),
@@ -271,27 +330,57 @@ def grouped_measures(orders: DataFrame, names: list[str] | None = None) -> DataF
     to persist or checkpoint and derive every report from.
     """
     names = list(names or KEYS)
-    cols = _set_columns(names)
-    sets = [[F.col(k) for k in KEYS[name]] for name in names]
-    combinations = _with_keys(orders).groupBy(*cols).agg(*_measure_columns())
-    return combinations.groupingSets(sets, *[F.col(k) for k in cols]).agg(*_resum_columns(), F.grouping_id().alias("_gid"))
+    combinations = _with_keys(orders).groupBy(*_set_columns(names), *BANDS).agg(*_measure_columns())
+    return regrouped(combinations, names)
+
+
+def regrouped(combinations: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """The grouping sets over the measures of all key combinations."""
+    names = list(names or KEYS)
+    sets = [[F.col(k) for k in [*KEYS[name], *BANDS]] for name in names]
+    return combinations.groupingSets(sets, *[F.col(k) for k in [*_set_columns(names), *BANDS]]) \
+        .agg(*_resum_columns(), F.grouping_id().alias("_gid"))
+
+
+def value_sums(orders: DataFrame, keys: list[str]) -> DataFrame:
+    """Orders and exact revenue (``_n_ids``, ``_revenue``) of the clean rows, by each value of each key column.
+
+    For keys of any number of values: rows stay spread by value. ``_gid`` tells
+    the key columns apart, as ``grouping_id`` over ``keys``.
+    """
+    valid = _with_keys(orders).filter(is_valid())
+    sets = [[F.col(k), F.col("_band")] for k in keys]
+    needed = ("_n_ids", "_rev_whole", "_rev_frac", "_rev_decimal")
+    sums = valid.groupingSets(sets, *[F.col(k) for k in keys], F.col("_band")).agg(
+        *[c for m, c in zip(MEASURES, _measure_columns(), strict=True) if m in needed], F.expr("grouping_id() div 2").alias("_gid"))
+    plain, none = F.col("_band").isNull(), F.lit(0).cast("bigint")
+    revenue = needed[1:]
+    return sums.groupBy(*keys, "_gid").agg(
+        F.sum("_n_ids").cast("bigint").alias("_n_ids"), combine(*[F.sum(F.when(plain, F.col(m))) for m in revenue]).alias("_plain"),
+        F.collect_list(exact.entry(F.col("_band"), *[F.coalesce(F.col(m), none) for m in revenue])).alias("_wide")) \
+        .withColumn("_revenue", exact.total(F.col("_wide"), F.col("_plain")))
+
+
+def summed(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Measure rows added up by ``keys`` (which must hold the bands)."""
+    return rows.groupBy(*keys).agg(*_resum_columns())
 
 
 def set_id(name: str, names: list[str] | None = None) -> int:
     """``grouping_id`` of a report's key set within ``grouped_measures(names)``.
 
     grouping_id sets a bit for every grouping column NOT in the set, the
-    first column being the highest bit.
+    first column being the highest bit. The bands come last, in every set.
     """
     cols = _set_columns(list(names or KEYS))
-    return sum(1 << (len(cols) - 1 - i) for i, k in enumerate(cols) if k not in KEYS[name])
+    return sum(1 << (len(cols) + len(BANDS) - 1 - i) for i, k in enumerate(cols) if k not in KEYS[name])
 
 
 def reports_from_grouped(grouped: DataFrame,
                          min_city_orders: int = DEFAULT_MIN_CITY_ORDERS) -> dict[str, DataFrame]:
     """The five reports from the output of ``grouped_measures``."""
     parts = {name: grouped.filter(F.col("_gid") == F.lit(set_id(name))) for name in KEYS}
-    done = {name: _finish(part) for name, part in parts.items()}
+    done = {name: _finish(part, KEYS[name]) for name, part in parts.items()}
     return {
         "categorias": _category(done["categorias"]),
         "ciudades": _city(done["ciudades"], min_city_orders),

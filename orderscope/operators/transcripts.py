@@ -7,8 +7,10 @@ order.
 H2 ``transcript_messages``: the message list of every conversation as rows,
 a fixed system message at position 0, then the kept turns in turn order
 (turns that repeat a number are ordered by their line). Positions come from
-one distributed sort of all messages, not from a window over a conversation,
-so a conversation with a third of all turns is dealt over many tasks.
+one distributed sort of all messages and what each of its partitions carries
+over to the next (``ranks.numbered_in_groups``), not from a window over a
+conversation or a join by it, so a conversation with a third of all turns is
+dealt over many tasks.
 
 ``transcript_text``: the same list as text, in parts of at most ``PART``
 messages with a part number, so no value and no group grows with a
@@ -20,8 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderscope.operators.ranks import numbered
-from orderscope.session import saved
+from orderscope.operators.ranks import numbered_in_groups
 
 # The roles a chat model is shown, besides the system message.
 CHAT_ROLES = ["user", "assistant"]
@@ -45,11 +46,8 @@ def transcript_messages(conversations: DataFrame, system_message: str = SYSTEM_M
         "conv_id", F.lit(0).alias("_kind"), F.lit(None).cast("bigint").alias("turn"), F.lit("system").alias("role"),
         F.lit(system_message).alias("text"))
     turns = transcript_turns(conversations).select("conv_id", F.lit(1).alias("_kind"), F.col("turn").cast("bigint"), "role", "text")
-    placed = saved(numbered(first.unionByName(turns), "conv_id", "_kind", "turn", "role", "text", label="_place"))
-    # the system row comes first in its conversation, so its place is the conversation's start
-    starts = placed.filter("_kind = 0").select(F.col("conv_id").alias("_conv"), F.col("_place").alias("_start"))
-    return placed.join(starts, placed["conv_id"].eqNullSafe(starts["_conv"])) \
-        .select("conv_id", (F.col("_place") - F.col("_start")).alias("posicion"), "role", "text")
+    return numbered_in_groups(first.unionByName(turns), F.col("_kind") == 0, "conv_id", "_kind", "turn", "role", "text", label="posicion") \
+        .select("conv_id", "posicion", "role", "text")
 
 
 def transcript_text(conversations: DataFrame, system_message: str = SYSTEM_MESSAGE, part: int = PART) -> DataFrame:

@@ -3,14 +3,17 @@
 Stages and what each costs on a large cluster:
 
 1. The raw rows are stored once as Parquet in the shared folder, so the join
-   (or CSV parse) that makes them runs once. Everything after reads those
-   files, with pushed filters and only the columns it needs.
-2. One profiling pass over them gives the row counts and the rating mean (a
-   single row); one more pass filters, fills, derives and writes the clean
-   table partitioned by year and month.
+   (or CSV parse) that makes them runs once. The same write observes the row
+   counts and the rating mean (``DataFrame.observe``), so the statistics need no
+   scan. Everything after reads those files, with pushed filters and only the
+   columns it needs.
+2. One pass over them filters, fills, derives and writes the clean table
+   partitioned by year and month.
 3. The clean table is read back from storage. One scan of it computes the
    measures of all five reports, a few dozen rows, which are checkpointed;
    the five reports are derived from those and each written as one small CSV.
+4. Clean table and reports are published together as a version of the output
+   folder (``sources.versions``): a reader sees all of a run or nothing of it.
 
 A lost executor costs a re-read of committed files, not a re-run of earlier
 stages. Intermediate tables are released when the driver ends.
@@ -18,13 +21,14 @@ stages. Intermediate tables are released when the driver ends.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from orderscope.operators.clean import clean_orders, conform, profile
+from orderscope.operators.clean import clean_orders, conform, profile_columns
 from orderscope.operators.reports import DEFAULT_MIN_CITY_ORDERS, grouped_measures, reports_from_grouped
 from orderscope.schemas import RAW_ORDERS
 from orderscope.session import fresh_path, saved
+from orderscope.sources import versions
 from orderscope.sources.files import load_reports, read_clean_parquet, write_clean_parquet, write_reports
 
 
@@ -35,26 +39,35 @@ def stage_raw(raw: DataFrame) -> DataFrame:
     return raw.sparkSession.read.schema(RAW_ORDERS).parquet(path)
 
 
+def stage_profiled(raw: DataFrame) -> tuple[DataFrame, dict[str, float | int | None]]:
+    """The raw rows, stored once, and their profile, observed by the write that stores them."""
+    path = fresh_path(raw.sparkSession, "raw-orders")
+    seen = Observation()
+    conform(raw).observe(seen, *profile_columns()).write.parquet(path)
+    return raw.sparkSession.read.schema(RAW_ORDERS).parquet(path), seen.get
+
+
 def clean_to_parquet(raw: DataFrame, path: str) -> dict[str, float | int | None]:
-    """Store the raw input, profile it, then write the clean table with the profiled mean as fill."""
-    raw = stage_raw(raw)
-    stats = profile(raw).first().asDict()
+    """Store and profile the raw input in one pass, then write the clean table with the profiled mean as fill."""
+    staged, stats = stage_profiled(raw)
     fill = F.lit(stats["calificacion_media"]).cast("double")
-    write_clean_parquet(clean_orders(raw, rating_fill=fill), path)
+    write_clean_parquet(clean_orders(staged, rating_fill=fill), path)
     return stats
 
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, out_base: str | None = None,
                  min_city_orders: int = DEFAULT_MIN_CITY_ORDERS) -> dict[str, str]:
-    """Run cleaning and reporting; return the folders written."""
+    """Run cleaning and reporting as the next version of ``out_base``; return the folders written."""
     base = (out_base or fresh_path(spark, "pipeline")).rstrip("/")
-    clean_path = f"{base}/clean"
-    reports_path = f"{base}/reports"
-    clean_to_parquet(raw, clean_path)
+    before = versions.current(spark, base)
+    folder = versions.new_folder(base)
+    clean_path = f"{base}/{folder}/clean"
+    stats = clean_to_parquet(raw, clean_path)
     clean = read_clean_parquet(spark, clean_path)
     grouped = saved(grouped_measures(clean))
-    write_reports(reports_from_grouped(grouped, min_city_orders), reports_path)
-    return {"clean": clean_path, "reports": reports_path}
+    write_reports(reports_from_grouped(grouped, min_city_orders), f"{base}/{folder}")
+    published = versions.publish(spark, base, folder, before, {"perfil": stats})
+    return {"clean": clean_path, "reports": published.path, "base": base}
 
 
 def stored_reports(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
@@ -62,6 +75,12 @@ def stored_reports(spark: SparkSession, paths: dict[str, str]) -> dict[str, Data
     return load_reports(spark, paths["reports"])
 
 
+def current_reports(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """The five reports of the newest published run, all of one run; empty tables before the first."""
+    version = versions.current(spark, base)
+    return load_reports(spark, version.path if version else base)
+
+
 def generate_raw_csv(spark: SparkSession, ids: DataFrame, path: str) -> str:
     """Generate synthetic orders for ``ids`` and store them as raw CSV (executors write)."""
     from orderscope.operators.generate import generate_orders

@@ -77,6 +77,33 @@ report_category AS (
   FROM clean GROUP BY categoria
 )"""
 
+# Prices of 10^16 and ratings of 10^12: doubles that are whole numbers, summed as such.
+R_HUGE = """
+huge AS (
+  SELECT categoria, cantidad, orden_id, coalesce(descuento_pct, 0.0) AS descuento, orden_id % 40 = 0 AS caro,
+         CASE WHEN orden_id % 40 = 0 THEN precio_unitario * 1e14 ELSE precio_unitario END AS precio,
+         CASE WHEN orden_id % 60 = 0 THEN calificacion * 1e12 ELSE calificacion END AS calificacion
+  FROM ventas
+),
+huge_fill AS (
+  SELECT CAST(sum(CAST(calificacion AS HUGEINT)) AS DOUBLE) / count(calificacion) AS fill FROM huge
+),
+huge_sums AS (
+  SELECT categoria, count(orden_id) AS n, sum(cantidad) AS unidades, count(*) FILTER (WHERE descuento > 0) AS con_descuento,
+         CAST(CAST(CAST(coalesce(sum(CAST(precio * cantidad * (1 - descuento / 100) AS HUGEINT)) FILTER (WHERE caro), 0) AS DECIMAL(38,6))
+           + coalesce(sum(CAST(CAST(TRY_CAST(precio AS DECIMAL(24,9)) * CAST(cantidad AS DECIMAL(10,0)) AS DECIMAL(24,9))
+               * CAST(1 - CAST(descuento AS DECIMAL(11,6)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(13,8)) AS DECIMAL(38,6)))
+             FILTER (WHERE NOT caro), 0) AS VARCHAR) AS DOUBLE) AS ingreso,
+         CAST(coalesce(sum(CAST(calificacion AS HUGEINT)), 0) AS DOUBLE) AS conocidas, count(*) - count(calificacion) AS faltan
+  FROM huge WHERE precio > 0 AND isfinite(precio) AND cantidad > 0 GROUP BY categoria
+),
+report_huge AS (
+  SELECT categoria, CAST(n AS BIGINT) AS total_ordenes, CAST(unidades AS BIGINT) AS total_unidades, round(ingreso, 2) AS ingreso_total,
+         round(ingreso / n, 2) AS ticket_promedio, round((conocidas + faltan * fill) / n, 2) AS calificacion_promedio,
+         round(CAST(con_descuento AS DOUBLE) / n * 100, 2) AS pct_con_descuento
+  FROM huge_sums, huge_fill
+)"""
+
 R_CITY = """
 report_city AS (
   SELECT ciudad, departamento,
@@ -446,3 +473,54 @@ SELECT conv_id, CAST(posicion // {part} AS BIGINT) AS parte, CAST(count(*) AS BI
        string_agg(role || ': ' || text, chr(10) ORDER BY posicion) AS transcript
 FROM messages
 GROUP BY conv_id, posicion // {part}"""
+
+
+# The rules by which the reject queries spoil lines; a wrong number of fields hides the other reasons.
+DIRTY = """
+dirty AS (
+  SELECT *, orden_id % 101 = 0 OR orden_id % 103 = 0 AS ancho, orden_id % 97 = 0 AS precio_malo,
+         orden_id % 89 = 0 AS cantidad_mala, orden_id % 83 = 0 AS fecha_mala
+  FROM ventas
+),
+marked AS (
+  SELECT orden_id, CASE WHEN ancho THEN ['columnas'] ELSE list_filter([
+           CASE WHEN fecha_mala THEN 'tipo:fecha' END, CASE WHEN cantidad_mala THEN 'tipo:cantidad' END,
+           CASE WHEN precio_malo THEN 'tipo:precio_unitario' END], lambda x: x IS NOT NULL) END AS motivos
+  FROM dirty
+)"""
+
+
+def csv_rejects_sql() -> str:
+    return f"WITH {VENTAS},\n{DIRTY}\nSELECT orden_id, array_to_string(motivos, ',') AS motivos FROM marked WHERE len(motivos) > 0"
+
+
+def csv_reject_counts_sql() -> str:
+    return f"""WITH {VENTAS},
+{DIRTY}
+SELECT motivo, CAST(count(*) AS BIGINT) AS filas FROM (SELECT unnest(motivos) AS motivo FROM marked) GROUP BY motivo
+UNION ALL SELECT 'rechazadas', CAST(count(*) FILTER (WHERE len(motivos) > 0) AS BIGINT) FROM marked
+UNION ALL SELECT 'aceptadas', CAST(count(*) FILTER (WHERE len(motivos) = 0) AS BIGINT) FROM marked
+UNION ALL SELECT 'total', CAST(count(*) AS BIGINT) FROM marked"""
+
+
+def csv_accepted_sql() -> str:
+    """The category report without the spoiled rows, and without the discounts that were emptied."""
+    kept = VENTAS.replace("ventas AS (", "todas AS (") + """,
+ventas AS (
+  SELECT * REPLACE (CASE WHEN orden_id % 97 = 1 THEN NULL ELSE descuento_pct END AS descuento_pct) FROM todas
+  WHERE orden_id % 101 <> 0 AND orden_id % 103 <> 0 AND orden_id % 97 <> 0 AND orden_id % 89 <> 0 AND orden_id % 83 <> 0
+)"""
+    return "WITH " + ",\n".join([kept, CLEAN, R_CATEGORY]) + "\nSELECT * FROM report_category"
+
+
+def category_lookup_accents_sql() -> str:
+    renamed = category_lookup_sql("pRoMo éLITE").replace("p.p_type AS categoria", "upper(p.p_type) || ' ÉLITE' AS categoria")
+    return renamed
+
+
+def top_keys_sql() -> str:
+    def top(kind: str, key: str) -> str:
+        return f"""(SELECT '{kind}' AS clave, CAST({key} AS VARCHAR) AS valor, CAST(round(sum(venta_exacta), 2) AS DOUBLE) AS ingreso_total,
+  CAST(count(orden_id) AS BIGINT) AS total_ordenes, (SELECT CAST(count(DISTINCT {key}) AS BIGINT) FROM clean) AS claves
+  FROM clean GROUP BY {key} ORDER BY 3 DESC, {key} LIMIT 1)"""
+    return with_clean(top("cliente_id", "cliente_id") + " UNION ALL " + top("producto", "producto"))

@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderscope.operators import charts, clean, questions, reports, transcripts
-from orderscope.plans import batch
+from orderscope.plans import batch, incremental
 from orderscope.plans import oracle as O
+from orderscope.schemas import RAW_ORDERS
 from orderscope.session import fresh_path, prepare, saved
-from orderscope.sources import files, tables
+from orderscope.sources import bucketed, files, rejects, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -129,6 +130,16 @@ def q_report_status(spark, sf_dir):
     return reports.report_status(_orders(spark, sf_dir))
 
 
+@register("report_huge_values", O.with_clean("SELECT * FROM report_huge", O.R_HUGE))
+def q_report_huge_values(spark, sf_dir):
+    """A6-A8 where every 40th order's price is 10^14 and every 60th order's rating 10^12 times larger: exact all the same."""
+    order = F.col("orden_id")
+    huge = _orders(spark, sf_dir).withColumns({
+        "precio_unitario": F.when(order % 40 == 0, F.col("precio_unitario") * F.lit(1e14)).otherwise(F.col("precio_unitario")),
+        "calificacion": F.when(order % 60 == 0, F.col("calificacion") * F.lit(1e12)).otherwise(F.col("calificacion"))})
+    return reports.report_category(huge)
+
+
 # --- questions ----------------------------------------------------------------
 
 LOOKUP_CATEGORY = "promo"          # lower case on purpose: the match ignores case
@@ -145,6 +156,13 @@ def q_category_lookup(spark, sf_dir):
     return questions.category_lookup(reports.report_category(_orders(spark, sf_dir)), LOOKUP_CATEGORY)
 
 
+@register("category_lookup_accents", O.category_lookup_accents_sql())
+def q_category_lookup_accents(spark, sf_dir):
+    """A name with an accent is found in any case."""
+    renamed = _orders(spark, sf_dir).withColumn("categoria", F.concat(F.upper("categoria"), F.lit(" ÉLITE")))
+    return questions.category_lookup(reports.report_category(renamed), "pRoMo éLITE")
+
+
 @register("category_ranking", O.category_ranking_sql(RANKING_METRIC))
 def q_category_ranking(spark, sf_dir):
     """T2."""
@@ -193,6 +211,12 @@ def q_executive_summary(spark, sf_dir):
     return questions.executive_summary_of_orders(_orders(spark, sf_dir))
 
 
+@register("top_keys", O.top_keys_sql())
+def q_top_keys(spark, sf_dir):
+    """A15 over wide key domains: the product and the customer with the highest revenue."""
+    return questions.top_keys(_orders(spark, sf_dir), ["producto", "cliente_id"])
+
+
 @register("answer_texts", O.answer_texts_sql(RANKING_METRIC, TOP_CITIES_N, MONTHLY_YEAR))
 def q_answer_texts(spark, sf_dir):
     """T2-T6 as the reader sees them, headers included, from one scan."""
@@ -281,6 +305,58 @@ def q_csv_roundtrip(spark, sf_dir):
     return files.read_report(spark, report_base, "categorias")
 
 
+@register("report_bucketed", O.with_clean("SELECT * FROM report_category", O.R_CATEGORY))
+def q_report_bucketed(spark, sf_dir):
+    """A report over order lines and orders stored in buckets of the order key."""
+    return reports.report_category(bucketed.ventas(spark, bucketed.store(spark, sf_dir)))
+
+
+@register("csv_inferred", O.with_clean("SELECT * FROM report_category", O.R_CATEGORY))
+def q_csv_inferred(spark, sf_dir):
+    """S1 with inferred types: the report does not depend on who decides on them."""
+    raw_path = fresh_path(spark, "raw-orders-csv")
+    files.write_orders_csv(_orders(spark, sf_dir), raw_path)
+    return reports.report_category(files.read_orders_csv(spark, raw_path, infer_schema=True))
+
+
+def _dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order rows as CSV lines, some with a text for a number or a date, or with a field too many or too few."""
+    order = F.col("orden_id")
+    texts = {f.name: F.col(f.name).cast("string") for f in RAW_ORDERS.fields}
+    texts["precio_unitario"] = F.when(order % 97 == 0, "diez").otherwise(texts["precio_unitario"])
+    texts["cantidad"] = F.when(order % 89 == 0, "2 unidades").otherwise(texts["cantidad"])
+    texts["fecha"] = F.when(order % 83 == 0, "ayer").otherwise(texts["fecha"])
+    texts["descuento_pct"] = F.when(order % 97 == 1, "").otherwise(texts["descuento_pct"])
+    line = F.to_csv(F.struct(*[c.alias(n) for n, c in texts.items()]))
+    return _orders(spark, sf_dir).select(
+        F.when(order % 101 == 0, F.concat(line, F.lit(",de,más"))).when(order % 103 == 0, F.concat(order.cast("string"), F.lit(",corta"))).otherwise(line).alias("value"))
+
+
+def _checked(spark: SparkSession, sf_dir: str) -> rejects.CheckedOrders:
+    path = fresh_path(spark, "dirty-orders-csv")
+    rejects.write_lines(_dirty_lines(spark, sf_dir), path)
+    return rejects.read_orders_checked(spark, path, header=False)
+
+
+@register("csv_rejects", O.csv_rejects_sql())
+def q_csv_rejects(spark, sf_dir):
+    """Every rejected line with its order number and reasons."""
+    found = _checked(spark, sf_dir).rejects
+    return found.select(F.split_part("linea", F.lit(","), F.lit(1)).cast("bigint").alias("orden_id"), F.array_join("motivos", ",").alias("motivos"))
+
+
+@register("csv_reject_counts", O.csv_reject_counts_sql())
+def q_csv_reject_counts(spark, sf_dir):
+    """Rejected rows by reason; accepted and rejected rows are all rows."""
+    return rejects.reject_counts(_checked(spark, sf_dir))
+
+
+@register("csv_accepted", O.csv_accepted_sql())
+def q_csv_accepted(spark, sf_dir):
+    """The category report over what is left of a file with bad lines."""
+    return reports.report_category(_checked(spark, sf_dir).good)
+
+
 REPORT_MEASURES = ["total_ordenes", "total_unidades", "ingreso_total", "ticket_promedio", "calificacion_promedio",
                    "pct_con_descuento", "pct_of_total_ordenes", "variacion_pct"]
 
@@ -295,11 +371,26 @@ def _report_rows(name: str, df: DataFrame) -> DataFrame:
     return df.select(F.lit(name).alias("reporte"), key.alias("clave"), *measures)
 
 
+@register("parquet_rewrite", O.with_clean(f"SELECT {O.CLEAN_COLUMNS} FROM clean"))
+def q_parquet_rewrite(spark, sf_dir):
+    """A table whose January months hold wrong rows, written again: only those are replaced, and twice is as good as once."""
+    path = fresh_path(spark, "clean-orders")
+    right = clean.clean_orders(batch.stage_raw(_orders(spark, sf_dir)))
+    spoiled = right.withColumn("categoria", F.when(F.col("mes") == 1, "?").otherwise(F.col("categoria")))
+    files.write_clean_parquet(spoiled, path)
+    for _ in range(2):
+        files.rewrite_clean_months(right.filter("mes = 1"), path)
+    return files.read_clean_parquet(spark, path)
+
+
 @register("reports_reload", O.reports_reload_sql())
 def q_reports_reload(spark, sf_dir):
     """The batch job writes all five reports; they are reloaded and listed."""
     paths = batch.run_pipeline(spark, _orders(spark, sf_dir))
-    stored = batch.stored_reports(spark, paths)
+    return _all_rows(batch.current_reports(spark, paths["base"]))
+
+
+def _all_rows(stored: dict[str, DataFrame]) -> DataFrame:
     out = None
     for name, df in stored.items():
         rows = _report_rows(name, df)
@@ -307,6 +398,19 @@ def q_reports_reload(spark, sf_dir):
     return out
 
 
+@register("reports_incremental", O.reports_reload_sql())
+def q_reports_incremental(spark, sf_dir):
+    """Three batches of orders, one after the other, one of them first wrong and then replaced; only each batch is read."""
+    base = fresh_path(spark, "report-versions")
+    orders = _orders(spark, sf_dir)
+    third = [orders.filter(F.col("orden_id") % 3 == i) for i in range(3)]
+    incremental.apply(spark, base, "lote-0", third[0])
+    incremental.apply(spark, base, "lote-1", third[1].filter("cantidad > 10"))
+    incremental.apply(spark, base, "lote-2", third[2])
+    incremental.apply(spark, base, "lote-1", third[1], replace=True)
+    return _all_rows(batch.current_reports(spark, base))
+
+
 # --- transcripts -----------------------------------------------------------------
 
 @register("transcript_turns", O.TRANSCRIPT_TURNS_SQL)

@@ -18,7 +18,7 @@ paths (``session.fresh_path``), never a machine-local folder.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -52,6 +52,18 @@ def write_clean_parquet(clean: DataFrame, path: str) -> None:
     clean.hint("rebalance", "anio", "mes").write.partitionBy("anio", "mes").parquet(path)
 
 
+def rewrite_clean_months(clean: DataFrame, path: str) -> None:
+    """S5 again: replace the months that ``clean`` holds, and no others.
+
+    Spark overwrites only the partitions it writes (dynamic overwrite), after
+    all tasks are done: writing a month twice leaves what writing it once does,
+    and the files of other months are not touched. A month without rows in
+    ``clean`` stays as it was.
+    """
+    clean.hint("rebalance", "anio", "mes").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("anio", "mes").parquet(path)
+
+
 def read_clean_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Clean orders back from the partitioned Parquet folder, columns in schema order."""
     df = spark.read.schema(CLEAN_ORDERS).parquet(path)
@@ -64,9 +76,11 @@ def write_report_csv(report: DataFrame, path: str) -> None:
     Report measures are rounded to cents / hundredths when computed, so the
     double columns are written as ``decimal(38,2)``: plain digits
     (``43662572.28``, not ``4.366257228E7``) that read back to the same double.
+    Doubles too large for that keep their exponent.
     """
-    cols = [F.col(f.name).cast("decimal(38,2)").alias(f.name) if isinstance(f.dataType, DoubleType)
-            else F.col(f.name) for f in report.schema.fields]
+    def text(column: Column) -> Column:
+        return F.when(F.abs(column) < 1e36, F.when(F.abs(column) < 1e36, column).cast("decimal(38,2)").cast("string")).otherwise(column.cast("string"))
+    cols = [text(F.col(f.name)).alias(f.name) if isinstance(f.dataType, DoubleType) else F.col(f.name) for f in report.schema.fields]
     report.select(*cols).coalesce(1).write.option("header", True).csv(path)
 
 

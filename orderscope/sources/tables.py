@@ -65,13 +65,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ventas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw order rows (schema ``RAW_ORDERS``) built from the star tables, listed anew on every call."""
-    lineitem, orders, part, customer, nation, region = (
-        _star(spark, sf_dir, name) for name in ("lineitem", "orders", "part", "customer", "nation", "region"))
+    return order_rows(star(spark, sf_dir, "lineitem"), order_side(spark, sf_dir).hint("merge"), star(spark, sf_dir, "part"))
 
+
+def order_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the city and region of their customers."""
+    orders, customer, nation, region = (star(spark, sf_dir, name) for name in ("orders", "customer", "nation", "region"))
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey)
     customer_geo = customer.join(geo, customer.c_nationkey == geo.n_nationkey)
-    order_side = orders.join(customer_geo, orders.o_custkey == customer_geo.c_custkey)
-    lines = lineitem.join(order_side.hint("merge"), lineitem.l_orderkey == order_side.o_orderkey)
+    return orders.join(customer_geo, orders.o_custkey == customer_geo.c_custkey)
+
+
+def order_rows(lineitem: DataFrame, side: DataFrame, part: DataFrame) -> DataFrame:
+    """Order lines with their orders and parts, in the shape of ``RAW_ORDERS``."""
+    lines = lineitem.join(side, lineitem.l_orderkey == side.o_orderkey)
     rows = lines.join(part, lines.l_partkey == part.p_partkey)
 
     discount = F.when(F.col("l_partkey") % DISCOUNT_NULL_EVERY_PARTKEY == 0, F.lit(None)) \
@@ -96,7 +103,7 @@ def ventas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(*[F.col(f.name).cast(f.dataType) for f in RAW_ORDERS.fields])
 
 
-def _star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The columns of a star table that orders are made of, under their fixed
     schema: Spark lists the files anew but needs no job to infer types."""
     return spark.read.schema(STAR_COLUMNS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -236,3 +236,30 @@ def test_null_group_key_is_its_own_group(spark):
     assert out == {None: 2, "X": 1}
     shares = {r["metodo_pago"]: r["pct_of_total_ordenes"] for r in reports.report_payment(frame(spark, data)).collect()}
     assert shares == {"Tarjeta": 100.0}
+
+
+def test_names_match_ignoring_case_in_every_script(spark):
+    """By collation: the column is compared as it is, not lowered."""
+    from .test_plans import plan
+    data = [order(1, categoria="Électronica"), order(2, categoria="ΟΔΟΣ"), order(3, categoria="Hogar")]
+    found = reports.report_category(frame(spark, data))
+    for name in ("ÉLECTRONICA", "électronica"):
+        assert [r["categoria"] for r in rows(questions.category_lookup(found, name))] == ["Électronica"]
+        assert rows(questions.category_answer(found, name))[0]["texto"].startswith("Électronica:")
+    assert rows(questions.category_lookup(found, "Electronica")) == []
+    text = plan(questions.category_lookup(found, "hogar"))
+    assert "lower(" not in text and "UTF8_LCASE" in text
+
+
+def test_top_of_wide_keys_without_sorting_them(spark):
+    from .test_plans import plan
+    data = [order(i, precio=float(1 + i % 40)) for i in range(200)] + [order(500, precio=1e25), order(501, precio=1e25), order(502, precio=0.0)]
+    df = frame(spark, data).withColumn("cliente_id", F.when(F.col("orden_id") < 500, F.col("orden_id") % 30).otherwise(F.col("orden_id") - 400))
+    top = questions.top_keys(df, ["producto", "cliente_id"])
+    out = {r["clave"]: r for r in rows(top)}
+    assert (out["cliente_id"]["valor"], out["cliente_id"]["ingreso_total"], out["cliente_id"]["claves"]) == ("100", 1e25, 32)
+    assert (out["producto"]["valor"], out["producto"]["total_ordenes"], out["producto"]["claves"]) == ("p", 202, 1)
+    text = plan(top)
+    assert "Window" not in text and "Sort" not in text.replace("SortAggregate", "") and "partial_min_by" in text
+    assert rows(questions.top_keys(df.filter("cantidad < 0"), ["producto"])) == []
+

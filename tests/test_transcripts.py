@@ -40,3 +40,33 @@ def test_hot_conversation_with_repeated_turn_numbers(spark):
     assert lines == ["system: s"] + [f"user: h{t:05d}" for t in range(3000)]
     assert sum(r["n_mensajes"] for r in parts) == 9001 + 602
     assert [r["transcript"] for r in parts if r["conv_id"] is None] == ["system: s\nuser: n"]
+
+
+def test_positions_need_no_join_by_conversation(spark):
+    """Half of all turns in one conversation, over many tasks, with adaptive execution off."""
+    from .test_plans import plan
+    data = [(5, t, "user", f"t{t}") for t in range(4000)] + [(t % 50, t, "assistant", f"u{t}") for t in range(4000) if t % 50 != 5]
+    df = spark.createDataFrame(data, SCHEMA).repartition(8)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        messages = T.transcript_messages(df, "s")
+        text = plan(messages)
+        assert "conv_id" not in "".join(line for line in text.splitlines() if "keys" in line or "hashpartitioning" in line)
+        spread = messages.filter("conv_id = 5").rdd.glom().map(len).filter(lambda n: n > 0).collect()
+        got = messages.collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(spread) >= 3 and max(spread) < 3000
+    by_conv = {}
+    for r in got:
+        by_conv.setdefault(r["conv_id"], []).append(r)
+    assert len(by_conv) == 50
+    for conv, mine in by_conv.items():
+        mine.sort(key=lambda r: r["posicion"])
+        assert [r["posicion"] for r in mine] == list(range(len(mine))) and mine[0]["role"] == "system"
+        turns = sorted((t, x) for c, t, _, x in data if c == conv)
+        assert [r["text"] for r in mine[1:]] == [x for _, x in turns]
+
+
+def test_no_messages(spark):
+    assert T.transcript_messages(spark.createDataFrame([], SCHEMA)).collect() == []
