@@ -121,14 +121,14 @@ def _lead(number: Column) -> Column:
 def _joined(n: Column, fraction: Column) -> Column:
     """``exact`` and ``nearest`` of a number in lead form; ``fraction`` is what the ordinary sum has after the point."""
     base, unit = F.lit(BASE).cast("decimal(8,0)"), F.lit("0.000000059604644775390625").cast("decimal(24,24)")      # 2^-24
-    units, sign = F.pmod(n["lead"], base), n["sign"].cast("decimal(1,0)")
+    units = F.pmod(n["lead"], base)
     size = ((n["lead"] - units) / base).cast("decimal(38,0)")
     fits = (n["left"] == 0) & (size < F.lit(str(DECIMAL_LIMIT)).cast("decimal(24,0)"))
     amount = F.when(fits, size).cast("decimal(21,0)").cast("decimal(38,17)") + (units.cast("decimal(8,0)") * unit).cast("decimal(18,17)")
     # 73 bits or more lead; what is below only decides ties
     lead = F.when(n["more"] & (units % 2 == 0), n["lead"] + F.lit(1).cast("decimal(1,0)")).otherwise(n["lead"])
     nearest = n["sign"] * lead.cast("double") * F.pow(F.lit(2.0), ((n["left"] + LOWEST) * BITS).cast("double"))
-    return _let((amount * sign + fraction).cast("decimal(38,17)"),
+    return _let((F.when(n["sign"] < 0, -amount).otherwise(amount) + fraction).cast("decimal(38,17)"),
                 lambda x: F.struct(x.alias("exact"), F.coalesce(x.cast("double"), nearest).alias("nearest")))
 
 

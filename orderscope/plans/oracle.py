@@ -98,8 +98,9 @@ huge_sums AS (
   FROM huge WHERE precio > 0 AND isfinite(precio) AND cantidad > 0 GROUP BY categoria
 ),
 report_huge AS (
-  SELECT categoria, CAST(n AS BIGINT) AS total_ordenes, CAST(unidades AS BIGINT) AS total_unidades, round(ingreso, 2) AS ingreso_total,
-         round(ingreso / n, 2) AS ticket_promedio, round((conocidas + faltan * fill) / n, 2) AS calificacion_promedio,
+  SELECT categoria, CAST(n AS BIGINT) AS total_ordenes, CAST(unidades AS BIGINT) AS total_unidades,
+         CASE WHEN ingreso < 1e15 THEN round(ingreso, 2) ELSE ingreso END AS ingreso_total,      -- no decimals are left beyond
+         CASE WHEN ingreso / n < 1e15 THEN round(ingreso / n, 2) ELSE ingreso / n END AS ticket_promedio, round((conocidas + faltan * fill) / n, 2) AS calificacion_promedio,
          round(CAST(con_descuento AS DOUBLE) / n * 100, 2) AS pct_con_descuento
   FROM huge_sums, huge_fill
 )"""
