@@ -138,7 +138,7 @@ KIND = "struct<exact:decimal(38,17),nearest:double>"
 def total(entries: Column, ordinary: Column) -> Column:
     """The exact sum of collected entries and an ordinary decimal, as ``struct<exact: decimal(38,17), nearest: double>``.
 
-    ``exact`` is null from 10^20 on. ``nearest`` is the double nearest to the sum.
+    ``exact`` is null from 10^20 on and right to 14 places after the point. ``nearest`` is the double nearest to the sum.
     """
     def of(s: Column) -> Column:
         wide, plain = s["wide"], s["plain"]

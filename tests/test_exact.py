@@ -49,7 +49,7 @@ def test_sums_equal_fractions(spark):
             mine = [x for g, x in pairs if g == r.g]
             assert r.t.nearest == nearest([*mine, Fraction(ordinary)]), (mine, ordinary)
             if r.t.exact is not None:
-                assert abs(Fraction(r.t.exact) - sum(map(Fraction, mine)) - Fraction(ordinary)) < Fraction(1, 10 ** 16)
+                assert abs(Fraction(r.t.exact) - sum(map(Fraction, mine)) - Fraction(ordinary)) < Fraction(1, 10 ** 14)
 
 
 def test_cancelled_and_infinite_values(spark):
