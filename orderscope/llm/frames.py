@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderscope.operators.ranks import numbered
 from orderscope.session import saved
 
-__all__ = ["NULL_ID", "components", "id_key", "key_id", "numbered", "one_text_per_id", "picked", "read", "saved"]
+__all__ = ["NULL_ID", "components", "id_key", "key_id", "numbered", "one_text_per_id", "own_keys", "picked", "read", "saved"]
 
 # Stands for a null document id inside the operators: it sorts before all others.
 NULL_ID = -(1 << 63)
@@ -44,6 +46,30 @@ def one_text_per_id(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.groupBy(id_key(id_col).alias("key")).agg(F.min(F.col(text_col).cast("string")).alias("text"))
 
 
+def own_keys(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Rows ``key, text``, one for each row of ``docs``, and the way back from ``key`` to ``doc_id``.
+
+    Where no two rows share an id (or have none), the key is the id. Else keys
+    are places in the order of ids (null first), then texts (null first, then by
+    their hashes), so every row is a document of its own and keys ascend with
+    ids. Finding shared ids shuffles ids alone; numbering sorts ids and
+    hashes, and a text that several rows hold travels once.
+    """
+    rows = picked(docs, id=id_col, text=text_col).select(id_key("id").alias("key"), F.col("text").cast("string").alias("text"))
+    if rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        return rows, lambda out: out.withColumn("key", key_id("key")).withColumnRenamed("key", "doc_id")
+    by_text = [F.col("key").alias("id"), F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("h1"),
+               F.when(F.col("text").isNotNull(), F.xxhash64(F.lit(17), "text")).alias("h2")]
+    # the copy only tells equal rows apart, so that the sort can deal them to several tasks
+    copies = rows.select(*by_text, F.monotonically_increasing_id().alias("copy"))
+    places = saved(numbered(copies, "id", "h1", "h2", "copy", label="key").select("key", "id", "h1", "h2"))
+    texts = rows.select(*by_text, "text").groupBy("id", "h1", "h2").agg(F.min("text").alias("text"))
+    same = [places[c].eqNullSafe(texts[c]) for c in ("id", "h1", "h2")]
+    keyed = saved(places.join(texts, same).select(places["key"], texts["text"]))
+    ids = places.select("key", key_id("id").alias("doc_id"))
+    return keyed, lambda out: ids.join(out, "key").drop("key")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected ``edges(a, b)``: rows ``node, root``.
 

@@ -33,9 +33,10 @@ so a passage in a third of all documents is a few rows a task. Groups are
 streams of sorted rows and are never gathered.
 
 Defined cases: null text has no words (0, 0, ""); fewer words than a window:
-nothing is removed; rows that share an id are one document with the smallest
-of their texts; a null id is smaller than all others and is returned as null;
-an empty table gives no rows; other columns are ignored.
+nothing is removed; every row is a document of its own; rows that share an id
+come in the order of their texts' hashes (null first), a null id is smaller
+than all others and is returned as null; an empty table gives no rows; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -48,7 +49,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderscope.llm.frames import key_id, one_text_per_id
+from orderscope.llm.frames import one_text_per_id, own_keys
 from orderscope.llm.words import WHITE, Piece, hash_pair, mix, pieces
 
 WINDOW_WORDS = 20
@@ -416,7 +417,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     With ``untouched_as_is`` a document that loses no word keeps its text (null included).
     """
-    texts = one_text_per_id(docs, id_col, text_col)
+    rows, restored = own_keys(docs, id_col, text_col)
+    texts = one_text_per_id(rows, "key", "text")
 
     def with_places(rows: DataFrame) -> DataFrame:
         return texts.join(_lists(rows).hint("merge"), "key", "left") \
@@ -430,5 +432,4 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     repeats = windows.repartition("h1").sortWithinPartitions("h1", F.shiftright("h2_at", 32), "key", "h2_at") \
         .mapInArrow(_repeated, "key bigint, at int, len int")
     kept = with_places(repeats).mapInArrow(_kept(window, untouched_as_is), "key bigint, n_words bigint, n_removed bigint, spaced string")
-    return kept.select(key_id("key").alias("doc_id"), "n_words", "n_removed",
-                       F.expr("substring(spaced, 1, length(spaced) - 1)").alias("kept_text"))
+    return restored(kept.select("key", "n_words", "n_removed", F.expr("substring(spaced, 1, length(spaced) - 1)").alias("kept_text")))

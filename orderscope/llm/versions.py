@@ -26,10 +26,12 @@ distributed sort of the ids. A document's cells are rows, so a long document
 is split over spilling aggregations and nothing is gathered but a fingerprint.
 
 Defined cases: null text counts as empty; an empty text has no cells and the
-fingerprint ``""``; rows that share an id are one document with the smallest of
-their texts; a null id is the smallest and is returned as null; a table's only
-document is its own next; an empty table gives no rows; other columns are
-ignored.
+fingerprint ``""``; every row is a document of its own; rows that share an id
+follow each other in the order of their texts' hashes (null first); a null id
+is the smallest and is returned as null; a table's only document is its own
+next; an empty table gives no rows; other columns are ignored, whatever their
+names. :func:`changed_paragraphs` matches versions by id: there, rows of one
+table that share an id count as one version, the smallest of their texts.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderscope.llm.frames import id_key, key_id, numbered, one_text_per_id, saved
+from orderscope.llm.frames import id_key, key_id, numbered, one_text_per_id, own_keys, saved
 
 BASE_CELLS = 12
 SPARE_CELLS = 36
@@ -198,8 +200,9 @@ def version_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
     The edited text has its last quarter (in code points, rounded down)
     replaced by the first as many of the next document's text.
     """
-    links = _next_links(docs, id_col)
-    rows = saved(_compared(_versions(docs, links, id_col, text_col), 0, base))
+    docs, restored = own_keys(docs, id_col, text_col)
+    links = _next_links(docs, "key")
+    rows = saved(_compared(_versions(docs, links, "key", "text"), 0, base))
     open_ = F.col("near_edited").isNull() | F.col("near_next").isNull()
     failed, mended = rows.filter(open_).select("key"), []
     for attempt in range(1, attempts):
@@ -210,7 +213,7 @@ def version_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
         needed = again.select("key").union(again.select("next_key")).distinct()
         # few ids as a rule: sent to all tasks only within a bound, else shuffled to the texts
         needed = F.broadcast(needed) if n_failed <= BROADCAST_IDS else needed
-        some = docs.select(id_key(id_col).alias("key"), F.col(text_col).alias("text")).join(needed, "key", "left_semi")
+        some = docs.join(needed, "key", "left_semi")
         tried = saved(_compared(_versions(some, again, "key", "text"), attempt, base).select("key", "near_edited", "near_next"))
         mended.append(tried.filter(~open_))
         failed = tried.filter(open_).select("key")
@@ -221,5 +224,4 @@ def version_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
         patch = reduce(DataFrame.unionByName, mended).withColumnsRenamed({"near_edited": "edited_", "near_next": "next_"})
         rows = rows.join(patch, "key", "left").withColumns({
             "near_edited": F.coalesce("edited_", "near_edited"), "near_next": F.coalesce("next_", "near_next")})
-    return rows.select(key_id("key").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-                       "near_edited", "near_next")
+    return restored(rows.select("key", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"))

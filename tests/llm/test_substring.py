@@ -57,10 +57,23 @@ def test_awkward_cases(spark):
     assert got[2] == (0, 0, "") and got[20][2] == "" and got[10][1] > 0
 
 
-def test_repeated_ids_are_one_document_with_the_smallest_text(spark):
-    df = spark.createDataFrame([(1, "b"), (1, "a"), (1, None), (2, "c"), (2, "c"), (None, None)], DOCS)
-    rows = {r.doc_id: r.kept_text for r in substring_dedup(df).collect()}
-    assert rows == {1: "a", 2: "c", None: ""}
+def test_rows_that_share_an_id_or_have_none_are_documents_of_their_own(spark):
+    """As many rows out as in; an earlier document is one with a smaller id, and each passage stays once."""
+    passage = " ".join(f"p{i}" for i in range(30))
+    docs = [(None, "alpha beta"), (None, "gamma delta"), (1, "one two"), (1, "three four"), (2, None), (2, None), (None, None),
+            (None, f"x {passage}"), (None, f"y {passage}"), (3, f"z {passage}"), (3, f"u {passage}"), (3, f"u {passage}"), (4, passage)]
+    rows = substring_dedup(spark.createDataFrame(docs, DOCS).repartition(4)).collect()
+    assert sorted((r.doc_id, r.n_words) for r in rows if r.doc_id) == sorted((i, len(white_words(t))) for i, t in docs if i)
+    assert sorted(r.kept_text for r in rows if r.n_words == 2) == ["alpha beta", "gamma delta", "one two", "three four"]
+    whole = [r for r in rows if r.n_words >= 30 and not r.n_removed]
+    assert len(whole) == 1 and whole[0].doc_id is None
+    assert sorted(r.kept_text for r in rows if r.doc_id == 3) == ["", "u", "z"] and [r.kept_text for r in rows if r.doc_id == 4] == [""]
+    assert substring_dedup(spark.createDataFrame(docs, DOCS)).columns == ["doc_id", "n_words", "n_removed", "kept_text"]
+
+
+def test_names_that_differ_in_case_only(spark):
+    df = spark.createDataFrame([(1, "a b", "no", 9)], "doc_id long, text string, TEXT string, DOC_ID long")
+    assert [tuple(r) for r in substring_dedup(df).collect()] == [(1, 2, 0, "a b")]
 
 
 def test_hot_passage_keeps_its_first_place_only(spark):
