@@ -3,15 +3,17 @@
 *Index.* Each task turns its documents into shards of a few megabytes of
 text. A shard is one row: the documents' word counts and, for every test
 term (a word of the benchmark), its posting list of word positions. The index
-is saved in the shared folder and read twice, so texts are tokenised once.
+is saved in the shared folder and read twice, so texts are tokenised once
+for each block of the test set.
 It is split by documents: a posting list never leaves its shard.
 
 *Search.* Term frequencies are summed over the whole index. A window (ten
 consecutive item words, or all words of a shorter item) starts from the
 posting list of its rarest term, moved back by the term's offset, and is
 intersected with the moved lists of the next rarer terms until all words
-agree: an exact phrase match. A proximity match has the three rarest
-different terms of a window within ``slop`` words of each other's rarest.
+agree: an exact phrase match. A proximity match has the other two of a window's
+three rarest different terms within ``slop`` words of the rarest (one other
+where a window has two different terms; a window of one has no proximity match).
 
 Scale. No text is shuffled; a document sends one row with merged hit ranges
 and item ids. The test set is sent to tasks in blocks of ``BLOCK_WORDS``
@@ -155,10 +157,22 @@ class Shard:
         return cls(counts, first, place, starts, postings, term_at, (by_posting.astype(np.int64) << 32) | postings)
 
 
-def search(shard: Shard, tests: Tests, by_rarity: np.ndarray, slop: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def near_terms(windows: np.ndarray, by_rarity: np.ndarray) -> np.ndarray:
+    """Each window's rarest different terms, ``NEAR_TERMS`` or as many as there are (then -1)."""
+    ordered = np.take_along_axis(windows, by_rarity, axis=1)
+    again = np.zeros(ordered.shape, bool)
+    for j in range(1, ordered.shape[1]):
+        again[:, j] = (ordered[:, :j] == ordered[:, j:j + 1]).any(axis=1)
+    fresh = (ordered >= 0) & ~again
+    front = np.argsort(~fresh, axis=1, kind="stable")[:, :NEAR_TERMS]
+    return np.where(np.take_along_axis(fresh, front, axis=1), np.take_along_axis(ordered, front, axis=1), -1)
+
+
+def search(shard: Shard, tests: Tests, by_rarity: np.ndarray, rarest: np.ndarray, slop: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(window, word of the match, is_exact) of exact and proximity matches.
 
-    ``by_rarity``: each window's word offsets, rarest term first.
+    ``by_rarity``: each window's word offsets, rarest term first; ``rarest``:
+    its rarest different terms.
     """
     pivot = tests.windows[np.arange(len(by_rarity)), by_rarity[:, 0]]
     at = shard.place[pivot]
@@ -183,26 +197,22 @@ def search(shard: Shard, tests: Tests, by_rarity: np.ndarray, slop: int) -> Iter
             more = term >= 0
             alive[go[more]] = shard.term_at[start[go[more]] + offset[more]] == term[more]
         yield w[alive], start[alive], np.ones(int(alive.sum()), bool)
-        near = ~alive
-        seen = pivot[w]
-        terms_met = [seen]
-        for j in range(1, min(NEAR_TERMS, tests.windows.shape[1])):
-            go = np.flatnonzero(near)
-            term = tests.windows[w[go], by_rarity[w[go], j]]
-            new = (term >= 0) & ~np.any([t[go] == term for t in terms_met], axis=0)
+        near = ~alive & (rarest[w, 1] >= 0 if rarest.shape[1] > 1 else False)
+        for j in range(1, rarest.shape[1]):
+            go = np.flatnonzero(near & (rarest[w, j] >= 0))
+            term = rarest[w[go], j].astype(np.int64) << 32
             low_word = np.maximum(pos[go] - slop, shard.first[doc[go]])
             high_word = np.minimum(pos[go] + slop, shard.first[doc[go] + 1] - 1)
-            found = np.searchsorted(shard.sorted_, (term.astype(np.int64) << 32) | low_word)
-            found = np.minimum(found, len(shard.sorted_) - 1)
+            found = np.minimum(np.searchsorted(shard.sorted_, term | low_word), len(shard.sorted_) - 1)
             hit = shard.sorted_[found]
-            near[go] = new & (hit >= (term.astype(np.int64) << 32 | low_word)) & (hit <= (term.astype(np.int64) << 32 | high_word))
-            terms_met.append(np.where(near, tests.windows[w, by_rarity[w, j]], -2))
+            near[go] = (hit >= (term | low_word)) & (hit <= (term | high_word))
         yield w[near], pos[near], np.zeros(int(near.sum()), bool)
 
 
 def _search(tests: Tests, frequency: np.ndarray, slop: int) -> Callable:
     weight = np.where(tests.windows >= 0, frequency[tests.windows], np.iinfo(np.int64).max) if len(tests.terms) else tests.windows
     by_rarity = np.argsort(weight, axis=1, kind="stable")
+    rarest = near_terms(tests.windows, by_rarity)
     lengths = (tests.windows >= 0).sum(axis=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,7 +223,7 @@ def _search(tests: Tests, frequency: np.ndarray, slop: int) -> Callable:
                 n_docs, n_words = len(shard.counts), int(shard.first[-1])
                 edge = np.zeros(n_words + 1, np.int64)
                 pairs: list[list[np.ndarray]] = [[np.zeros((0, 2), np.int64)], [np.zeros((0, 2), np.int64)]]
-                for w, at, exact in search(shard, tests, by_rarity, slop) if len(tests.terms) else ():
+                for w, at, exact in search(shard, tests, by_rarity, rarest, slop) if len(tests.terms) else ():
                     doc = np.searchsorted(shard.first, at, "right") - 1
                     if len(w) and exact[0]:
                         np.add.at(edge, at, 1)

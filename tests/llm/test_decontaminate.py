@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import pytest
 
@@ -57,6 +58,47 @@ def test_matches_brute_force(spark, monkeypatch, block_words):
     assert any(g[2] for g in got)
 
 
+def brute_near(docs, items, window=10, slop=decontaminate.SLOP_WORDS, terms=decontaminate.NEAR_TERMS):
+    """Items of whose windows the rarest different words (two at least) stand near the rarest one, without an exact match."""
+    counts = Counter(w for _, text in docs for w in plain_words(text))
+    out = []
+    for i, text in docs:
+        words = plain_words(text)
+        places = {w: [p for p, x in enumerate(words) if x == w] for w in set(words)}
+        near = set()
+        for item, body in items:
+            b = plain_words(body)
+            for a in range(max(1, len(b) - window + 1)) if b else ():
+                by_rarity = sorted(range(len(b[a:a + window])), key=lambda o: counts[b[a + o]])
+                rare = list(dict.fromkeys(b[a + o] for o in by_rarity))[:terms]
+                if len(rare) > 1 and any(all(any(abs(p - q) <= slop for q in places.get(w, ())) for w in rare[1:]) for p in places.get(rare[0], ())):
+                    near.add("" if item is None else str(item))
+        out.append((i, near))
+    exact = {i: set(found) for i, _, _, found in brute(docs, items, window)}
+    return sorted(((i, sorted(near - exact[i])) for i, near in out), key=str)
+
+
+@pytest.mark.parametrize("block_words", [1 << 20, 100])
+def test_proximity_matches_brute_force(spark, monkeypatch, block_words):
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block_words)
+    monkeypatch.setattr(decontaminate, "CANDIDATES_AT_ONCE", 50)
+    rnd = random.Random(8)
+    words = [f"w{k}" for k in range(12)]
+    items = [(i, " ".join(rnd.choices(rnd.sample(words, rnd.randint(1, 8)), k=rnd.choice([1, 2, 5, 10, 14])))) for i in range(30)]
+    docs = [(i, " ".join(w for x in rnd.choices(words, k=rnd.randint(0, 12)) for w in [x, *["far"] * rnd.choice([0, 0, 8])])) for i in range(120)]
+    out = matches(spark.createDataFrame(docs, DOCS).repartition(3), spark.createDataFrame(items, ITEMS)).collect()
+    got = sorted(((r.doc_id, list(r.near_items)) for r in out), key=str)
+    assert got == brute_near(docs, items) and sum(len(n) for _, n in got) > 50
+
+
+def test_a_repeated_rare_word_does_not_hide_a_proximity_match(spark):
+    body = " ".join("a" * 8)
+    items = [(1, f"zed {body} b"), (2, f"zed zed {body[2:]} b"), (3, "a a a a a a a a a a")]
+    docs = [(1, "zed x a b"), (2, "a a b"), (3, "b zed a y")]
+    out = {r.doc_id: r.near_items for r in matches(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()}
+    assert out == {1: ["1", "2"], 2: [], 3: ["1", "2"]}
+
+
 def test_hits_are_ranges_and_proximity_is_told_apart(spark):
     item = [(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa")]
     docs = [(1, "x alpha beta gamma delta epsilon zeta eta theta iota kappa y"),
