@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import random
 import re
+from collections import Counter
 
 from orderscope.llm import licenses
 from orderscope.llm.licenses import BASE_PHRASES, TEMPLATES, rare_words, scan, scan_summary, template
@@ -84,3 +86,45 @@ def test_notices_are_the_places_of_key_phrases(spark):
         words = plain_words(d.text)
         expected = [(t.label, i - t.key_at) for t in TEMPLATES for i in range(len(words)) if tuple(words[i:i + len(t.key)]) == t.key]
         assert sorted((n.label, n.start) for n in rows[d.doc_id].notices) == sorted(expected)
+
+
+def brute_in_step(words, frequency, start, t):
+    """How many of the file's four rarest licence words put one of their places on this start of the template."""
+    vocabulary = {w for x in TEMPLATES for w in x.words}
+    looked_up = sorted({w for w in words if w in vocabulary}, key=lambda w: (frequency[w], w))[:licenses.LOOKED_UP]
+    return sum(any(0 <= start + i < len(words) and words[start + i] == w for i, x in enumerate(t.words) if x == w) for w in looked_up)
+
+
+def test_looked_up_words_of_a_file_agree_on_its_notices(spark):
+    """in_step of every notice, by brute force over files that hold several notices, whole, cut and mixed."""
+    rnd = random.Random(6)
+    filler = ["the", "of", "word", "other", "software", "license", "free"]
+    docs = []
+    for i in range(80):
+        words = rnd.choices(filler, k=rnd.randint(0, 12))
+        for t in rnd.choices(TEMPLATES, k=rnd.randint(0, 3)):
+            a = rnd.choice([0, 0, rnd.randint(0, t.key_at)])
+            words += [w if rnd.random() < 0.9 or t.key_at <= k < t.key_at + len(t.key) else "odd" for k, w in enumerate(t.words)][a:]
+            words += rnd.choices(filler, k=rnd.randint(0, 6))
+        docs.append((i, " ".join(words)))
+    docs += [(100, None), (101, "license " * 4000), (102, "mit license " * 2000)]
+    frequency = Counter(w for _, text in docs for w in set(plain_words(text)))
+    rows = {r.doc_id: r for r in scan(spark.createDataFrame(docs, DOCS).repartition(4)).collect()}
+    agreed = 0
+    for i, text in docs:
+        words = plain_words(text)
+        expected = [(t.label, at - t.key_at, brute_in_step(words, frequency, at - t.key_at, t))
+                    for t in TEMPLATES for at in range(len(words)) if tuple(words[at:at + len(t.key)]) == t.key]
+        assert sorted((n.label, n.start, n.in_step) for n in rows[i].notices) == sorted(expected), i
+        agreed += sum(n >= 2 for _, _, n in expected)
+    assert agreed > 50
+
+
+def test_score_is_the_share_of_words_in_place(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(400).cache()
+    rows = {r.doc_id: r for r in scan_summary(scan(docs)).collect()}
+    for d in docs.collect():
+        words = plain_words(d.text)
+        shares = [sum(0 <= at - t.key_at + k < len(words) and words[at - t.key_at + k] == w for k, w in enumerate(t.words)) / len(t.words)
+                  for t in TEMPLATES for at in range(len(words)) if tuple(words[at:at + len(t.key)]) == t.key]
+        assert rows[d.doc_id].score == max([*shares, 0.5 if rows[d.doc_id].n_base else 0.0])
