@@ -181,15 +181,16 @@ def _finish(groups: DataFrame, keys: list[str]) -> DataFrame:
     once. Groups holding only invalid rows still count for the fill, so they are
     dropped after the window.
     """
-    return (folded(groups, keys).withColumns(_total_columns())
+    return (folded(groups, keys).withColumns(_total_columns("_gid" in keys))
             .filter(F.col("_n_valid") > 0).withColumn("_rating_avg", _rating_avg()))
 
 
 @cache
-def _total_columns() -> dict[str, Column]:
+def _total_columns(by_set: bool) -> dict[str, Column]:
     """The fill is the mean rating over all raw rows (invalid rows included); the total counts clean rows."""
     # sorted, so that a sum beyond the decimals does not depend on the order of rows either
-    everything = Window.orderBy("_known_all.nearest").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    order = Window.partitionBy("_gid").orderBy("_known_all.nearest") if by_set else Window.orderBy("_known_all.nearest")
+    everything = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     decimals = F.when(F.count_if(F.col("_known_all.exact").isNull()).over(everything) == 0, F.try_sum("_known_all.exact").over(everything))
     known = F.coalesce(decimals.cast("double"), F.sum("_known_all.nearest").over(everything))
     return {
@@ -376,18 +377,31 @@ def set_id(name: str, names: list[str] | None = None) -> int:
     return sum(1 << (len(cols) + len(BANDS) - 1 - i) for i, k in enumerate(cols) if k not in KEYS[name])
 
 
+def finished(grouped: DataFrame) -> DataFrame:
+    """The groups of all sets of ``grouped_measures``, folded and with the totals of their set.
+
+    A few dozen rows from which every report is a filter and a projection: save
+    these, and the fold is planned and run once for all reports.
+    """
+    return _finish(grouped, ["_gid", *ALL_KEYS])
+
+
+def reports_from_finished(done: DataFrame, min_city_orders: int = DEFAULT_MIN_CITY_ORDERS) -> dict[str, DataFrame]:
+    """The five reports from the output of ``finished``."""
+    parts = {name: done.filter(F.col("_gid") == F.lit(set_id(name))) for name in KEYS}
+    return {
+        "categorias": _category(parts["categorias"]),
+        "ciudades": _city(parts["ciudades"], min_city_orders),
+        "pagos": _payment(parts["pagos"]),
+        "mensual": _monthly(parts["mensual"]),
+        "estados": _status(parts["estados"]),
+    }
+
+
 def reports_from_grouped(grouped: DataFrame,
                          min_city_orders: int = DEFAULT_MIN_CITY_ORDERS) -> dict[str, DataFrame]:
     """The five reports from the output of ``grouped_measures``."""
-    parts = {name: grouped.filter(F.col("_gid") == F.lit(set_id(name))) for name in KEYS}
-    done = {name: _finish(part, KEYS[name]) for name, part in parts.items()}
-    return {
-        "categorias": _category(done["categorias"]),
-        "ciudades": _city(done["ciudades"], min_city_orders),
-        "pagos": _payment(done["pagos"]),
-        "mensual": _monthly(done["mensual"]),
-        "estados": _status(done["estados"]),
-    }
+    return reports_from_finished(finished(grouped), min_city_orders)
 
 
 def report_tables(orders: DataFrame, min_city_orders: int = DEFAULT_MIN_CITY_ORDERS) -> dict[str, DataFrame]:

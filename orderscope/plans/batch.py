@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderscope.operators.clean import clean_orders, conform, profile_columns
-from orderscope.operators.reports import DEFAULT_MIN_CITY_ORDERS, grouped_measures, reports_from_grouped
+from orderscope.operators.reports import DEFAULT_MIN_CITY_ORDERS, finished, grouped_measures, reports_from_finished
 from orderscope.schemas import RAW_ORDERS
 from orderscope.session import fresh_path, saved
 from orderscope.sources import versions
@@ -64,8 +64,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_base: str | None = Non
     clean_path = f"{base}/{folder}/clean"
     stats = clean_to_parquet(raw, clean_path)
     clean = read_clean_parquet(spark, clean_path)
-    grouped = saved(grouped_measures(clean))
-    write_reports(reports_from_grouped(grouped, min_city_orders), f"{base}/{folder}")
+    done = saved(finished(grouped_measures(clean)))
+    write_reports(reports_from_finished(done, min_city_orders), f"{base}/{folder}")
     published = versions.publish(spark, base, folder, before, {"perfil": stats})
     return {"clean": clean_path, "reports": published.path, "base": base}
 

@@ -79,6 +79,6 @@ def _publish(spark: SparkSession, base: str, measures: DataFrame, before: versio
     folder = versions.new_folder(base)
     path = f"{base.rstrip('/')}/{folder}"
     measures.coalesce(1).write.parquet(f"{path}/medidas")
-    grouped = saved(merged(spark.read.parquet(f"{path}/medidas")))
-    files.write_reports(reports.reports_from_grouped(grouped, min_city_orders), path)
+    done = saved(reports.finished(merged(spark.read.parquet(f"{path}/medidas"))))
+    files.write_reports(reports.reports_from_finished(done, min_city_orders), path)
     return versions.publish(spark, base, folder, before, {"lotes": names})

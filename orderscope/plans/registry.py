@@ -220,8 +220,8 @@ def q_top_keys(spark, sf_dir):
 @register("answer_texts", O.answer_texts_sql(RANKING_METRIC, TOP_CITIES_N, MONTHLY_YEAR))
 def q_answer_texts(spark, sf_dir):
     """T2-T6 as the reader sees them, headers included, from one scan."""
-    grouped = saved(reports.grouped_measures(_orders(spark, sf_dir)))
-    return questions.answers(reports.reports_from_grouped(grouped), RANKING_METRIC, TOP_CITIES_N, MONTHLY_YEAR)
+    done = saved(reports.finished(reports.grouped_measures(_orders(spark, sf_dir))))
+    return questions.answers(reports.reports_from_finished(done), RANKING_METRIC, TOP_CITIES_N, MONTHLY_YEAR)
 
 
 @register("category_not_found", O.category_not_found_sql(UNKNOWN_CATEGORY))
@@ -234,8 +234,7 @@ def q_category_not_found(spark, sf_dir):
 def q_empty_input(spark, sf_dir):
     """C11: every answer over orders of which none is left (quantity below 0)."""
     none = _orders(spark, sf_dir).filter("cantidad < 0")
-    grouped = saved(reports.grouped_measures(none))
-    tables_ = reports.reports_from_grouped(grouped)
+    tables_ = reports.reports_from_finished(saved(reports.finished(reports.grouped_measures(none))))
     lookup = questions.category_answer(tables_["categorias"], LOOKUP_CATEGORY).select(F.lit("categoria").alias("pregunta"), "texto")
     return lookup.unionByName(questions.answers(tables_, RANKING_METRIC, TOP_CITIES_N, 0))
 
