@@ -1,5 +1,7 @@
 """Variable-capacity best-fit packing of documents into training sequences.
 
+Lengths are tokens of a vocabulary and one place for the end mark
+(:func:`token_packed`), or any whole number per document (:func:`packed`).
 A document longer than the largest permitted length is cut into pieces of
 that length and a rest. Pieces are dealt into groups of about
 ``GROUP_PIECES`` rows by a hash; a group is packed on its own:
@@ -17,7 +19,9 @@ that length and a rest. Pieces are dealt into groups of about
 The cost of a sequence of length c is ``c + c * c / ATTENTION + FIXED``:
 work in proportion, attention, and a fixed share per sequence.
 
-Scale. Only ids and lengths are shuffled, once. There are as many groups as
+Scale. Texts are encoded once, in place; their lengths are saved, as the number
+of groups and the pieces both follow from them. Only ids and lengths are
+shuffled, once. There are as many groups as
 give each about ``GROUP_PIECES`` documents and no more than about twice as many
 pieces, so groups are bounded at any table size and length of documents.
 
@@ -36,7 +40,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderscope.llm.frames import id_key, key_id
+from orderscope.llm.frames import id_key, key_id, saved
+from orderscope.llm.token_counts import VOCABULARY, token_lengths
 
 CAPACITIES = (512, 1024, 2048, 4096)
 ATTENTION, FIXED = 16384, 32
@@ -148,3 +153,11 @@ def packed(docs: DataFrame, id_col: str = "doc_id", length: Column | None = None
     dealt = pieces.withColumn("group_", F.pmod(F.xxhash64("key", "row", "piece"), F.lit(n_groups)))
     return dealt.groupBy("group_").applyInArrow(_pack_group(capacities), OUT) \
         .select(key_id("key").alias("doc_id"), "piece", "start", "length", "bin_id", "bin_capacity", "bin_used", "bin_offset")
+
+
+def token_packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY,
+                 lines: bytes | None = None, capacities: tuple[int, ...] = CAPACITIES, group_pieces: int = GROUP_PIECES) -> DataFrame:
+    """:func:`packed` by the texts' own tokens and an end mark; texts without tokens are in no sequence."""
+    lengths = saved(token_lengths(docs, id_col, text_col, vocabulary, lines))
+    n = F.col("n_tokens")
+    return packed(lengths, "doc_id", F.when(n > 0, n + 1).otherwise(0), capacities, group_pieces)

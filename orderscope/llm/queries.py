@@ -50,7 +50,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(read(spark, sf_dir, "documents"))
+    return packing.token_packed(read(spark, sf_dir, "documents"))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -130,15 +130,35 @@ def section_rows(text: str, ranges: np.ndarray | None, encoder: Encoder, rule: s
 _ENCODERS: dict[str, Encoder] = {}
 
 
+def _encoder(vocabulary: str, lines: bytes | None) -> Encoder:
+    """The worker's encoder for a vocabulary, made once."""
+    if vocabulary not in _ENCODERS:
+        if lines is None:
+            with open(vocabulary, "rb") as file:
+                lines = file.read()
+        _ENCODERS[vocabulary] = Encoder(lines)
+    return _ENCODERS[vocabulary]
+
+
+def _lengths(vocabulary: str, lines: bytes | None) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = _encoder(vocabulary, lines).encoding.encode_ordinary
+        for batch in batches:
+            counts = pa.array([len(encode(cell.as_py() or "")) for cell in batch.column(1)], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), counts], ["doc_id", "n_tokens"])
+    return run
+
+
+def token_lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY,
+                  lines: bytes | None = None) -> DataFrame:
+    """Rows ``doc_id, n_tokens``, one for each row of ``docs``; null and empty texts have none."""
+    slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return slim.mapInArrow(_lengths(vocabulary, lines), "doc_id bigint, n_tokens bigint")
+
+
 def _count(vocabulary: str, lines: bytes | None, rule: str, with_ranges: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if vocabulary not in _ENCODERS:
-            if lines is None:
-                with open(vocabulary, "rb") as file:
-                    _ENCODERS[vocabulary] = Encoder(file.read())
-            else:
-                _ENCODERS[vocabulary] = Encoder(lines)
-        encoder = _ENCODERS[vocabulary]
+        encoder = _encoder(vocabulary, lines)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)

@@ -9,7 +9,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from orderscope.llm import packing
-from orderscope.llm.packing import CAPACITIES, best_fit, cost, pack, packed, shrunk
+from orderscope.llm.packing import CAPACITIES, best_fit, cost, pack, packed, shrunk, token_packed
+from orderscope.llm.token_counts import VOCABULARY, Encoder, token_lengths
 
 from .conftest import AWKWARD, DOCS, REPEATED, white_words
 
@@ -65,6 +66,50 @@ def test_best_fit_takes_the_tightest_bin():
     assert bins.tolist() == [0, 1, 0, 1] and offsets.tolist() == [0, 0, 3000, 2500] and used == [4000, 3400]
 
 
+def slow_best_fit(lengths, capacities, limit):
+    """One bin after the other: of the open bins that hold the piece the one with least room, then the oldest."""
+    rooms, used, bins, offsets, since = [], [], [], [], {}
+    for i, n in enumerate(lengths):
+        fitting = [b for b in range(len(rooms)) if rooms[b] >= n]
+        if fitting:
+            # bins of one room queue up in the order in which they came to it
+            b = min(fitting, key=lambda b: (rooms[b], since[b]))
+        else:
+            least = min(c for c in capacities if c >= n)
+            beside = lambda c: sum(x for x in lengths if x <= min(c - n, n))
+            c = min([c for c in capacities if c >= n and (c <= limit or c == least)], key=lambda c: cost(c) / min(c, n + beside(c)))
+            b = len(rooms)
+            rooms.append(c)
+            used.append(0)
+        bins.append(b)
+        offsets.append(used[b])
+        used[b] += n
+        rooms[b] -= n
+        since[b] = i
+    return bins, offsets, used
+
+
+def test_every_piece_goes_where_a_slow_best_fit_puts_it():
+    rnd = random.Random(5)
+    for _ in range(60):
+        high = rnd.choice([5, 60, 700, 4096])
+        lengths = sorted((rnd.randint(1, high) for _ in range(rnd.randint(1, 90))), reverse=True)
+        capacities = rnd.choice([CAPACITIES, (high,), (high // 2 + 1, high * 2)])
+        capacities = tuple(sorted({c for c in capacities if c} | ({high} if max(capacities) < high else set())))
+        for limit in capacities:
+            bins, offsets, used = best_fit(np.array(lengths), capacities, limit)
+            assert (bins.tolist(), offsets.tolist(), used) == slow_best_fit(lengths, capacities, limit)
+
+
+def test_lengths_are_tokens_of_the_vocabulary(spark, empty):
+    encode = Encoder(open(VOCABULARY, "rb").read()).encoding.encode_ordinary
+    docs = AWKWARD + REPEATED + [(50, "x" * 20_000)]
+    rows = token_packed(spark.createDataFrame(docs, DOCS).repartition(3)).collect()
+    check(rows, [(i, len(encode(t)) + 1 if t else 0) for i, t in docs])
+    assert {r.doc_id: r.n_tokens for r in token_lengths(spark.createDataFrame(AWKWARD, DOCS)).collect()} == {i: len(encode(t or "")) for i, t in AWKWARD}
+    assert token_packed(empty).collect() == []
+
+
 def test_lengths_are_weighed_jointly_and_bins_shrink():
     rnd = random.Random(2)
     for _ in range(20):
