@@ -10,7 +10,7 @@ stage's ``docs``. All but the last return the columns of ``documents``.
 3. ``repeated_passages``: words under repeated 20-word windows go; a document
    that loses none keeps its text as it is.
 4. ``benchmark``: documents that hold a benchmark window go.
-5. ``packing``: the rest is packed into sequences.
+5. ``packing``: the rest is packed into sequences by its tokens.
 """
 
 from __future__ import annotations
@@ -44,6 +44,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Keep one row of each component: the smallest id, a text rather than none, the smallest hash of the text.
 
     Components are those of the texts, so rows that share an id, or have none, are apart where their texts are.
+    Of rows equal in id and text the one whose columns, as JSON, come first stays.
     """
     texts = docs.select(_text_hash().alias("hash"), F.col("text"))
     labels = simhash.simhash_components(texts, "hash").select(F.col("doc_id").alias("hash"), F.col("component_id").alias("component")).distinct()
@@ -52,7 +53,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     kept = firsts.join(labels, "hash").groupBy("component").agg(F.min("first").alias("first")).select("first.key", "first.hash")
     keyed = docs.select(id_key("doc_id").alias("key"), _text_hash().alias("hash"), _whole(docs))
     return keyed.join(kept, ["key", "hash"]).groupBy("key", "hash") \
-        .agg(F.min_by("doc", F.struct(F.col("doc.text"))).alias("doc")).select("doc.*")
+        .agg(F.min_by("doc", F.struct(F.col("doc.text"), F.to_json("doc"))).alias("doc")).select("doc.*")
 
 
 def _row_keyed(docs: DataFrame) -> DataFrame:
@@ -82,7 +83,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.packed(docs)
+    return packing.token_packed(docs)
 
 
 STAGES = [
