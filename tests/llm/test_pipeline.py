@@ -101,7 +101,7 @@ def test_awkward_rows_and_extra_columns_pass_every_stage(spark, rows):
 
 
 def test_every_operator_is_registered():
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert any(k.startswith(f"op{n}_") for k in queries.QUERIES)
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
     assert quality.SAMPLE_ROWS == 20_000
@@ -120,3 +120,12 @@ def test_rows_without_or_with_shared_ids_stay_apart(spark):
     passages = corpus_pipeline.repeated_passage_stage(spark, near, SF)
     assert got(passages) == expected
     assert got(corpus_pipeline.benchmark_stage(spark, passages, SF)) == [r for r in expected if r != rows[-1]]
+
+
+def test_of_rows_equal_in_id_and_text_the_first_by_its_columns_stays(spark):
+    text = "some words of a text that two rows share with each other and with none else"
+    rows = [(1, text, "fr", "b", 1), (1, text, "de", "z", 1), (1, text, "de", "a", 1), (2, None, "en", "y", 0), (2, None, "en", "x", 0)]
+    columns = "doc_id long, text string, lang string, source string, n_chars long"
+    for order in (rows, rows[::-1]):
+        kept = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(order, columns).repartition(3), SF).collect()
+        assert sorted((r.doc_id, r.lang, r.source) for r in kept) == [(1, "de", "a"), (2, "en", "x")]

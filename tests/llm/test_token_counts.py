@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bisect
+import random
 
 import numpy as np
 import pytest
@@ -53,6 +54,47 @@ def test_rules_at_a_token_that_crosses():
     assert attribute(ends, bounds, "first")[1].tolist() == [1, 1]
 
 
+def brute_attribute(ends, bounds, rule):
+    """Byte by byte: each byte has a token and a stretch."""
+    n = len(bounds) - 1
+    stretch_of = [max(k for k in range(n) if bounds[k] <= b < bounds[k + 1]) for b in range(bounds[-1])]
+    tokens, crossing, start = [0.0] * n, [0] * n, 0
+    for end in ends:
+        own = stretch_of[start:end]
+        if own[0] != own[-1]:
+            crossing[own[0]] += 1
+            crossing[own[-1]] += 1
+        if rule == "first":
+            tokens[own[0]] += 1
+        elif rule == "last":
+            tokens[own[-1]] += 1
+        elif rule == "most":
+            tokens[max(dict.fromkeys(own), key=own.count)] += 1          # the earlier of equals comes first
+        else:
+            for k in own:
+                tokens[k] += 1 / len(own)
+        start = end
+    return tokens, crossing
+
+
+@pytest.mark.parametrize("rule", RULES)
+def test_every_rule_by_brute_force(rule):
+    rnd = random.Random(11)
+    for _ in range(300):
+        size = rnd.randint(1, 60)
+        ends = sorted(rnd.sample(range(1, size), min(size - 1, rnd.randint(0, 15)))) + [size]
+        bounds = [0, *sorted(rnd.choices(range(size + 1), k=rnd.randint(0, 12))), size]
+        tokens, crossing = attribute(np.array(ends), np.array(bounds), rule)
+        expected = brute_attribute(ends, bounds, rule)
+        assert tokens.tolist() == pytest.approx(expected[0]) and crossing.tolist() == expected[1], (ends, bounds)
+
+
+def test_one_very_long_word(spark, encoder):
+    text = "w" * 200_000
+    rows = section_tokens(spark.createDataFrame([(1, text)], DOCS)).collect()
+    assert [(r.section, r.start, r.end, r.n_tokens) for r in rows] == [(0, 0, 200_000, len(encoder.encoding.encode_ordinary(text)))]
+
+
 def test_given_sections_overlaps_and_the_rest(spark, encoder):
     text = "alpha beta gamma delta"
     data = [(1, text, [(6, 10), (8, 16)]), (2, text, []), (3, None, [(0, 4)]), (4, text, [(0, 100)]), (4, text, [(0, 100)])]
