@@ -12,12 +12,17 @@ The probability of such a word is its entry's times the word's share of the
 entry's count, so every word of the corpus has a probability of its own. On
 either side of a predicted word, words count by their entries.
 
-*Training* is data-parallel, on every word of every document. A hash of its
-place deals each word to one of ``ROUNDS`` rounds (a corpus of at most
-``REPEAT_WORDS`` words trains whole in each). In a round every partition trains
-a copy of the network on its words in numpy, and Spark averages the copies by
-number of rows. Weights are summed as whole multiples of 2^-24, so the average
-does not depend on the order of tasks. The driver holds one network.
+*Training* is data-parallel, on every word of every document, once, whatever
+the size of the corpus. A hash of its place deals each word to one of ``ROUNDS``
+rounds. In a round every partition trains a copy of the network on its words in
+numpy (in steps that grow as a partition's round goes on: the first small, for
+what is far off, later ones cheap), and Spark averages the copies by number of rows. Weights are summed as
+whole multiples of 2^-24, so the average does not depend on the order of tasks.
+It does depend on how the table is dealt to partitions (another deal trains
+other copies). The driver holds one network.
+
+*Scoring* adds up what the entries on either side bring to the hidden layer
+from tables that are worked out once (``Network.scorer``).
 
 Scale. Texts are read once and kept as chunks of a few megabytes: the
 chunk's different words and, for each word of the text, its number among them.
@@ -48,9 +53,9 @@ CLASSES, ENTRIES = 32, 32
 VOCABULARY = CLASSES * ENTRIES
 FREQUENT = 768
 SIDE, VECTOR, HIDDEN = 2, 16, 48
-SAMPLE_EVERY = 1
-REPEAT_WORDS = 1 << 20
-ROUNDS, BATCH, RATE = 4, 512, 0.05
+ROUNDS, RATE = 4, 0.05
+BATCH, LARGE_BATCH, GROWTH = 512, 2048, 32      # rows of a step: the first, the most, and rows trained for each one more
+SCORED_AT_ONCE = 2048               # words; their rows stay in a core's cache
 UNIT = 1 << 24
 CHUNK = ["chunk", "keys", "counts", "words", "times", "at"]
 SHAPES = {
@@ -94,14 +99,29 @@ class Network:
         x = self.weights["vector"][context].reshape(len(context), -1)
         return x, np.tanh(x @ self.weights["into"] + self.weights["into_bias"])
 
+    def scorer(self) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+        """log p(word | context) of each row; what an entry adds to the hidden layer from each side is worked out once."""
+        w = self.weights
+        sides = [w["vector"] @ part for part in np.split(w["into"], 2 * SIDE)]
+
+        def log_probability(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+            h = sides[0].take(context[:, 0], axis=0)
+            for side, table in enumerate(sides[1:], 1):
+                h += table.take(context[:, side], axis=0)
+            h += w["into_bias"]
+            np.tanh(h, out=h)
+            class_, entry = word // ENTRIES, word % ENTRIES
+            order, cuts = _by_class(class_)
+            z = h @ w["class_"]
+            z += w["class_bias"]
+            out = _log_softmax_at(z, class_)
+            out[order] += _log_softmax_at(self._entries(h[order], cuts), entry[order])
+            return out
+        return log_probability
+
     def log_probability(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         """log p(word | context) of each row."""
-        w = self.weights
-        _, h = self.hidden(context)
-        class_, entry = word // ENTRIES, word % ENTRIES
-        order, cuts = _by_class(class_)
-        return _log_softmax_at(h @ w["class_"] + w["class_bias"], class_) \
-            + _log_softmax_at(self._entries(h[order], cuts), entry[order])[np.argsort(order)]
+        return self.scorer()(context, word)
 
     def _entries(self, h: np.ndarray, cuts: list[tuple[int, int, int]]) -> np.ndarray:
         """Inputs of the second softmax; rows lie in order of class."""
@@ -111,11 +131,14 @@ class Network:
             out[a:b] += self.weights["entry_bias"][c]
         return out
 
-    def train(self, context: np.ndarray, word: np.ndarray, rate: float) -> None:
-        """One pass of mini-batch AdaGrad steps."""
+    def train(self, context: np.ndarray, word: np.ndarray, rate: float, done: int = 0) -> None:
+        """One pass of mini-batch AdaGrad steps, which grow with the rows ``done`` before."""
         square = {k: np.full(s, 1e-6, np.float32) for k, s in SHAPES.items()}
-        for at in range(0, len(word), BATCH):
-            self._step(context[at:at + BATCH], word[at:at + BATCH], rate, square)
+        at = 0
+        while at < len(word):
+            end = at + min(LARGE_BATCH, max(BATCH, (done + at) // GROWTH))
+            self._step(context[at:end], word[at:end], rate, square)
+            at = end
 
     def _step(self, context: np.ndarray, word: np.ndarray, rate: float, square: dict[str, np.ndarray]) -> None:
         w, n = self.weights, len(word)
@@ -144,17 +167,25 @@ class Network:
             .reshape(SHAPES["vector"]).astype(np.float32)
         for k, g in grad.items():
             square[k] += g * g
-            w[k] -= rate * g / np.sqrt(square[k])
+            g *= rate
+            g /= np.sqrt(square[k])
+            w[k] -= g
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
-    z = np.exp(z - z.max(axis=1, keepdims=True))
-    return z / z.sum(axis=1, keepdims=True)
+    """Rows of ``z`` as probabilities, in place."""
+    z -= z.max(axis=1, keepdims=True)
+    np.exp(z, out=z)
+    z /= z.sum(axis=1, keepdims=True)
+    return z
 
 
 def _log_softmax_at(z: np.ndarray, at: np.ndarray) -> np.ndarray:
-    z = z - z.max(axis=1, keepdims=True)
-    return z[np.arange(len(z)), at] - np.log(np.exp(z).sum(axis=1))
+    """log-probability of one cell of each row; ``z`` is used up."""
+    z -= z.max(axis=1, keepdims=True)
+    out = z[np.arange(len(z)), at]
+    out -= np.log(np.exp(z, out=z).sum(axis=1))
+    return out
 
 
 def _by_class(class_: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
@@ -256,16 +287,15 @@ class Sequence:
         return self.padded[self.place[rows][:, None] + np.array([*range(-SIDE, 0), *range(1, SIDE + 1)])]
 
 
-def training_rows(keys: np.ndarray, counts: np.ndarray, turn: int, deals: int) -> np.ndarray:
-    """Word places of a chunk that train in a round: one in ``deals``, each place in one of so many rounds."""
+def training_rows(keys: np.ndarray, counts: np.ndarray, turn: int) -> np.ndarray:
+    """Word places of a chunk that train in a round; each place trains in one."""
     doc = np.repeat(np.arange(len(counts)), counts)
     within = (np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)).astype(np.uint64)
     draw = hash_pair(keys[doc], within, 31)
-    every = np.uint64(SAMPLE_EVERY)
-    return np.flatnonzero((draw % every == 0) & (draw // every % np.uint64(deals) == turn % deals))
+    return np.flatnonzero(draw % np.uint64(ROUNDS) == turn)
 
 
-def _train(numbering: Numbering, flat: np.ndarray, turn: int, deals: int) -> Callable:
+def _train(numbering: Numbering, flat: np.ndarray, turn: int) -> Callable:
     """Train a copy on a partition's rows; send each weight times the number of rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network, n = Network.unpacked(flat.copy()), 0
@@ -273,8 +303,8 @@ def _train(numbering: Numbering, flat: np.ndarray, turn: int, deals: int) -> Cal
             for cells in zip(*batch.columns, strict=True):
                 keys, counts, words, at = (_unpacked(c, k) for c, k in zip(cells, (np.uint64, np.int64, np.uint64, np.int32), strict=True))
                 text = Sequence(numbering(words)[at], counts)
-                rows = training_rows(keys, counts, turn, deals)
-                network.train(text.contexts(rows), text.numbers[rows], RATE / (1 + turn))
+                rows = training_rows(keys, counts, turn)
+                network.train(text.contexts(rows), text.numbers[rows], RATE / (1 + turn), n)
                 n += len(rows)
         if n:
             total = np.rint(network.packed().astype(np.float64) * UNIT).astype(np.int64) * n
@@ -286,9 +316,8 @@ def _train(numbering: Numbering, flat: np.ndarray, turn: int, deals: int) -> Cal
 def _fit(chunks: DataFrame, frequent: np.ndarray, entries: np.ndarray) -> tuple[Numbering, Network]:
     numbering, network = Numbering(frequent), Network.fresh(entries)
     rows = chunks.select("keys", "counts", "words", "at")
-    deals = ROUNDS if entries.sum() > REPEAT_WORDS else 1
     for turn in range(ROUNDS):
-        trained = rows.mapInArrow(_train(numbering, network.packed(), turn, deals), "at int, total bigint, n bigint")
+        trained = rows.mapInArrow(_train(numbering, network.packed(), turn), "at int, total bigint, n bigint")
         mean = trained.groupBy("at").agg((F.sum("total") / F.sum("n") / UNIT).alias("mean")).toArrow()
         if not mean.num_rows:
             break
@@ -337,10 +366,10 @@ def _scores(network: Network, entries: np.ndarray) -> Callable:
         number = found.column("number").to_numpy()
         share[number] = np.log(found.column("n").to_numpy() / entries[entry[number]])
         text = Sequence(entry.astype(np.int64)[at], counts)
-        logs = share[at]
-        for start in range(0, len(at), 16384):
-            rows = np.arange(start, min(start + 16384, len(at)))
-            logs[rows] += network.log_probability(text.contexts(rows), text.numbers[rows])
+        logs, score = share[at], network.scorer()
+        for start in range(0, len(at), SCORED_AT_ONCE):
+            rows = np.arange(start, min(start + SCORED_AT_ONCE, len(at)))
+            logs[rows] += score(text.contexts(rows), text.numbers[rows])
         return pa.table({"key": keys, "n_words": counts, "log_likelihood": np.bincount(text.doc, logs, len(counts))})
     return run
 

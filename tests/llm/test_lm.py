@@ -32,9 +32,8 @@ def test_a_step_goes_down_the_gradient():
     assert net.log_probability(context, word).mean() > before + 0.1
 
 
-def test_learns_the_middle_word_from_both_sides(spark, monkeypatch):
+def test_learns_the_middle_word_from_both_sides(spark):
     """The word between two others follows from both; shuffled texts score lower."""
-    monkeypatch.setattr(lm, "SAMPLE_EVERY", 2)
     rng = np.random.default_rng(3)
 
     def text(n):
@@ -106,14 +105,12 @@ def test_every_word_has_a_probability_of_its_own(spark):
 
 def test_every_position_trains_in_one_round():
     keys, counts = np.arange(40, dtype=np.uint64), np.array([0, 1, 2, 5] * 10)
-    for deals in (1, lm.ROUNDS):
-        rounds = [lm.training_rows(keys, counts, turn, deals).tolist() for turn in range(deals)]
-        assert sorted(x for r in rounds for x in r) == list(range(counts.sum())) and all(rounds)
+    rounds = [lm.training_rows(keys, counts, turn).tolist() for turn in range(lm.ROUNDS)]
+    assert sorted(x for r in rounds for x in r) == list(range(counts.sum())) and all(rounds)
 
 
-def test_learns_at_the_production_settings(spark, monkeypatch):
-    """Short texts only, each word trained on once: the middle word still follows from both sides."""
-    monkeypatch.setattr(lm, "REPEAT_WORDS", 0)
+def test_learns_from_short_texts(spark):
+    """Each word is trained on once: the middle word still follows from both sides."""
     rng = np.random.default_rng(4)
 
     def text(n):
@@ -124,3 +121,16 @@ def test_learns_at_the_production_settings(spark, monkeypatch):
     good = np.mean([rows[i].mean_log_likelihood for i in range(50)])
     assert good > np.mean([rows[10_000 + i].mean_log_likelihood for i in range(50)]) + 0.5
     assert good > -np.log(12)
+
+
+def test_tables_give_the_same_hidden_layer():
+    rng = np.random.default_rng(5)
+    context, word = rng.integers(0, VOCABULARY + 1, (200, 2 * SIDE)), rng.integers(0, VOCABULARY, 200)
+    net = network()
+    _, h = net.hidden(context)
+    class_ = h @ net.weights["class_"] + net.weights["class_bias"]
+    expected = []
+    for row, z, w in zip(h, class_, word, strict=True):
+        inner = row @ net.weights["entry"][w // lm.ENTRIES] + net.weights["entry_bias"][w // lm.ENTRIES]
+        expected.append(z[w // lm.ENTRIES] - np.log(np.exp(z).sum()) + inner[w % lm.ENTRIES] - np.log(np.exp(inner).sum()))
+    assert net.log_probability(context, word) == pytest.approx(expected, abs=1e-4)
