@@ -18,7 +18,9 @@ replicas over all 64 bits. For other ``max_bits`` the block threshold is
 Scale. Equal fingerprints are one node, so groups of exact copies never
 meet. Anchor buckets grow with the number of different fingerprints
 divided by 2^17 a block. A bucket sends out a spanning forest of its links,
-not all pairs; components come from star rounds over those links.
+not all pairs; components come from star rounds over those links. Nodes are
+ordered by their smallest ids, so the rounds end at the component's id and no
+component is gathered to find it.
 
 Defined cases: null or empty text, or one without words, has fingerprint 0
 and links like any other; fewer words than a shingle: the whole sequence is
@@ -117,12 +119,12 @@ def anchors(fp: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarra
 def _replicate(radius: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            whole = batch.column(0).to_numpy(zero_copy_only=False)
-            for at in range(0, len(whole), 2000):
-                fp = whole[at:at + 2000]
+            fps, keys = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            for at in range(0, len(fps), 2000):
+                fp, key = fps[at:at + 2000], keys[at:at + 2000]
                 for row, anchor, home in anchors(fp, radius):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(anchor), pa.array(fp[row]), pa.array(home)], ["anchor", "fp", "home"])
+                        [pa.array(anchor), pa.array(fp[row]), pa.array(home), pa.array(key[row])], ["anchor", "fp", "home", "key"])
     return run
 
 
@@ -146,7 +148,13 @@ def forest(n: int, a: np.ndarray, b: np.ndarray, label: np.ndarray | None = None
 
 
 def bucket_links(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning links of whole buckets (rows sorted by anchor, homes first)."""
+    """Spanning links of whole buckets, as fingerprints (rows sorted by anchor, homes first)."""
+    a, b = linked_rows(anchor, fp, home, max_bits)
+    return fp[a], fp[b]
+
+
+def linked_rows(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning links of whole buckets, as rows."""
     n = len(anchor)
     label, wide = np.arange(n), fp.view(np.uint64)
     edge_a: list[np.ndarray] = []
@@ -172,37 +180,44 @@ def bucket_links(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, max_bits:
     if held:
         label = forest(n, np.concatenate(edge_a), np.concatenate(edge_b), label)
     linked = np.flatnonzero(label != np.arange(n))
-    return fp[linked], fp[label[linked]]
+    return linked, label[linked]
+
+
+def _nodes(key: np.ndarray, fp: np.ndarray) -> pa.StructArray:
+    return pa.StructArray.from_arrays([pa.array(key), pa.array(fp)], ["key", "fp"])
 
 
 def _compare(max_bits: int) -> Callable:
     """Links of a partition sorted by anchor, whole anchors at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)]
+        held: list[np.ndarray] = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64)]
 
-        def links(rows: list[np.ndarray]) -> pa.RecordBatch:
-            a, b = bucket_links(*rows, max_bits)
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        def links(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
+            a, b = linked_rows(anchor, fp, home, max_bits)
+            return pa.RecordBatch.from_arrays([_nodes(key[a], fp[a]), _nodes(key[b], fp[b])], ["a", "b"])
 
         for batch in batches:
-            new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
             held = [np.concatenate(x) for x in zip(held, new, strict=True)]
             if len(held[0]):
                 cut = int(np.searchsorted(held[0], held[0][-1]))
                 if cut:
-                    yield links([x[:cut] for x in held])
+                    yield links(*[x[:cut] for x in held])
                     held = [x[cut:] for x in held]
         if len(held[0]):
-            yield links(held)
+            yield links(*held)
     return run
 
 
-def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """Spanning links ``a, b`` between different fingerprints (column ``fp``, distinct)."""
+NODE = "struct<key:bigint,fp:bigint>"
+
+
+def fingerprint_links(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """Spanning links ``a, b`` between different fingerprints (``fp``, distinct, with ``class_key``), as nodes of both."""
     radius = COVERING_RADIUS + max_bits // len(BLOCKS)
-    replicas = fps.select("fp").mapInArrow(_replicate(radius), "anchor bigint, fp bigint, home boolean")
+    replicas = classes.select("fp", "class_key").mapInArrow(_replicate(radius), "anchor bigint, fp bigint, home boolean, key bigint")
     return replicas.repartition("anchor").sortWithinPartitions("anchor", F.desc("home"), "fp") \
-        .mapInArrow(_compare(max_bits), "a bigint, b bigint")
+        .mapInArrow(_compare(max_bits), f"a {NODE}, b {NODE}")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -215,11 +230,10 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rows = saved(fingerprints(docs, id_col, text_col, shingle))
     classes = rows.groupBy("fp").agg(F.min("key").alias("class_key"))
+    # a node is its smallest id, then its fingerprint, so the smallest node of a component names it without another grouping
     roots = components(fingerprint_links(classes, max_bits))
-    reached = classes.join(roots, classes.fp == roots.node, "left") \
-        .select("fp", "class_key", F.coalesce("root", "fp").alias("root"))
-    smallest = reached.groupBy("root").agg(F.min("class_key").alias("component_key"))
-    labels = reached.join(smallest, "root").select("fp", "class_key", "component_key")
+    labels = classes.join(roots, classes.fp == roots.node.fp, "left") \
+        .select("fp", "class_key", F.coalesce("root.key", "class_key").alias("component_key"))
     return rows.join(labels, "fp").select(
         key_id("key").alias("doc_id"),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
