@@ -123,9 +123,9 @@ class Network:
         """log p(word | context) of each row."""
         return self.scorer()(context, word)
 
-    def _entries(self, h: np.ndarray, cuts: list[tuple[int, int, int]]) -> np.ndarray:
+    def _entries(self, h: np.ndarray, cuts: list[tuple[int, int, int]], out: np.ndarray | None = None) -> np.ndarray:
         """Inputs of the second softmax; rows lie in order of class."""
-        out = np.empty((len(h), ENTRIES), np.float32)
+        out = np.empty((len(h), ENTRIES), np.float32) if out is None else out
         for c, a, b in cuts:
             np.matmul(h[a:b], self.weights["entry"][c], out=out[a:b])
             out[a:b] += self.weights["entry_bias"][c]
@@ -134,58 +134,95 @@ class Network:
     def train(self, context: np.ndarray, word: np.ndarray, rate: float, done: int = 0) -> None:
         """One pass of mini-batch AdaGrad steps, which grow with the rows ``done`` before."""
         square = {k: np.full(s, 1e-6, np.float32) for k, s in SHAPES.items()}
+        room = Room()
         at = 0
         while at < len(word):
             end = at + min(LARGE_BATCH, max(BATCH, (done + at) // GROWTH))
-            self._step(context[at:end], word[at:end], rate, square)
+            self._step(context[at:end], word[at:end], rate, square, room)
             at = end
 
-    def _step(self, context: np.ndarray, word: np.ndarray, rate: float, square: dict[str, np.ndarray]) -> None:
+    def _step(self, context: np.ndarray, word: np.ndarray, rate: float, square: dict[str, np.ndarray], room: Room) -> None:
         w, n = self.weights, len(word)
-        x, h = self.hidden(context)
+        x = np.take(w["vector"], context.ravel(), axis=0, out=room("x", n * 2 * SIDE, VECTOR), mode="clip").reshape(n, -1)
+        h = np.matmul(x, w["into"], out=room("h", n, HIDDEN))
+        h += w["into_bias"]
+        np.tanh(h, out=h)
         class_, entry = word // ENTRIES, word % ENTRIES
-        d_class = _softmax(h @ w["class_"] + w["class_bias"])
-        d_class[np.arange(n), class_] -= 1
-        d_class /= n
-        d_h = d_class @ w["class_"].T
+        d_class = np.matmul(h, w["class_"], out=room("class", n, CLASSES))
+        d_class += w["class_bias"]
+        _softmax_less(d_class, class_)
+        d_h = np.matmul(d_class, w["class_"].T, out=room("d_h", n, HIDDEN))
         grad = {"class_": h.T @ d_class, "class_bias": d_class.sum(0),
                 "entry": np.zeros(SHAPES["entry"], np.float32), "entry_bias": np.zeros(SHAPES["entry_bias"], np.float32)}
         order, cuts = _by_class(class_)
-        sorted_ = h[order]
-        d = _softmax(self._entries(sorted_, cuts))
-        d[np.arange(n), entry[order]] -= 1
-        d /= n
-        back = np.empty_like(sorted_)
+        sorted_ = np.take(h, order, axis=0, out=room("sorted", n, HIDDEN), mode="clip")
+        d = self._entries(sorted_, cuts, room("entries", n, ENTRIES))
+        _softmax_less(d, entry[order])
+        back = room("back", n, HIDDEN)
         for c, a, b in cuts:
             np.matmul(d[a:b], w["entry"][c].T, out=back[a:b])
-            grad["entry"][c], grad["entry_bias"][c] = sorted_[a:b].T @ d[a:b], d[a:b].sum(0)
+            np.matmul(sorted_[a:b].T, d[a:b], out=grad["entry"][c])
+            grad["entry_bias"][c] = d[a:b].sum(0)
         d_h[order] += back
-        d_in = d_h * (1 - h * h)
-        grad["into"], grad["into_bias"] = x.T @ d_in, d_in.sum(0)
-        cell = (context.reshape(-1, 1) * VECTOR + np.arange(VECTOR)).ravel()
-        grad["vector"] = np.bincount(cell, (d_in @ w["into"].T).ravel(), (VOCABULARY + 1) * VECTOR) \
-            .reshape(SHAPES["vector"]).astype(np.float32)
+        np.multiply(h, h, out=back)
+        np.subtract(1, back, out=back)
+        d_h *= back
+        grad["into"], grad["into_bias"] = x.T @ d_h, d_h.sum(0)
+        d_x = np.matmul(d_h, w["into"].T, out=room("d_x", n, 2 * SIDE * VECTOR)).reshape(-1, VECTOR)
+        met, grad["vector"] = _summed_rows(context.ravel(), d_x, room)
         for k, g in grad.items():
-            square[k] += g * g
-            g *= rate
-            g /= np.sqrt(square[k])
-            w[k] -= g
+            if k == "vector":             # only the vectors met
+                square[k][met] += g * g
+                w[k][met] -= rate * g / np.sqrt(square[k][met])
+            else:
+                square[k] += g * g
+                g *= rate
+                g /= np.sqrt(square[k])
+                w[k] -= g
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    """Rows of ``z`` as probabilities, in place."""
-    z -= z.max(axis=1, keepdims=True)
+class Room:
+    """Arrays that steps use again, by name: fresh ones of this size would cost a page fault for each 4 KB."""
+
+    def __init__(self) -> None:
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, rows: int, columns: int) -> np.ndarray:
+        if name not in self.held or len(self.held[name]) < rows:
+            self.held[name] = np.empty((rows, columns), np.float32)
+        return self.held[name][:rows]
+
+
+def _summed_rows(index: np.ndarray, rows: np.ndarray, room: Room) -> tuple[np.ndarray, np.ndarray]:
+    """Different indexes, and the sum of the rows of each."""
+    order = np.argsort(index.astype(np.uint16), kind="stable")
+    found = index[order]
+    heads = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
+    return found[heads], np.add.reduceat(np.take(rows, order, axis=0, out=room("by_index", len(rows), VECTOR), mode="clip"), heads, axis=0)
+
+
+def _odds(z: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """exp of each cell less the row's cell ``at``, in place, and the sums of the rows (1 or more).
+
+    Odds beyond e^80 count as e^80: a probability under e^-80 is not told apart from that.
+    """
+    z -= z[np.arange(len(z)), at][:, None]
+    np.minimum(z, 80, out=z)
     np.exp(z, out=z)
-    z /= z.sum(axis=1, keepdims=True)
+    return z @ np.ones(z.shape[1], z.dtype)
+
+
+def _softmax_less(z: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Rows of ``z`` as probabilities, less 1 at the row's cell ``at``, over the number of rows: the gradient, in place."""
+    total = _odds(z, at)
+    z *= (1 / (len(z) * total))[:, None]
+    z[np.arange(len(z)), at] -= 1 / np.float32(len(z))
     return z
 
 
 def _log_softmax_at(z: np.ndarray, at: np.ndarray) -> np.ndarray:
     """log-probability of one cell of each row; ``z`` is used up."""
-    z -= z.max(axis=1, keepdims=True)
-    out = z[np.arange(len(z)), at]
-    out -= np.log(np.exp(z, out=z).sum(axis=1))
-    return out
+    return -np.log(_odds(z, at))
 
 
 def _by_class(class_: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
